@@ -138,9 +138,10 @@ def keep_min_priority(df: DataFrame, keys: Sequence[str], prio: str) -> DataFram
     Computed as aggregate + join rather than ``min() OVER`` so the minimum is found
     with a partial aggregate even when one key dominates."""
     best = df.groupBy(*keys).agg(F.min(prio).alias("_best"))
-    return (df.join(best, [df[k].eqNullSafe(best[k]) for k in keys], "inner")
-              .where(F.col(prio) == F.col("_best"))
-              .select(*[df[c] for c in df.columns]))
+    cond = [F.col(f"_d.{k}").eqNullSafe(F.col(f"_b.{k}")) for k in keys]
+    return (df.alias("_d").join(best.alias("_b"), cond, "inner")
+              .where(F.col(f"_d.{prio}") == F.col("_b._best"))
+              .select(*[F.col(f"_d.{c}") for c in df.columns]))
 
 
 def grand_total(df: DataFrame, measures: dict[str, str]) -> DataFrame:

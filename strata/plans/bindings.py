@@ -89,3 +89,51 @@ def funds(spark: SparkSession, root: str) -> DataFrame:
 
 FUNDS_CTE = """
 funds AS (SELECT n_nationkey AS Fund_Id, n_name AS Fund, n_regionkey AS Region_Id FROM nation)"""
+
+
+# ---------------------------------------------------------------------------------
+# Ownership edges: child = customer, parent = custkey div 3 (every 5th order: div 7,
+# a second parent), one percentage event per order, deduplicated to the latest order
+# per (child, parent, day); intervals [event_date, next event_date). Customer 0 is its
+# own parent (a natural self-parenting row); the tree is ~log3(n) levels deep.
+# ---------------------------------------------------------------------------------
+
+
+def edge_events(spark: SparkSession, root: str) -> DataFrame:
+    o = Tables(spark, root).orders
+    second = (F.col("o_orderkey") % 5) == 0
+    return o.select(
+        F.col("o_custkey").alias("child_id"),
+        F.when(second, F.expr("o_custkey div 7")).otherwise(F.expr("o_custkey div 3")).alias("parent_id"),
+        F.col("o_orderdate").cast("date").alias("event_date"),
+        F.col("o_orderkey").alias("event_id"),
+        F.when(second, ((F.col("o_orderkey") % 41) + 10).cast("double") / F.lit(100.0))
+         .otherwise(((F.col("o_orderkey") % 51) + 50).cast("double") / F.lit(100.0)).alias("percentage"),
+    )
+
+
+def edges(spark: SparkSession, root: str) -> DataFrame:
+    from strata.operators.temporal import intervals_from_events
+    from strata.operators.windows import keep_latest
+    daily = keep_latest(edge_events(spark, root), ["child_id", "parent_id", "event_date"], ["event_id"])
+    return intervals_from_events(daily, ["child_id", "parent_id"], "event_date")
+
+
+EDGES_CTE = """
+edge_events AS (
+  SELECT o_custkey AS child_id,
+         CASE WHEN o_orderkey % 5 = 0 THEN o_custkey // 7 ELSE o_custkey // 3 END AS parent_id,
+         CAST(o_orderdate AS DATE) AS event_date, o_orderkey AS event_id,
+         CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey % 41 + 10 AS DOUBLE) / 100.0
+              ELSE CAST(o_orderkey % 51 + 50 AS DOUBLE) / 100.0 END AS percentage
+  FROM orders
+),
+edge_daily AS (
+  SELECT * FROM edge_events
+  QUALIFY row_number() OVER (PARTITION BY child_id, parent_id, event_date ORDER BY event_id DESC) = 1
+),
+edges AS (
+  SELECT child_id, parent_id, event_date AS active_from, event_id, percentage,
+         lead(event_date) OVER (PARTITION BY child_id, parent_id ORDER BY event_date) AS active_to
+  FROM edge_daily
+)"""
