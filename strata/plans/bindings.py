@@ -137,3 +137,75 @@ edges AS (
          lead(event_date) OVER (PARTITION BY child_id, parent_id ORDER BY event_date) AS active_to
   FROM edge_daily
 )"""
+
+
+# ---------------------------------------------------------------------------------
+# Line items for data-quality checks. Planted: NULL supplier every 97th order, an
+# unknown supplier every 89th, an unknown part every 83rd, a lower-cased status code
+# every 101st. (l_orderkey, l_linenumber) already has real duplicates.
+# ---------------------------------------------------------------------------------
+
+
+def lineitem_dq(spark: SparkSession, root: str) -> DataFrame:
+    li = Tables(spark, root).lineitem
+    k = F.col("l_orderkey")
+    code = F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus"))
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(k % 83 == 0, F.col("l_partkey") + 1000000).otherwise(F.col("l_partkey")).alias("l_partkey"),
+        F.when(k % 97 == 0, F.lit(None).cast("bigint"))
+         .when(k % 89 == 0, F.col("l_suppkey") + 1000000).otherwise(F.col("l_suppkey")).alias("l_suppkey"),
+        "l_quantity", "l_discount", F.col("l_shipdate").cast("date").alias("l_shipdate"),
+        "l_returnflag", "l_linestatus",
+        F.when(k % 101 == 0, F.lower(code)).otherwise(code).alias("status_code"))
+
+
+LINEITEM_DQ_CTE = """
+li_dq AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_orderkey % 83 = 0 THEN l_partkey + 1000000 ELSE l_partkey END AS l_partkey,
+         CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_orderkey % 89 = 0 THEN l_suppkey + 1000000
+              ELSE l_suppkey END AS l_suppkey,
+         l_quantity, l_discount, CAST(l_shipdate AS DATE) AS l_shipdate, l_returnflag, l_linestatus,
+         CASE WHEN l_orderkey % 101 = 0 THEN lower(concat(l_returnflag, '-', l_linestatus))
+              ELSE concat(l_returnflag, '-', l_linestatus) END AS status_code
+  FROM lineitem
+)"""
+
+
+# Events as a raw stream landing: ts to a zoned timestamp, value NULL every 9th event.
+def events_dq(spark: SparkSession, root: str) -> DataFrame:
+    e = Tables(spark, root).events
+    return e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
+                    F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
+                     .alias("value"), "props")
+
+
+EVENTS_DQ_CTE = """
+events_dq AS (
+  SELECT event_id, ts, user_id, event_type,
+         CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value, props
+  FROM events
+)"""
+
+
+# Edge history as an SCD2-style table with planted defects: end pushed 3 days late
+# (overlap) every 17th event, 1 day early (gap) every 19th, before the start every
+# 23rd, equal to the start every 29th.
+def edges_scd(spark: SparkSession, root: str) -> DataFrame:
+    e = edges(spark, root)
+    ev, af, at = F.col("event_id"), F.col("active_from"), F.col("active_to")
+    return e.select("child_id", "parent_id", "event_id", "percentage", af,
+                    F.when(ev % 29 == 0, af).when(ev % 23 == 0, F.date_sub(af, 1))
+                     .when(ev % 19 == 0, F.date_sub(at, 1)).when(ev % 17 == 0, F.date_add(at, 3))
+                     .otherwise(at).alias("active_to"))
+
+
+EDGES_SCD_CTE = """
+edges_scd AS (
+  SELECT child_id, parent_id, event_id, percentage, active_from,
+         CASE WHEN event_id % 29 = 0 THEN active_from WHEN event_id % 23 = 0 THEN active_from - 1
+              WHEN event_id % 19 = 0 THEN active_to - 1 WHEN event_id % 17 = 0 THEN active_to + 3
+              ELSE active_to END AS active_to
+  FROM edges
+)"""
