@@ -27,9 +27,9 @@ TYPE_SPEC = {
 def feeder_inference(ops: DataFrame, funds: DataFrame) -> DataFrame:
     """Subquery-in-CASE as a left join to the distinct fund names: an investor with no
     type whose name is a fund is a 'Feeder Fund' (country 'N/A'). The fund-name set is a
-    dimension (one row per fund), broadcast."""
+    dimension (one row per fund); AQE broadcasts it when its measured size is small."""
     names = funds.select(F.col("Fund").alias("_feeder")).distinct()
-    j = ops.join(F.broadcast(names), ops["Investor"] == names["_feeder"], "left")
+    j = ops.join(names, ops["Investor"] == names["_feeder"], "left")
     is_feeder = F.col("_feeder").isNotNull()
     blank = lambda c: F.col(c).isNull() | (F.trim(F.col(c)) == "")
     return j.withColumns({
