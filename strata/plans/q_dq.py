@@ -431,7 +431,8 @@ WITH {B.EDGES_CTE}, {REL_CTE},
 p AS (SELECT rel_id, string_split(rel_id, '.') AS parts FROM rel_ids)
 SELECT rel_id, CASE WHEN rel_id IS NULL THEN false WHEN len(parts) < 2 THEN false WHEN len(parts) = 2 THEN true
   ELSE list_bool_and(list_transform(parts[2:len(parts) - 1], lambda x:
-         length(x) % 2 = 1 AND x = concat(left(x, (length(x) - 1) // 2), '_', right(x, (length(x) - 1) // 2))))
+         length(x) % 2 = 1 AND substring(x, (length(x) - 1) // 2 + 1, 1) = '_'
+         AND left(x, (length(x) - 1) // 2) = right(x, (length(x) - 1) // 2)))
   END AS pattern_valid
 FROM p""")
 def d25_path_pattern_valid(spark, d):
