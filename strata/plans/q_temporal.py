@@ -1,4 +1,4 @@
-"""Registered temporal-algebra queries (T1-T9, T14, T15) over the ownership-edge binding."""
+"""Registered temporal-algebra queries (T1-T10, T14, T15) over the ownership-edge and line-item bindings."""
 
 from __future__ import annotations
 
@@ -273,3 +273,29 @@ FROM t4 GROUP BY child_id, seg_start, seg_end HAVING SUM(percentage) > 1.0 + 1e-
 def t15_allocation_violations(spark, d):
     v = T.allocation_violations(B.edges(spark, d), ["child_id"], "percentage", "active_from", "active_to")
     return v.withColumn("total_value", F.round("total_value", 6))
+
+
+@query("t10_priority_phase_intervals", """
+WITH ev AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, l_linestatus,
+         CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS prio
+  FROM lineitem
+),
+best AS (SELECT * FROM ev QUALIFY prio = min(prio) OVER (PARTITION BY l_orderkey, l_linenumber)),
+grp AS (SELECT *, CASE WHEN d <= DATE '1999-01-01' THEN NULL ELSE d END AS gd,
+               CASE WHEN d <= DATE '1999-01-01' THEN NULL ELSE prio END AS gp FROM best),
+g AS (SELECT l_orderkey, l_linestatus, gd, gp, MIN(d) AS start,
+             string_agg(DISTINCT CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)) AS ms
+      FROM grp GROUP BY l_orderkey, l_linestatus, gd, gp)
+SELECT l_orderkey, l_linestatus, start, ms AS milestones,
+       lead(start) OVER (PARTITION BY l_orderkey ORDER BY start, l_linestatus, gp NULLS FIRST) AS "end"
+FROM g""")
+def t10_priority_phase_intervals(spark, d):
+    li = Tables(spark, d).lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("d"), "l_linestatus",
+        F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 2).otherwise(3).alias("prio"))
+    r = T.priority_phase_intervals(li, "l_orderkey", "l_linenumber", "d", "l_linestatus", "prio",
+                                   F.lit("1999-01-01").cast("date"))
+    return r.select("l_orderkey", "l_linestatus", "start",
+                    F.array_join(F.sort_array(F.col("milestones").cast("array<string>")), ",").alias("milestones"),
+                    "end")
