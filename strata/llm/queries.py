@@ -71,6 +71,15 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+# ------------------------------------------------------------------ 4 packing
+
+@llm_query("op4_pack_documents")
+def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.packing import digest, pack_documents
+
+    return digest(pack_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]), tokens=2048))
+
+
 # ------------------------------------------------------------------ 7 sharding
 
 @llm_query("op7_shard_documents")
@@ -80,6 +89,19 @@ def op7_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]), shards=40)
 
 
+# ------------------------------------------------------------------ 8 quality rules
+
+@llm_query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.common import written
+    from strata.llm.quality_rules import judge, measure
+
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
+    measured = written(measure(docs).drop("text"), "op8-counts")
+    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                  "base_failed", "kept")
+
+
 # ------------------------------------------------------------------ 10 secret scans
 
 @llm_query("op10_secret_scan")
