@@ -71,6 +71,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+# ------------------------------------------------------------------ 3 language ID
+
+@llm_query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.language_id import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    model = train(docs.where(~held_out()).select("text", "lang"))
+    labelled = identify(docs.select("doc_id", "text"), model)
+    return labelled.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 # ------------------------------------------------------------------ 4 packing
 
 @llm_query("op4_pack_documents")
@@ -102,6 +114,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "base_failed", "kept")
 
 
+# ------------------------------------------------------------------ 9 WARC
+
+@llm_query("op9_warc_round_trip")
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.warc import page_id_of, round_trip
+
+    back = round_trip(spark, table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return back.select(page_id_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       page_id_of(F.col("refers_to_id")).alias("refers_to"))
+
+
 # ------------------------------------------------------------------ 10 secret scans
 
 @llm_query("op10_secret_scan")
