@@ -92,6 +92,22 @@ def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(pack_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]), tokens=2048))
 
 
+# ------------------------------------------------------------------ 5 quality classifier
+
+@llm_query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.boosted_trees import document_features, score, train
+    from strata.llm.common import written
+    from strata.llm.language_id import held_out
+
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    featured = written(document_features(docs).drop("text"), "op5-features")
+    trees = train(featured.where(~held_out()), labels, "doc_id", "quality")
+    scored = score(featured, trees)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 # ------------------------------------------------------------------ 7 sharding
 
 @llm_query("op7_shard_documents")
