@@ -170,12 +170,18 @@ def fences(sketches: DataFrame, reach: float, least_docs: int) -> DataFrame:
             .withColumn("lo", F.when(two_sided, F.col("q25") - reached))
             .where((F.col("docs") >= least_docs) | (F.col("level") == 2)))
     groups = sketches.select("lang", "source", "ratio").distinct()
-    fit = ((F.col("g.ratio") == F.col("r.ratio"))
-           & ((F.col("r.level") == 2) | F.col("g.lang").eqNullSafe(F.col("r.lang")))
-           & ((F.col("r.level") >= 1) | F.col("g.source").eqNullSafe(F.col("r.source"))))
-    return (groups.alias("g").join(read.alias("r"), fit)
-            .groupBy("g.lang", "g.source", "g.ratio")
-            .agg(F.min_by(F.struct("r.lo", "r.hi"), "r.level").alias("f"))
+
+    def at(level: int, keys: list[str]) -> DataFrame:
+        return read.where(F.col("level") == level).select(*[F.col(k).alias(f"{k}{level}") for k in keys],
+                                                          F.struct("lo", "hi").alias(f"f{level}"))
+
+    out = groups
+    for level, keys in enumerate((["ratio", "lang", "source"], ["ratio", "lang"], ["ratio"])):
+        same = F.lit(True)
+        for k in keys:
+            same &= F.col(k).eqNullSafe(F.col(f"{k}{level}"))
+        out = out.join(at(level, keys), same, "left")
+    return (out.withColumn("f", F.coalesce("f0", "f1", "f2"))
             .select("lang", "source", "ratio", "f.lo", "f.hi"))
 
 

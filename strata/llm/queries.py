@@ -108,6 +108,15 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+# ------------------------------------------------------------------ 6 document fingerprints
+
+@llm_query("op6_document_fingerprints")
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.ibl_sketch import versions
+
+    return versions(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 # ------------------------------------------------------------------ 7 sharding
 
 @llm_query("op7_shard_documents")
