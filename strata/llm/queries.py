@@ -24,6 +24,16 @@ def llm_query(name: str, sql: str | None = None):
     return deco
 
 
+# ------------------------------------------------------------------ 1 n-gram Jaccard join
+
+@llm_query("op1_ngram_jaccard_join")
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.jaccard_join import join
+
+    documents, _, _ = join(table(spark, sf_dir, "documents", ["doc_id", "text"]), n=5, percent=75)
+    return documents.select("doc_id", "n_shingles", "component_id")
+
+
 # ------------------------------------------------------------------ 2 mixing sources
 
 OP2_SQL = r"""
