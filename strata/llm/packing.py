@@ -10,7 +10,8 @@ independently, and each leaves at most one sequence part-filled.
 Token ids are those of the public 50k byte-level BPE. They are computed through its rank file
 (tests hold them against the ``tokenizers`` file of the same vocabulary), word by word with a
 bounded cache: a single space between two non-space characters always starts a new
-pre-token, so the ids of a text are the concatenated ids of its words.
+pre-token and a single newline is one, so the ids of a text are the concatenated ids of its
+words and newlines.
 
 Cases: a null or empty text is one end token; texts of any length are cut into as many
 pieces as needed; repeated rows are packed as often as they stand; a null id is carried
@@ -22,6 +23,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +37,14 @@ from strata.llm.common import slices, texts_of
 
 END_ID = 1
 #: Words whose ids a worker remembers; the cache is emptied when it is full.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 #: Pieces waiting in a task.
 POOL = 2048
 #: A piece is cut to fill a sequence only if so many tokens are left in it.
 LEAST_CUT = 16
 
 _TWO_SPACES = re.compile(r"\s\s")
+_TRAILING = ".,;:!?*$%&#\"')|"
 
 
 def default_vocabulary() -> str:
@@ -50,39 +53,63 @@ def default_vocabulary() -> str:
 
 
 class WordIds(dict):
-    """' ' + word -> its ids as little-endian unsigned 32-bit integers."""
+    """Word -> its ids as little-endian unsigned 32-bit integers, as the tokenizer gives them behind
+    ``lead``. Two generations of CACHE_WORDS / 2 words: frequent words survive when the older one
+    is forgotten."""
 
-    def __init__(self, ranks_path: str):
-        import public_tokenizers
-        import tiktoken
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    def __init__(self, bpe, lead: str):
+        self._encode, self._lead, self._older = bpe.encode_ordinary, lead, {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        ids = self.plain(" " + word)
+        ids = self._older.get(word)
+        if ids is None:
+            stem = word.rstrip(_TRAILING)
+            if stem and stem != word and stem[-1].isalnum():  # marks behind a letter or digit are a pre-token of their own
+                ids = self[stem] + array("I", self._encode(word[len(stem):])).tobytes()
+            else:
+                ids = array("I", self._encode(self._lead + word)).tobytes()
         if len(word) <= 64:
+            if len(self) >= CACHE_WORDS // 2:
+                self._older = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
+
+class Encoder:
+    """Token ids of whole texts as bytes."""
+
+    def __init__(self, ranks_path: str):
+        import public_tokenizers
+        import tiktoken
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._plain = bpe.encode_ordinary
+        self._spaced, self._bare = WordIds(bpe, " "), WordIds(bpe, "")
+        self._newline = self.plain("\n")
+
     def plain(self, text: str) -> bytes:
-        return np.array(self._bpe.encode_ordinary(text), "<u4").tobytes()
+        return array("I", self._plain(text)).tobytes()
 
     def encode(self, text: str) -> bytes:
+        """A lone space before a word goes with the word, a lone newline stands alone; where two
+        white-space characters meet, the text is encoded as a whole."""
         if _TWO_SPACES.search(text):
             return self.plain(text)
-        first, *rest = text.split(" ")
-        return self.plain(first) + b"".join(map(self.__getitem__, rest))
+        spaced, out = self._spaced.__getitem__, []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(self._bare[first] + b"".join(map(spaced, rest)))
+        return self._newline.join(out)
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def encoder(ranks_path: str) -> WordIds:
+def encoder(ranks_path: str) -> Encoder:
     if ranks_path not in _encoders:
-        _encoders[ranks_path] = WordIds(ranks_path)
+        _encoders[ranks_path] = Encoder(ranks_path)
     return _encoders[ranks_path]
 
 
