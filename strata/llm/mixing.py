@@ -170,3 +170,21 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     t = targets.select(F.col("source").alias("o"), "source_size", "target")
     return (per.join(t, F.col("source").eqNullSafe(F.col("o")))
             .select("id", "source", "size", "source_size", "target", taken.alias("taken")))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             **options) -> DataFrame:
+    """``docs`` as the mix takes them: a document of which ``taken`` words are wanted stands in
+    ``ceil(taken / size)`` equal rows, none when the mix passes it by (texts without words
+    included). Rows equal in id, source and size share the group's words evenly."""
+    _, _, plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    got = plan.groupBy("id", "source", "size").agg(F.sum("piece").alias("words"))
+    sized = docs.withColumn("__size", n_words(F.col(f"`{text_col}`")))
+    rows = (sized.where(F.col("__size") > 0).groupBy(F.col(f"`{id_col}`").alias("k"), F.col(f"`{source_col}`").alias("s"),
+                                                     F.col("__size").alias("z")).agg(F.count("*").alias("rows")))
+    copies = (rows.join(got, F.col("k").eqNullSafe(F.col("id")) & F.col("s").eqNullSafe(F.col("source")) & (F.col("z") == F.col("size")))
+              .select("k", "s", "z", F.ceil(F.col("words") / (F.col("rows") * F.col("z"))).cast("int").alias("__copies")))
+    return (sized.join(copies, F.col(id_col).eqNullSafe(F.col("k")) & F.col(source_col).eqNullSafe(F.col("s"))
+                       & (F.col("__size") == F.col("z")))
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
