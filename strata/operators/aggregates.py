@@ -62,12 +62,14 @@ def product_of(array_col: Column, field: str | None = None) -> Column:
 
 
 def pivot_metric(df: DataFrame, keys: Sequence[str], name_col: str, value_col: str,
-                 values: Sequence[str], agg: str = "first_by_max") -> DataFrame:
+                 values: Sequence[str], agg: str = "max") -> DataFrame:
     """Long -> wide with explicit pivot values (no extra job to find them).
 
-    Each cell takes the maximum value for the (keys, name) pair, which is the
-    deterministic form of the reference's ``first``."""
-    return df.groupBy(*keys).pivot(name_col, list(values)).agg(F.max(value_col))
+    ``agg`` is ``max`` (the deterministic form of the reference's ``first``), ``min``,
+    ``sum``, ``avg`` or ``count`` of the (keys, name) pair's values."""
+    if agg not in ("max", "min", "sum", "avg", "count"):
+        raise ValueError(f"unknown aggregate {agg!r}")
+    return df.groupBy(*keys).pivot(name_col, list(values)).agg(getattr(F, agg)(value_col))
 
 
 def melt(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "metric",

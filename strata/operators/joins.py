@@ -1,9 +1,8 @@
 """Join operators.
 
-Broadcast policy: a side is broadcast only when it is provably bounded - a one-row
-aggregate - or after ``broadcast_if_small`` has counted it under a row limit; any
-other dimension join is left to AQE, which switches to a broadcast at runtime from
-measured sizes and otherwise keeps the shuffle join.
+Broadcast policy: only one-row aggregates are broadcast by hint. Dimension joins carry
+none: AQE turns them into broadcasts from measured sizes and keeps the shuffle join
+(with skew splitting) beyond its threshold.
 """
 
 from __future__ import annotations
@@ -13,17 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row limit under which a checked dimension is broadcast (a few MB of keys).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check (a bounded ``limit(max_rows + 1).count()``
-    probe); larger dimensions are returned unhinted for a shuffle join."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def join_inner(left: DataFrame, right: DataFrame, keys: Sequence[str] | Column) -> DataFrame:
     """J1"""
     return left.join(right, keys if isinstance(keys, Column) else list(keys), "inner")
@@ -63,32 +51,58 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
         *[F.col(f"_l.{c}") for c in left.columns], *[F.col(f"_r.{c}") for c in rcols])
 
 
+def broadcast_dim(df: DataFrame, dim: DataFrame, on: Column | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join to a dimension. No hint: AQE broadcasts it when its measured size allows."""
+    return df.join(dim, on if isinstance(on, Column) else list(on), how)
+
+
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Cross join with a one-row frame (provably bounded -> broadcast)."""
-    return df.crossJoin(F.broadcast(one_row.limit(1)))
+    """The columns of a one-row frame on every row. A frame of several rows raises when
+    the result is computed; an empty one gives no rows. The frame is reduced to one row first,
+    so what is broadcast is bounded."""
+    cols = one_row.columns
+    single = (one_row.agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*cols)).alias("__r"))
+              .where(F.when(F.col("__n") > 1, F.raise_error(F.lit("attach_scalar: more than one row")).cast("boolean"))
+                     .otherwise(F.col("__n") == 1)))
+    return df.crossJoin(F.broadcast(single.select(*[F.col(f"__r.`{c}`").alias(c) for c in cols])))
 
 
 def bucket_to_period(txn: DataFrame, periods: DataFrame, ts: str, period_end: str,
-                     keys: Sequence[str] = (), unmatched: str = "Unbucketed") -> DataFrame:
+                     keys: Sequence[str] = (), unmatched: str = "Unbucketed", unit: str = "month") -> DataFrame:
     """Each transaction to the period with ``prev_end < ts <= period_end``; the
     first period is open on the left; transactions after the last period keep a NULL
     period and ``bucket_status = unmatched``.
 
-    The period list is small per key (reporting dates) and is broadcast behind a size
-    check; beyond it the range join runs as a keyed shuffle join."""
+    An equi-join: every period is filed under the calendar ``unit``s it touches, a
+    transaction looks under its own, and the exact bounds are the residual. The open first
+    period starts at the earliest transaction (a one-row minimum), so it is filed like any other."""
     from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(period_end) if keys else Window.orderBy(period_end)
-    p = periods.select(*keys, period_end).distinct().withColumn("__prev", F.lag(period_end).over(w))
-    p = broadcast_if_small(p)
+    first_txn = txn.agg(F.min(ts).alias("__lo"))
+    w = Window.partitionBy(*keys).orderBy(period_end)
+    p = periods.select(*keys, period_end).distinct()
+    p = (p.withColumn("__prev", F.lag(period_end).over(w)) if keys
+         else p.join(_previous(p, period_end), period_end, "left"))
+    start, end = F.col("__a").cast("timestamp"), F.col(period_end).cast("timestamp")
+    p = (p.crossJoin(F.broadcast(first_txn)).withColumn("__a", F.coalesce("__prev", "__lo"))
+          .where(F.col(period_end) >= F.col("__a"))
+          .withColumn("__u", F.explode(F.sequence(F.date_trunc(unit, start), F.date_trunc(unit, end), F.expr(f"interval 1 {unit}"))))
+          .select(*keys, period_end, "__prev", "__u"))
+    t = txn.withColumn("__u", F.date_trunc(unit, F.col(ts).cast("timestamp")))
     cond = [F.col(f"_t.{k}") == F.col(f"_p.{k}") for k in keys] + [
-        F.col(f"_t.{ts}") <= F.col(f"_p.{period_end}"),
+        F.col("_t.__u") == F.col("_p.__u"), F.col(f"_t.{ts}") <= F.col(f"_p.{period_end}"),
         F.col("_p.__prev").isNull() | (F.col(f"_t.{ts}") > F.col("_p.__prev"))]
-    j = txn.alias("_t").join(p.alias("_p"), cond, "left")
-    return j.select("_t.*", F.col(f"_p.{period_end}").alias(period_end),
+    j = t.alias("_t").join(p.alias("_p"), cond, "left")
+    return j.select(*[F.col(f"_t.{c}") for c in txn.columns], F.col(f"_p.{period_end}").alias(period_end),
                     F.when(F.col(f"_p.{period_end}").isNull(), F.lit(unmatched)).otherwise(F.lit("Bucketed"))
                      .alias("bucket_status"))
 
 
+def _previous(periods: DataFrame, period_end: str) -> DataFrame:
+    """(period end, end of the period before) over a list of distinct reporting dates."""
+    from pyspark.sql import Window
+    return periods.select(period_end, F.lag(period_end).over(Window.orderBy(period_end)).alias("__prev"))
+
+
 def pair_periods(df: DataFrame, keys: Sequence[str], period: str, prev: DataFrame,
                  measures: Sequence[str]) -> DataFrame:
     """Each (keys, period) row next to its previous period's measures, via the

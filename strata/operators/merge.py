@@ -29,6 +29,13 @@ def align_schema(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataF
     return pad(target, ttypes), pad(source, stypes)
 
 
+def assert_one_row_per_key(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when two source rows share their (null-safe) merge keys."""
+    twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).first()
+    if twice is not None:
+        raise ValueError(f"merge source has {twice['n']} rows for key {[twice[k] for k in keys]}")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], delete: str | None = None,
                  period_col: str | None = None, delete_filter: str | Column | None = None,
                  include_period_in_keys: bool = True, scope: DataFrame | None = None) -> DataFrame:
@@ -42,7 +49,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], dele
       ``delete_filter``; the period joins the keys unless ``include_period_in_keys``
       is False;
     * ``delete='full'``: unmatched target rows matching ``delete_filter`` (all when
-      None) are deleted.
+      None) are deleted; a row whose filter is NULL is kept, as in SQL DELETE.
+
+    A source with two rows of one key is an error: it raises before anything is merged.
     """
     keys = list(keys)
     if delete == "scoped":
@@ -50,6 +59,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], dele
             raise ValueError("period_col is required when delete='scoped'")
         if include_period_in_keys and period_col not in keys:
             keys.append(period_col)
+    assert_one_row_per_key(source, keys)
     t, s = align_schema(target, source)
     cols = t.columns
     t = t.withColumn("__t", F.lit(True))
@@ -63,7 +73,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], dele
         return out.drop("__in_t", "__in_s")
     deletable = F.col("__in_t") & ~F.col("__in_s")
     if delete_filter is not None:
-        deletable = deletable & (F.expr(delete_filter) if isinstance(delete_filter, str) else delete_filter)
+        matches = F.expr(delete_filter) if isinstance(delete_filter, str) else delete_filter
+        deletable = deletable & F.coalesce(matches, F.lit(False))
     if delete == "scoped":
         periods = (scope if scope is not None else source).select(F.col(period_col).alias("__p")).distinct()
         periods = periods.withColumn("__in_scope", F.lit(True))

@@ -40,5 +40,5 @@ def scd2_apply_changes(changes: DataFrame, keys: Sequence[str], seq: str, tracke
     last_of = lambda c: F.max_by(F.col(c), F.struct(*order)).alias(c)
     versions = flagged.groupBy(*keys, "__ver").agg(
         F.min(seq).alias(start), *[last_of(c) for c in tracked], *[last_of(c) for c in untracked])
-    vw = Window.partitionBy(*keys).orderBy(start)
+    vw = Window.partitionBy(*keys).orderBy(start, "__ver")  # versions may share a start
     return versions.withColumn(end, F.lead(start).over(vw)).drop("__ver")

@@ -119,15 +119,10 @@ def fn_array_hof(spark, d):
 SELECT n.n_nationkey, n.n_name, r.r_name AS region_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def fn_map_struct(spark, d):
     t = Tables(spark, d)
-    dim = t.region.select("r_regionkey", "r_name")
-    if dim.limit(10001).count() <= 10000:
-        # a proven-small dimension becomes a one-row id -> name map broadcast to every task
-        m = dim.agg(F.map_from_entries(F.collect_list(F.struct("r_regionkey", "r_name"))).alias("m"))
-        j = t.nation.crossJoin(F.broadcast(m))
-        s = j.select("n_nationkey", "n_name", F.struct(F.element_at("m", F.col("n_regionkey")).alias("name")).alias("st"))
-        return s.select("n_nationkey", "n_name", F.col("st.name").alias("region_name"))
+    # an id -> struct map per region row, read through the join
+    dim = t.region.select("r_regionkey", F.create_map(F.col("r_regionkey"), F.struct(F.col("r_name").alias("name"))).alias("m"))
     j = t.nation.join(dim, F.col("n_regionkey") == F.col("r_regionkey"))
-    return j.select("n_nationkey", "n_name", F.col("r_name").alias("region_name"))
+    return j.select("n_nationkey", "n_name", F.element_at("m", F.col("n_regionkey"))["name"].alias("region_name"))
 
 
 @query("fn_json_hash", """

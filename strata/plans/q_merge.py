@@ -240,7 +240,7 @@ v AS (
   FROM h GROUP BY user_id, ver
 )
 SELECT user_id, __START_AT, event_type, value, event_id,
-       lead(__START_AT) OVER (PARTITION BY user_id ORDER BY __START_AT) AS __END_AT
+       lead(__START_AT) OVER (PARTITION BY user_id ORDER BY __START_AT, ver) AS __END_AT
 FROM v""")
 def s25_scd2_apply_changes(spark, d):
     ev = B.events_dq(spark, d)

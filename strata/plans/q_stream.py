@@ -39,17 +39,24 @@ def w1_stream_dedupe(spark, d):
 
 
 @query("w2_stream_uniqueness", """
-SELECT 'ind__event_id' AS check_name, count(*) AS n_keys, max(n) AS max_dup_count
-FROM (SELECT event_id, count(*) AS n FROM events GROUP BY event_id)
+WITH planted AS (SELECT event_id, user_id, ts FROM events
+                 UNION ALL SELECT event_id, user_id, ts + INTERVAL 5 SECOND FROM events WHERE event_id % 50 = 0)
+SELECT 'ind__event_id' AS check_name, count(*) AS n_keys, sum(CASE WHEN n > 1 THEN 1 ELSE 0 END)::BIGINT AS n_dup, max(n) AS max_dup_count
+FROM (SELECT event_id, count(*) AS n FROM planted GROUP BY event_id)
 UNION ALL
-SELECT 'cmp__user_id_ts', count(*), max(n) FROM (SELECT user_id, ts, count(*) AS n FROM events GROUP BY user_id, ts)""")
+SELECT 'cmp__user_id_ts', count(*), sum(CASE WHEN n > 1 THEN 1 ELSE 0 END)::BIGINT, max(n)
+FROM (SELECT user_id, ts, count(*) AS n FROM planted GROUP BY user_id, ts)""")
 def w2_stream_uniqueness(spark, d):
-    counts = W.uniqueness_counts(events_stream(spark, d), "ts", individual=["event_id"], composite=[["user_id"]])
-    sink = W.run_available_now(spark, counts, "w2", mode="update", foreach_batch=W.fail_on_duplicates)
-    out = spark.read.parquet(sink).groupBy("check_name", "key_value", "ts").agg(F.max("dup_count").alias("n"))
-    return (out.groupBy(F.when(F.col("check_name") == "cmp__user_id", "cmp__user_id_ts")
-                        .otherwise(F.col("check_name")).alias("check_name"))
-               .agg(F.count(F.lit(1)).alias("n_keys"), F.max("n").alias("max_dup_count")))
+    e = events_stream(spark, d).select("event_id", "user_id", "ts")
+    # every 50th event comes again five seconds later
+    planted = e.withColumn("ts", F.explode(F.when(F.col("event_id") % 50 == 0, F.array("ts", F.expr("ts + interval 5 seconds")))
+                                           .otherwise(F.array("ts"))))
+    counts = W.uniqueness_counts(planted, individual=["event_id"], composite=[["user_id", "ts"]])
+    sink = W.run_available_now(spark, counts, "w2", mode="update")
+    seen = W.latest_state(spark, sink, ["check_name", "key_value"])
+    return seen.groupBy("check_name").agg(F.count(F.lit(1)).alias("n_keys"),
+                                          F.sum(F.when(F.col("dup_count") > 1, 1).otherwise(0)).alias("n_dup"),
+                                          F.max("dup_count").alias("max_dup_count"))
 
 
 def _stream_quarantine(spark, d):
@@ -61,7 +68,8 @@ def _stream_quarantine(spark, d):
 def w4_quarantine_counts(spark, d):
     q, _ = _stream_quarantine(spark, d)
     counts = W.quarantine_counts(q, "ts", "events")
-    return spark.read.parquet(W.run_available_now(spark, counts, "w4", mode="complete"))
+    sink = W.run_available_now(spark, counts, "w4", mode="update")
+    return W.latest_state(spark, sink, ["table_name", "window_start"])
 
 
 @query("w5_append_flow", "SELECT event_id, user_id, event_type FROM events")

@@ -8,6 +8,7 @@ always wins over the local fallback used in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,8 +49,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for ``checkpoint()`` and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` from the session when the cluster sets it; only
-    when it is unset (local tests) a fresh scratch folder is created and registered.
+    Uses ``spark.checkpoint.dir`` from the session when the cluster sets it. Only a
+    ``local`` master falls back to a fresh scratch folder: on a cluster a folder of one
+    machine is not seen by the others, so an unset folder is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -59,6 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder shared by the cluster ({master})")
     local = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
@@ -69,3 +74,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df, name: str):
+    """Write ``df`` once under the shared checkpoint dir and read it back: later steps read the
+    table instead of recomputing the plan, and a lost executor costs no more than its tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

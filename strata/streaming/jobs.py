@@ -3,11 +3,12 @@
 Streams are read incrementally from append-only parquet folders (``scan_stream``),
 transformed with the same stateless operators as the batch path (flags, quarantine
 verdicts), and written with ``trigger(availableNow=True)`` - the triggered,
-run-to-completion model of the reference pipelines. Checkpoints live under the
-session's shared ``spark.checkpoint.dir`` so a restarted job resumes exactly once.
-Stateful steps keep bounded state: uniqueness and quarantine windows carry
-watermarks; the watermark-free dedupe (reference behaviour, unbounded state) is
-offered next to the bounded ``dropDuplicatesWithinWatermark`` form.
+run-to-completion model of the reference pipelines. A job that is given its sink and
+checkpoint folders resumes where it stopped: batches written through ``foreachBatch`` go
+to one folder per batch id, which a retry overwrites. Without folders a run is a fresh
+one under the session's shared ``spark.checkpoint.dir``.
+Quarantine windows and the windowed uniqueness check carry watermarks and so bounded
+state; the watermark-free dedupe and uniqueness check (reference behaviour) keep every key.
 """
 
 from __future__ import annotations
@@ -32,21 +33,34 @@ def stream_dedupe(stream: DataFrame, keys: Sequence[str], watermark: tuple[str,
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def uniqueness_counts(stream: DataFrame, ts: str, individual: Sequence[str] = (),
-                      composite: Sequence[Sequence[str]] = (), delay: str = "20 minutes") -> DataFrame:
-    """Per key set running counts (``ind__c`` / ``cmp__a_b``) under a watermark on
-    ``ts``; a micro-batch containing any ``dup_count <> 1`` fails in
-    :func:`fail_on_duplicates`. Keys are event-time bounded: state for a key ends when
-    the watermark passes its event time (a later duplicate passes - documented)."""
-    src = stream.withWatermark(ts, delay)
+def uniqueness_counts(stream: DataFrame, individual: Sequence[str] = (), composite: Sequence[Sequence[str]] = (),
+                      within: tuple[str, str, str] | None = None) -> DataFrame:
+    """Running count per key set (``ind__c`` / ``cmp__a_b``), by the keys alone; a
+    micro-batch that brings any ``dup_count <> 1`` fails in :func:`fail_on_duplicates`.
+
+    Without ``within`` every key ever seen is kept. ``within = (ts_col, window, delay)`` bounds
+    the state: keys are counted per sliding event-time window (half a window apart, so that two
+    events closer than half a window always share one) and dropped behind the watermark."""
     sets = [([c], f"ind__{c}") for c in individual] + [(list(s), "cmp__" + "_".join(s)) for s in composite]
-    parts = [src.groupBy(*k, ts).agg(F.count(F.lit(1)).alias("dup_count"))
+    src, extra = stream, []
+    if within is not None:
+        ts, window, delay = within
+        half = f"{_seconds(stream.sparkSession, window) // 2} seconds"
+        src = stream.withWatermark(ts, delay)
+        extra = [F.window(ts, window, half).alias("window")]
+    parts = [src.groupBy(*k, *extra).agg(F.count(F.lit(1)).alias("dup_count"))
                 .select(F.lit(label).alias("check_name"),
-                        F.concat_ws("|", *[F.col(c).cast("string") for c in k]).alias("key_value"), ts, "dup_count")
+                        F.concat_ws("|", *[F.col(c).cast("string") for c in k]).alias("key_value"), "dup_count",
+                        *(["window"] if within else []))
              for k, label in sets]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _seconds(spark: SparkSession, interval: str) -> int:
+    return int(spark.sql(f"SELECT unix_timestamp(timestamp'1970-01-02' + interval {interval}) "
+                         "- unix_timestamp(timestamp'1970-01-02') AS s").first()["s"])
+
+
 def fail_on_duplicates(batch: DataFrame, batch_id: int) -> None:
     """``foreachBatch`` gate for W2: raise when the batch holds a duplicate."""
     if not batch.where(F.col("dup_count") != 1).isEmpty():
@@ -80,23 +94,62 @@ def append_flows(streams: Sequence[DataFrame]) -> DataFrame:
 
 
 def run_available_now(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
-                      foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      sink_format: str = "parquet") -> str:
+                      foreach_batch: Callable[[DataFrame, int], None] | None = None, sink: str | None = None,
+                      checkpoint: str | None = None) -> str:
     """Run a stream to completion with ``availableNow``; returns the sink folder.
-    Complete/update-mode aggregates go through ``foreachBatch`` (each batch rewrites the
-    result snapshot)."""
-    sink = scratch_path(spark, f"{name}-sink")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
+
+    With ``sink`` and ``checkpoint`` a later call reads only what is new. Update and complete
+    mode, and any job with ``foreach_batch``, write one folder per batch id (``batch=<id>``), so
+    that a retried batch replaces itself; read them with :func:`latest_state` or as one table."""
+    sink = sink or scratch_path(spark, f"{name}-sink")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach_batch is not None or mode in ("complete", "update"):
         def sink_batch(batch: DataFrame, batch_id: int) -> None:
-            if foreach_batch is not None:
-                foreach_batch(batch, batch_id)
-            batch.write.mode("overwrite" if mode == "complete" else "append").format(sink_format).save(sink)
+            held = batch.persist()
+            try:
+                if foreach_batch is not None:
+                    foreach_batch(held, batch_id)
+                held.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+            finally:
+                held.unpersist()
         q = w.foreachBatch(sink_batch).start()
     else:
-        q = w.format(sink_format).option("path", sink).start()
+        q = w.format("parquet").option("path", sink).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return sink
+
+
+def latest_state(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of an update-mode sink: per key the row of its last batch (a partial maximum, no sort)."""
+    rows = spark.read.parquet(sink)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return (rows.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("__r"))
+            .select(*keys, *[F.col(f"__r.`{c}`").alias(c) for c in rest]))
+
+
+def stream_enrich(stream: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """A stream joined to a static table (re-read with every micro-batch); stateless."""
+    return stream.join(dim, on, how)
+
+
+def scd2_stream(spark: SparkSession, changes: DataFrame, name: str, keys: Sequence[str], seq: str, tracked: Sequence[str],
+                untracked: Sequence[str] = (), tiebreak: Sequence[str] = (), sink: str | None = None,
+                checkpoint: str | None = None) -> str:
+    """SCD2 apply-changes over a change stream; returns the folder of change batches.
+
+    A micro-batch appends its changes under its batch id (a retry replaces them); the versions are
+    a function of all changes landed so far, whatever their order of arrival, so late changes
+    re-open history correctly. Read them with :func:`scd2_versions`."""
+    cols = [*keys, seq, *tracked, *untracked, *[c for c in tiebreak if c != seq]]
+    return run_available_now(spark, changes.select(*dict.fromkeys(cols)), name, foreach_batch=lambda batch, batch_id: None,
+                             sink=sink, checkpoint=checkpoint)
+
+
+def scd2_versions(spark: SparkSession, sink: str, keys: Sequence[str], seq: str, tracked: Sequence[str],
+                  untracked: Sequence[str] = (), tiebreak: Sequence[str] = (), **options) -> DataFrame:
+    """The SCD2 table of the changes that :func:`scd2_stream` has landed."""
+    from strata.operators.scd2 import scd2_apply_changes
+    return scd2_apply_changes(spark.read.parquet(sink).drop("batch"), keys, seq, tracked, untracked, tiebreak=tiebreak, **options)
