@@ -24,12 +24,6 @@ def quarter_label(c: Column) -> Column:
     return F.concat(F.year(c).cast("string"), F.lit("-Q"), F.quarter(c).cast("string"))
 
 
-def negate_numeric(df, exclude=()):
-    """Unary minus on every numeric column (elimination rows)."""
-    num = {"double", "float", "int", "bigint", "smallint", "tinyint"}
-    return df.select(*[(-F.col(c)).alias(c) if t in num and c not in exclude else F.col(c) for c, t in df.dtypes])
-
-
 def bounded_ts(c: Column, lo: str = "1900-01-01", hi: str = "2260-12-31") -> Column:
     """Interval-bounds sanitiser: timestamps outside [lo, hi] become NULL."""
     return F.when((c < F.lit(lo).cast("timestamp")) | (c > F.lit(hi).cast("timestamp")), F.lit(None)).otherwise(c)

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialise
+
 
 @dataclass
 class Check:
@@ -175,9 +177,10 @@ def run_checks(df: DataFrame, checks: Sequence[Check], pk: Sequence[str], table:
     """Returns (valid rows, findings one row per failed check, one-row summary).
 
     Summary: total rows, distinct failing PKs for error and warning checks, success rate
-    = (total - failing PKs) / total * 100 to 2 dp, status and its emoji, checks run -
-    all from a single aggregate over the evaluated rows."""
-    ev = evaluate(df, checks)
+    = (total - failing PKs) / total * 100 to 2 dp, status, checks run. The checks are evaluated
+    once: the evaluated table is written to the shared scratch folder and all three read it;
+    failing PKs are one flag per PK, summed."""
+    ev = materialise(evaluate(df, checks), "evaluated-checks")
     valid = ev.where(F.size("_errors") == 0).drop("_errors", "_warnings")
     findings = (ev.select(*pk, F.explode(F.concat(
                     F.transform("_errors", lambda x: F.struct(x.alias("f"), F.lit("ERROR").alias("criticality"))),
@@ -186,10 +189,10 @@ def run_checks(df: DataFrame, checks: Sequence[Check], pk: Sequence[str], table:
                   .select(*pk, F.col("_x.f.name").alias("check_name"), F.col("_x.f.function").alias("check_function"),
                           F.col("_x.f.message").alias("check_message"), F.col("_x.f.columns").alias("check_columns"),
                           F.col("_x.criticality").alias("criticality")))
-    pk_struct = F.struct(*[F.col(c) for c in pk])
-    s = ev.agg(F.count(F.lit(1)).alias("total_rows"),
-               F.count_distinct(F.when(F.size("_errors") > 0, pk_struct)).alias("failed_rows"),
-               F.count_distinct(F.when(F.size("_warnings") > 0, pk_struct)).alias("warning_rows"))
+    per_pk = ev.groupBy(*pk).agg(F.count(F.lit(1)).alias("n"), F.max((F.size("_errors") > 0).cast("int")).alias("e"),
+                                 F.max((F.size("_warnings") > 0).cast("int")).alias("w"))
+    zero = F.lit(0).cast("bigint")
+    s = per_pk.agg(*[F.coalesce(F.sum(c), zero).alias(n) for c, n in (("n", "total_rows"), ("e", "failed_rows"), ("w", "warning_rows"))])
     summary = s.select(
         F.lit(table).alias("table_name"), "total_rows", "failed_rows", "warning_rows",
         F.when(F.col("total_rows") > 0,

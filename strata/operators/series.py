@@ -5,12 +5,10 @@ period to the global last period. Design for scale:
 
 * facts are aggregated to (grain, period) first - partial aggregation collapses hot
   grains inside each input partition before any shuffle;
-* the spine is generated per grain with ``sequence`` + ``explode`` (distributed, one
-  row per grain and period) and the last period is a one-row aggregate broadcast to
-  every task;
-* spine and facts are *unioned and re-aggregated* on (grain, period) instead of being
-  joined: ``GROUP BY`` treats NULL keys as equal, so the fill is null-safe on the full
-  grain without a ten-column ``<=>`` join, and there is one shuffle instead of two;
+* gaps are filled from the aggregated facts themselves: every fact row is spread, with
+  ``lead`` and ``sequence``, over the periods up to the grain's next one (the last period is
+  a one-row aggregate), carrying its sums in its own period only. Grouping treats NULL keys
+  as equal, so no join on the grain is needed at all;
 * running totals and the NAV forward fill are windows partitioned by the full grain
   over the (small) period series of one grain.
 """
@@ -52,15 +50,13 @@ def calendarise(df: DataFrame, grain: Sequence[str], date_col: str, sums: Sequen
                .groupBy(*grain, "Period")
                .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes]))
     last = facts.agg(F.max("Period").alias("_last"))
-    spine = (facts.groupBy(*grain).agg(F.min("Period").alias("_first"))
-                  .crossJoin(F.broadcast(last))
-                  .select(*grain, F.explode(F.sequence("_first", "_last", F.expr(f"interval {_STEP[unit]}")))
-                          .alias("Period"))
-                  .select(*grain, "Period", *[F.lit(0.0).alias(c) for c in sums],
-                          *[F.lit(None).cast(dict(facts.dtypes)[c]).alias(c) for c in maxes]))
-    dense = (facts.unionByName(spine)
-                  .groupBy(*grain, "Period")
-                  .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes]))
+    step = F.expr(f"interval {_STEP[unit]}")
+    ahead = F.lead("Period").over(Window.partitionBy(*grain).orderBy("Period"))
+    spread = (facts.withColumn("_ahead", ahead).crossJoin(F.broadcast(last))
+                   .select(*grain, *sums, *maxes, F.posexplode(F.sequence("Period", F.coalesce((F.col("_ahead") - step).cast("date"), F.col("_last")), step)).alias("_k", "Period")))
+    own = F.col("_k") == 0
+    dense = spread.select(*grain, "Period", *[F.when(own, F.col(c)).otherwise(F.lit(0.0)).alias(c) for c in sums],
+                          *[F.when(own, F.col(c)).alias(c) for c in maxes])
     w = (Window.partitionBy(*grain).orderBy("Period")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     exprs = {out: F.sum(c).over(w) for out, c in (cumulative or {}).items()}

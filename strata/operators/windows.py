@@ -35,12 +35,6 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               .select(*df.columns))
 
 
-def keep_first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """N1 (general form): ``row_number() = 1`` for mixed sort directions."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def rank_rows(df: DataFrame, partition: Sequence[str] | None, order: dict[str, str],
               name: str = "rank") -> DataFrame:
     """``row_number`` over ``{col: 'asc'|'desc'}`` (the reference calls it rank)."""
@@ -94,12 +88,6 @@ def period_delta(df: DataFrame, keys: Sequence[str], order: Sequence, measures:
     return df.withColumns(exprs)
 
 
-def lag_of(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, str]) -> DataFrame:
-    """Previous-row values ``{out: col}`` (building block of N6/N7/N13)."""
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    return df.withColumns({out: F.lag(c).over(w) for out, c in cols.items()})
-
-
 def close_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str = "end",
                     tiebreak: Sequence[str] = ()) -> DataFrame:
     """``end = lead(start)`` per key (open end stays NULL)."""

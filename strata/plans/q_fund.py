@@ -209,9 +209,9 @@ for _unit in ("month", "quarter"):
     for _slice, _tag in (("Investor_Country", "country"), ("Investor_Type", "type")):
         def _mk_share(unit=_unit, sl=_slice):
             def fn(spark, d):
-                daily = _daily(spark, d)
-                tot = FM.fund_period_totals(FM.fundoperations_calendarised(daily, unit), unit)
-                return FM.investor_share(FM.fundoperations_by_slice(daily, sl, unit), tot, sl, unit)
+                # slices add up to the fund, so slice and total come from one series
+                series = FM.fundoperations_by_slice(_daily(spark, d), sl, unit)
+                return FM.investor_share(series, FM.fund_period_totals(series, unit), sl, unit)
             return fn
 
         query(f"m13_investor_{_tag}_share_{_unit}ly",

@@ -226,6 +226,15 @@ def a2_sum_by_type(spark, d):
     return r.withColumns({"finished": F.round("finished", 2), "open_or_pending": F.round("open_or_pending", 2)})
 
 
+@query("a3_agg_all", """
+SELECT count(l_orderkey) AS n, MIN(l_quantity) AS lo, MAX(l_quantity) AS hi, ROUND(AVG(l_quantity), 6) AS mean, ROUND(SUM(l_extendedprice), 2) AS total
+FROM lineitem""")
+def a3_agg_all(spark, d):
+    a = A.agg_sum(Tables(spark, d).lineitem, [], {"n": ("count", "l_orderkey"), "lo": ("min", "l_quantity"), "hi": ("max", "l_quantity"),
+                                                  "mean": ("avg", "l_quantity"), "total": ("sum", "l_extendedprice")})
+    return a.withColumns({"mean": F.round("mean", 6), "total": F.round("total", 2)})
+
+
 @query("a4_distinct_count", """
 SELECT c.c_nationkey, count(DISTINCT o.o_custkey) AS n_distinct
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1""")

@@ -181,14 +181,15 @@ query("c7_history_reconcile", QUERIES["t14_compare_histories"].sql)(t14_compare_
 
 @query("c9_restrict_paths", f"""
 WITH {B.EDGES_CTE}, {REL_CTE},
-roots AS (SELECT DISTINCT parent_id FROM edges WHERE parent_id < 30),
+roots AS (SELECT c_custkey AS parent_id FROM customer WHERE c_mktsegment = 'BUILDING'),
 leaves AS (SELECT DISTINCT child_id FROM edges e WHERE NOT EXISTS (SELECT 1 FROM edges x WHERE x.parent_id = e.child_id))
 SELECT DISTINCT * FROM rel_ids
 WHERE ultimate_parent_id IN (SELECT concat('N', parent_id) FROM roots)
   AND ultimate_child_id IN (SELECT concat('N', child_id) FROM leaves)""")
 def c9_restrict_paths(spark, d):
     e = B.edges(spark, d)
-    roots = e.where(F.col("parent_id") < 30).select(F.concat(F.lit("N"), F.col("parent_id").cast("string")).alias("r"))
+    c = Tables(spark, d).customer
+    roots = c.where(F.col("c_mktsegment") == "BUILDING").select(F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("r"))
     parents = e.select(F.col("parent_id").alias("child_id")).distinct()
     leaves = e.select("child_id").distinct().join(parents, "child_id", "left_anti").select(
         F.concat(F.lit("N"), F.col("child_id").cast("string")).alias("l"))

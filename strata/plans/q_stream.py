@@ -146,6 +146,16 @@ def s5_unpack_variant_records(spark, d):
     return I.unpack_variant_records(e, "v", None, {"k": "$.k"}, meta_cols=["event_id"])
 
 
+@query("s5_unpack_variant_array", """
+SELECT event_id, i AS k FROM (SELECT event_id, unnest([CAST(event_id AS VARCHAR), event_type]) AS i FROM events)""")
+def s5_unpack_variant_array(spark, d):
+    e = Tables(spark, d).events
+    item = lambda c: F.struct(c.cast("string").alias("k"))
+    doc = F.to_json(F.struct(F.array(item(F.col("event_id")), item(F.col("event_type"))).alias("rows")))
+    out = I.unpack_variant_records(e.select("event_id", F.parse_json(doc).alias("v")), "v", "$.rows", {"k": "$.k"}, meta_cols=["event_id"])
+    return out.drop("row_hash")
+
+
 @query("s6_explode_json_array", "SELECT user_id, event_id, value FROM events")
 def s6_explode_json_array(spark, d):
     e = Tables(spark, d).events
@@ -156,7 +166,7 @@ def s6_explode_json_array(spark, d):
 @query("s7_infer_variant_schema", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def s7_infer_variant_schema(spark, d):
     e = Tables(spark, d).events.withColumn("v", F.parse_json("props"))
-    ddl = I.infer_variant_schema(e, "v").replace("OBJECT<", "STRUCT<")
+    ddl = I.infer_variant_schema(e, "v")
     return e.select("event_id", F.from_json("props", ddl).alias("r")).select("event_id", "r.*")
 
 

@@ -67,8 +67,14 @@ def explode_json_array(df: DataFrame, col: str, sample_json: str, keep: Sequence
 
 def infer_variant_schema(df: DataFrame, col: str) -> str:
     """Aggregate a schema over every row of a variant column (one aggregate
-    action; returns the DDL string for ``from_json``)."""
-    return df.agg(F.schema_of_variant_agg(F.col(col)).alias("s")).first()["s"]
+    action; returns the DDL string for ``from_json``). An empty or all-NULL column gives an
+    empty struct; a payload that is no object raises."""
+    found = df.agg(F.schema_of_variant_agg(F.col(col)).alias("s")).first()["s"]
+    if found is None or found in ("VOID", "OBJECT<>"):
+        return "STRUCT<>"
+    if not found.startswith("OBJECT<"):
+        raise ValueError(f"{col} holds no objects but {found}")
+    return found.replace("OBJECT<", "STRUCT<")
 
 
 def rename_from_lookup(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -138,8 +144,3 @@ def attach_comments(df: DataFrame, defs: dict[str, dict]) -> DataFrame:
         else:
             exprs.append(F.col(f"`{c}`"))
     return df.select(*exprs)
-
-
-def struct_from_defs(defs: dict[str, str]) -> T.StructType:
-    """Schema system: ``{col: 'TYPE'}`` -> StructType."""
-    return T._parse_datatype_string(", ".join(f"`{k}` {v}" for k, v in defs.items()))  # type: ignore[attr-defined]

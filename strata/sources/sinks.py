@@ -34,8 +34,10 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def write_issues(df: DataFrame, path: str) -> bool:
-    """Write findings when there are any (emptiness probe, no count)."""
+    """Write findings when there are any (emptiness probe, no count); without findings the
+    table of the last run becomes empty."""
     if df.isEmpty():
+        df.write.mode("overwrite").parquet(path)
         return False
     df.write.mode("overwrite").parquet(path)
     return True

@@ -22,14 +22,6 @@ def scan(spark: SparkSession, root: str, name: str, columns: list[str] | None =
     return df.select(*columns) if columns else df
 
 
-def cast_ntz(df: DataFrame) -> DataFrame:
-    """``timestamp_ntz`` -> session-zone ``timestamp`` (watermarks need the latter)."""
-    cols = [F.col(f.name).cast("timestamp").alias(f.name)
-            if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
-            for f in df.schema.fields]
-    return df.select(*cols)
-
-
 def scan_stream(spark: SparkSession, path: str, schema: T.StructType,
                 max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """Incremental read of an append-only parquet folder (new files only)."""
