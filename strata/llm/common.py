@@ -3,15 +3,19 @@ vectorised (numpy over UTF-8 buffers) text primitives used inside Arrow tasks.""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from functools import reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import strata
 from strata.session import scratch_path
 
 WS = b" \t\n\x0b\x0c\r"
@@ -19,6 +23,22 @@ WS = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 2 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this library importable in the Python workers, once per application, by adding its
+    sources to those that Spark hands to every executor. (A cluster that has it installed, or a
+    job submitted with it, reads the same code.)"""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    root = Path(strata.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="strata-"), "strata_sources.zip")  # the driver serves it from there
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"strata/{f.relative_to(root).as_posix()}")
+    sc.addPyFile(str(path))
+    sc._strata_shipped = True
+
+
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` under the cluster's shared checkpoint folder and read it back: cuts
     lineage, so a lost executor costs no recomputation of what stands before it."""

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.common import ship
 from strata.sources.tables import scan as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +18,10 @@ ORACLES: dict[str, str] = {}
 
 def llm_query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql.strip()
         return fn
