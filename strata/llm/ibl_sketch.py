@@ -171,7 +171,7 @@ def edited(text: str, following: str) -> str:
 
 def in_ranges(docs: DataFrame, id_col: str, text_col: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(range, ahead, id, text): the documents in descending order of id, cut into ranges of about
-    ``range_bytes``, each sorted in its partition and followed by the first document of the next
+    ``range_bytes``, one to a partition and sorted there and followed by the first document of the next
     range (``ahead`` = 1; after the last range: of the first). One shuffle of the texts; only the
     range bounds, which are ids, come to the driver."""
     key, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -200,7 +200,7 @@ def in_ranges(docs: DataFrame, id_col: str, text_col: str, range_bytes: int = RA
               .select(F.col("p.range").alias("range"), F.lit(0).alias("ahead"), "id", "text", F.col("p.head").alias("head")))
     n = max(1, len(firsts))
     ahead = placed.where("head").select(F.pmod(F.col("range") - 1, F.lit(n)).alias("range"), F.lit(1).alias("ahead"), "id", "text")
-    return (placed.drop("head").unionByName(ahead).repartition(n, "range")
+    return (placed.drop("head").unionByName(ahead).repartitionById(n, F.col("range"))
             .sortWithinPartitions("range", "ahead", F.col("id").desc_nulls_last(), F.length("text"), F.xxhash64("text")))
 
 
