@@ -26,16 +26,18 @@ from pyspark.sql import types as T
 from strata.llm.common import (extended, mix64, per_document, slices, span_hashes, starts_code_point, texts_of, utf8,
                                window_hashes, word_spans)
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_stutters")
 WINDOW = 8
-#: ratio -> (numerator, denominator, least spread of the fence, two-sided)
+#: ratio -> (numerator, denominator, what is added to the denominator so that one case in a short text
+#: weighs little, least spread of the fence, two-sided)
 RATIOS = {
-    "symbols": ("n_symbols", "word_chars", 0.01, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.04, False),
-    "repeats": ("n_repeat_words", "n_words", 0.04, False),
-    "upper": ("n_upper", "word_chars", 0.04, False),
-    "marks": ("n_marks", "n_words", 0.04, False),
-    "word_length": ("word_chars", "n_words", 0.5, True),
+    "symbols": ("n_symbols", "word_chars", 0, 0.01, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 4, 0.05, False),
+    "repeats": ("n_repeat_words", "n_words", 0, 0.05, False),
+    "stutters": ("n_stutters", "n_words", 4, 0.03, False),
+    "upper": ("n_upper", "word_chars", 0, 0.04, False),
+    "marks": ("n_marks", "n_words", 0, 0.04, False),
+    "word_length": ("word_chars", "n_words", 0, 0.5, True),
 }
 #: Relative width of a sketch bucket, and the ratio below which all values share bucket 0.
 GAMMA, TINY = 1.02, 1e-4
@@ -66,15 +68,17 @@ def counts_of(texts: pa.Array) -> dict[str, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     again = np.zeros(len(keys), bool)
     again[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    words = span_hashes(data, starts, ends)
     return {
         "n_words": n_words,
         "word_chars": per_document(in_word & starts_code_point(data), offs),
         "n_symbols": per_document(_SYMBOL[data], offs),
         "n_dup_lines": np.bincount(d[again], minlength=n),
-        "n_repeat_words": _repeat_words(span_hashes(data, starts, ends), doc, n),
+        "n_repeat_words": _repeat_words(words, doc, n),
         "n_lines": np.bincount(d, minlength=n),
         "n_upper": per_document(_UPPER[data], offs),
         "n_marks": per_document(_MARK[data], offs),
+        "n_stutters": np.bincount(doc[1:][(words[1:] == words[:-1]) & (doc[1:] == doc[:-1])], minlength=n),
     }
 
 
@@ -128,8 +132,8 @@ def base_failed() -> Column:
 
 
 def ratio(name: str) -> Column:
-    top, bottom, _, _ = RATIOS[name]
-    return F.coalesce(F.try_divide(F.col(top).cast("double"), F.col(bottom).cast("double")), F.lit(0.0))
+    top, bottom, more, _, _ = RATIOS[name]
+    return F.coalesce(F.try_divide(F.col(top).cast("double"), (F.col(bottom) + more).cast("double")), F.lit(0.0))
 
 
 def sketch(measured: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -161,8 +165,8 @@ def fences(sketches: DataFrame, reach: float, least_docs: int) -> DataFrame:
     def quantile(q: float) -> Column:
         return F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("value")))
 
-    spread = F.create_map(*[x for r, (_, _, s, _) in RATIOS.items() for x in (F.lit(r), F.lit(s))])
-    two_sided = F.col("ratio").isin([r for r, x in RATIOS.items() if x[3]])
+    spread = F.create_map(*[x for r, (_, _, _, s, _) in RATIOS.items() for x in (F.lit(r), F.lit(s))])
+    two_sided = F.col("ratio").isin([r for r, x in RATIOS.items() if x[4]])
     reached = F.lit(reach) * F.greatest(F.col("q75") - F.col("q25"), spread[F.col("ratio")])
     read = (seen.groupBy("level", "lang", "source", "ratio")
             .agg(F.max("total").alias("docs"), quantile(0.25).alias("q25"), quantile(0.75).alias("q75"))
