@@ -1,22 +1,24 @@
 """N-gram Jaccard join on a prefix tree.
 
 A document's set are its distinct word n-grams, hashed to 63 bits and globally ordered (rare
-before frequent, then by hash). Two sets link when their Jaccard likeness reaches the threshold.
+tokens by hash, then frequent ones by rising count). Two sets link when their Jaccard likeness reaches the threshold.
 
 1. Equal sets are collapsed into classes; the smallest id represents a class. Only
    representatives go on; their texts are written once, compressed and bucketed by id, so that
    later steps join narrow rows to them in place.
-2. The first branching of the tree is dealt over the cluster: every set is filed under the
-   tokens of its prefix (two sets that link share one). Before that, sets that share a min-hash
-   are compared with one of their number, which ties most groups of near copies together.
-   Under a token only sets of different components are paired, if their lengths allow, and a
-   pair goes on only if the tokens it shares in both prefixes plus what remains behind them
-   could reach the required overlap.
-3. Below, a task holds a probe and at most ``TREE_SETS`` partners in a prefix tree, and walks it
-   with the probe: overlaps of shared paths are counted once, and subtrees are left when the
-   overlap so far plus the lengths remaining cannot reach what is required. This is exact.
-
-Components grow between the rounds; no pair inside a component is compared again.
+2. Sets that share a min-hash are compared with one of their number, which ties most groups of
+   near copies together into components.
+3. The first branching of the tree is dealt over the cluster: every set is filed under the
+   tokens of its prefix (two sets that link share one). Under a token, sets that are alone in
+   their component are paired; a set and a larger component are named together once, however many
+   members of it stand there. A candidate goes on only if the tokens shared in the prefixes
+   plus what remains behind them could reach the required overlap.
+4. Below, a task holds a prefix tree of about ``TREE_SETS`` sets (partners of a probe, or a part of a
+   component) and walks it with each probe: overlaps of shared paths are counted once, and subtrees
+   are left when the overlap so far plus the lengths remaining cannot reach what is required.
+   This is exact; of a component one link is enough.
+
+No pair inside a component is ever written out, and no set is paired with each member of one.
 Frequent tokens are named by a mergeable summary of ``SUMMARY`` counters (a bounded broadcast);
 any choice of them gives the same links, only at a different cost.
 
@@ -47,15 +49,16 @@ SUMMARY, FREQUENT = 1 << 20, 1 << 18
 FREQUENT_LEAST = 32
 #: Min-hashes per set for the first round.
 SEEDS = mix64(np.arange(1, 5, dtype=np.uint64))
-#: Partners in one prefix tree, and tokens between two bound checks on a path.
-TREE_SETS, STRIDE = 64, 64
+#: Sets in one prefix tree, probes that walk it in one task, tokens between two bound checks on a path.
+TREE_SETS, PROBES, STRIDE = 64, 512, 64
 _HEAVY = np.uint64(1 << 63)
 
 
 # ------------------------------------------------------------------ sets
 
 def shingle_sets(texts: pa.Array, n: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, offsets): each text's distinct n-grams in global order."""
+    """(tokens, offsets): each text's distinct n-grams in global order: by hash, then those in
+    ``frequent`` (tokens, rarest first), which are replaced by their rank behind all hashes."""
     data, offs = utf8(texts)
     starts, ends, doc = word_spans(data, offs)
     words = span_hashes(data, starts, ends, BYTE_VALUE_LOWER)
@@ -72,8 +75,9 @@ def shingle_sets(texts: pa.Array, n: int, frequent: np.ndarray | None = None) ->
             owner.append(few)
     token, owner = np.concatenate(tokens) >> np.uint64(1), np.concatenate(owner)
     if frequent is not None and len(frequent) and len(token):
-        at = np.minimum(np.searchsorted(frequent, token), len(frequent) - 1)
-        token = np.where(frequent[at] == token, token | _HEAVY, token)
+        by_hash = np.argsort(frequent)
+        at = by_hash[np.minimum(np.searchsorted(frequent, token, sorter=by_hash), len(frequent) - 1)]
+        token = np.where(frequent[at] == token, at.astype(np.uint64) | _HEAVY, token)
     order = np.lexsort((token, owner))
     token, owner = token[order], owner[order]
     new = np.ones(len(token), bool)
@@ -93,7 +97,7 @@ def prefix_length(n, percent: int):
 
 
 def frequent_tokens(docs: DataFrame, n: int) -> np.ndarray:
-    """Sorted tokens that stand in many documents: a summary of SUMMARY counters per task
+    """Tokens that stand in many documents, rarest first: a summary of SUMMARY counters per task
     (counters below the cut are dropped and the cut subtracted, so summaries stay mergeable),
     added up by token; at most FREQUENT tokens come to the driver."""
 
@@ -115,7 +119,7 @@ def frequent_tokens(docs: DataFrame, n: int) -> np.ndarray:
 
     top = (docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
            .where(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toArrow())
-    return np.sort(top["token"].to_numpy().view(np.uint64))
+    return top["token"].to_numpy().view(np.uint64)[::-1].copy()
 
 
 def profiles(docs: DataFrame, n: int) -> DataFrame:
@@ -218,9 +222,10 @@ def hub_pairs(reps: DataFrame) -> DataFrame:
     return keys.join(hubs, ["k", "m"]).where("a < b").select("a", "b").distinct()
 
 
-def filed_pairs(bodies: DataFrame, member: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(a, b, ca, cb, shared): pairs of sets of different components that could link, by the
-    tokens they share in their prefixes. ``member`` is (rep, component)."""
+def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """(z, other, whole, shared): what could link by the tokens shared in the prefixes. ``other`` is a
+    set when it and ``z`` are alone in their components (``whole`` false), else the larger of their
+    components (size, then id). ``member`` is (rep, component, members)."""
     spark = bodies.sparkSession
     heavy = spark.sparkContext.broadcast(frequent)  # FREQUENT tokens at most
 
@@ -229,42 +234,70 @@ def filed_pairs(bodies: DataFrame, member: DataFrame, n: int, percent: int, freq
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                texts = pa.array([unzip(b).decode() for b in batch.column(2).to_pylist()], pa.string())
+                texts = pa.array([unzip(b).decode() for b in batch.column(3).to_pylist()], pa.string())
                 token, offs = shingle_sets(texts, n, heavy.value)
                 size = np.diff(offs)
                 take = prefix_length(size, percent) * (size > 0)
                 rows = np.repeat(np.arange(len(size)), take)
                 within = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
+                of = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token[offs[rows] + within].view(np.int64)), batch.column(0).take(pa.array(rows)),
-                     pa.array(size[rows]), batch.column(1).take(pa.array(rows))], ["token", "rep", "n", "component"])
+                    [pa.array(token[offs[rows] + within].view(np.int64)), pa.array(size[rows]), batch.column(0).take(of),
+                     batch.column(1).take(of), batch.column(2).take(of)], ["token", "n", "rep", "component", "members"])
+
+    def alone(token: np.ndarray, size: np.ndarray, rep: np.ndarray) -> Iterator[tuple]:
+        """Pairs of rows of one token whose lengths allow a link; rows come by token and size."""
+        at, step = np.arange(len(token)), 1
+        while len(at):  # row i against row i + step
+            at = at[at + step < len(token)]
+            at = at[token[at] == token[at + step]]
+            at = at[100 * size[at] >= percent * size[at + step]]  # later partners are larger still
+            p, q = at, at + step
+            swap = rep[p] > rep[q]
+            p, q = np.where(swap, q, p), np.where(swap, p, q)
+            yield rep[p], rep[q], size[p], size[q], size[q]
+            step += 1
+
+    def against(token: np.ndarray, size: np.ndarray, rep: np.ndarray, comp: np.ndarray, members: np.ndarray) -> Iterator[tuple]:
+        """A row and every larger component that stands under its token, once."""
+        many = np.flatnonzero(members > 1)
+        if not len(many):
+            return
+        many = many[np.lexsort((size[many], comp[many], token[many]))]
+        new = np.concatenate([[True], (token[many][1:] != token[many][:-1]) | (comp[many][1:] != comp[many][:-1])])
+        first, last = many[new], many[np.append(np.flatnonzero(new)[1:] - 1, len(many) - 1)]
+        begin, end = np.searchsorted(token, token[first]), np.searchsorted(token, token[first], side="right")
+        at = 0
+        while at < len(first):  # about a million rows at a time
+            width = np.cumsum(end[at:] - begin[at:])
+            upto = at + max(1, int(np.searchsorted(width, 1 << 20)))
+            count = (end - begin)[at:upto]
+            c = np.repeat(np.arange(at, upto), count)
+            z = np.arange(len(c)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[at:upto], count)
+            big, lo, hi = first[c], size[first[c]], size[last[c]]
+            fits = (members[z] < members[big]) | ((members[z] == members[big]) & (comp[z] < comp[big]))
+            fits &= (100 * size[z] >= percent * lo) & (100 * hi >= percent * size[z])
+            yield rep[z[fits]], comp[big[fits]], size[z[fits]], lo[fits], hi[fits]
+            at = upto
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        names = ["z", "other", "nz", "lo", "hi", "whole"]
 
         def give(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            token, rep, size, comp = cols
+            token, size, rep, comp, members = cols
             # tokens under which all sets are of one component have nothing to compare
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            count = np.diff(np.append(first, len(token)))
             mixed = np.maximum.reduceat(comp, first) != np.minimum.reduceat(comp, first)
-            keep = np.repeat(mixed, count)
-            token, rep, size, comp = token[keep], rep[keep], size[keep], comp[keep]
-            at = np.arange(len(token))
-            step = 1
-            while len(at):  # rows in order of token and size: row i against row i + step
-                at = at[at + step < len(token)]
-                at = at[token[at] == token[at + step]]
-                at = at[100 * size[at] >= percent * size[at + step]]  # later partners are larger still
-                i = at[comp[at] != comp[at + step]]
-                for k in range(0, len(i), 200_000):
-                    p, q = i[k:k + 200_000], i[k:k + 200_000] + step
-                    swap = rep[p] > rep[q]
-                    p, q = np.where(swap, q, p), np.where(swap, p, q)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rep[p], rep[q], size[p], size[q], comp[p], comp[q])],
-                                                     ["a", "b", "na", "nb", "ca", "cb"])
-                step += 1
+            keep = np.repeat(mixed, np.diff(np.append(first, len(token))))
+            token, size, rep, comp, members = (c[keep] for c in (token, size, rep, comp, members))
+            one = members == 1
+            for found, whole in ((alone(token[one], size[one], rep[one]), False), (against(token, size, rep, comp, members), True)):
+                for got in found:
+                    for k in range(0, len(got[0]), 200_000):
+                        part = [x[k:k + 200_000] for x in got]
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, part), pa.array(np.full(len(part[0]), whole))], names)
 
+        held: list[np.ndarray] = []
         for batch in batches:
             cols = [c.to_numpy() for c in batch.columns]
             held = [np.concatenate(x) for x in zip(held, cols)] if held else cols
@@ -275,71 +308,89 @@ def filed_pairs(bodies: DataFrame, member: DataFrame, n: int, percent: int, freq
         if held and len(held[0]):
             yield from give(held)
 
-    filed = (bodies.join(member, "rep").select("rep", "component", "body")
-             .mapInArrow(file, "token long, rep long, n long, component long"))
-    pairs = (filed.repartition("token").sortWithinPartitions("token", "n")
-             .mapInArrow(pair, "a long, b long, na long, nb long, ca long, cb long"))
-
-    def behind(x: str):
-        """Tokens of a set behind its prefix."""
-        return F.ceil(F.lit(percent) * F.col(x) / 100) - 1
-
-    need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
-    return (pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("na", "nb", "ca", "cb")])
-            .where(F.col("shared") + F.greatest(behind("na"), behind("nb")) >= need)
-            .select("a", "b", "ca", "cb", "shared"))
-
-
-def verified(pairs: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
-    """(u, v): the pairs (a, b) that link, found by walking prefix trees. The end of a pair with
-    more partners probes; its partners are dealt into trees of about TREE_SETS."""
-    ends = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x"))).groupBy("x").agg(F.count("*").alias("d"))
-    turned = (pairs.select("a", "b").join(ends.select(F.col("x").alias("a"), F.col("d").alias("da")), "a")
-              .join(ends.select(F.col("x").alias("b"), F.col("d").alias("db")), "b")
-              .select(F.when(F.col("da") >= F.col("db"), F.col("a")).otherwise(F.col("b")).alias("probe"),
-                      F.when(F.col("da") >= F.col("db"), F.col("b")).otherwise(F.col("a")).alias("rep"),
-                      F.greatest("da", "db").alias("d"))
+    filed = (bodies.join(member, "rep").select("rep", "component", "members", "body")
+             .mapInArrow(file, "token long, n long, rep long, component long, members long"))
+    found = (filed.repartition("token").sortWithinPartitions("token", "n")
+             .mapInArrow(pair, "z long, other long, nz long, lo long, hi long, whole boolean"))
+
+    def short_of(n_other) -> F.Column:
+        """Tokens that the prefixes must share, given what remains behind the longer one."""
+        behind = lambda x: F.ceil(F.lit(percent) * x / 100) - 1
+        return (F.ceil(F.lit(percent) * (F.col("nz") + n_other) / (100 + percent))
+                - F.greatest(behind(F.col("nz")), behind(n_other)))
+
+    # of a component, the sizes that could link at all; the least bound is at one of the ends
+    lo = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("nz") / 100))
+    hi = F.least(F.col("hi"), F.floor(F.lit(100) * F.col("nz") / percent))
+    return (found.groupBy("z", "other", "whole").agg(F.count("*").alias("shared"), F.max("nz").alias("nz"),
+                                                     F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            .where((lo <= hi) & (F.col("shared") >= F.least(short_of(lo), short_of(hi))))
+            .select("z", "other", "whole", "shared"))
+
+
+def pair_requests(pairs: DataFrame) -> DataFrame:
+    """(whole, key, tree, part, role, rep): the sets (role 0) and probes (role 1) of the trees that
+    decide the pairs (z, other). The end of a pair with more partners probes."""
+    ends = pairs.select(F.col("z").alias("x")).unionByName(pairs.select(F.col("other").alias("x"))).groupBy("x").agg(F.count("*").alias("d"))
+    turned = (pairs.select("z", "other").join(ends.select(F.col("x").alias("z"), F.col("d").alias("dz")), "z")
+              .join(ends.select(F.col("x").alias("other"), F.col("d").alias("do")), "other")
+              .select(F.when(F.col("dz") >= F.col("do"), F.col("z")).otherwise(F.col("other")).alias("key"),
+                      F.when(F.col("dz") >= F.col("do"), F.col("other")).otherwise(F.col("z")).alias("rep"),
+                      F.greatest("dz", "do").alias("d"))
               .withColumn("tree", F.pmod(F.xxhash64("rep"), F.ceil(F.col("d") / TREE_SETS))))
-    wanted = (turned.select("probe", "tree", F.lit(1).alias("role"), "rep")
-              .unionByName(turned.select("probe", "tree").distinct().select("probe", "tree", F.lit(0).alias("role"), F.col("probe").alias("rep"))))
+    probes = turned.select("key", "tree").distinct().withColumn("rep", F.col("key"))
+    named = lambda df, role: df.select(F.lit(False).alias("whole"), "key", "tree", F.lit(0).cast("long").alias("part"),
+                                       F.lit(role).alias("role"), "rep")
+    return named(turned, 0).unionByName(named(probes, 1))
+
+
+def component_requests(probes: DataFrame, member: DataFrame) -> DataFrame:
+    """The same for probes ``z`` of components ``other``: a component is dealt into trees, a component
+    with many probes into as many copies of each tree as bound the probes of a task."""
+    asked = (probes.groupBy(F.col("other").alias("key")).agg(F.count("*").alias("asked"))
+             .join(member.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("sets")), "key")
+             .select("key", F.ceil(F.col("sets") / TREE_SETS).alias("trees"), F.ceil(F.col("asked") / PROBES).alias("parts")))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    sets = (member.select(F.col("component").alias("key"), "rep").join(asked, "key")
+            .withColumn("tree", F.pmod(F.xxhash64("rep"), F.col("trees"))).withColumn("part", upto("parts")))
+    walkers = (probes.select(F.col("other").alias("key"), F.col("z").alias("rep")).join(asked, "key")
+               .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).withColumn("tree", upto("trees")))
+    named = lambda df, role: df.select(F.lit(True).alias("whole"), "key", "tree", "part", F.lit(role).alias("role"), "rep")
+    return named(sets, 0).unionByName(named(walkers, 1))
+
+
+def verified(requests: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
+    """(u, v): the links found by walking the requested trees: all of a probe's partners, and one set of
+    a component's tree."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor().decompress
-        key, probes, names, sets = None, [], [], []  # an id with several texts probes with each
-
-        def links() -> list[tuple]:
-            if not names:
-                return []
-            tree = PrefixTree(names, sets)
-            return [(key[0], name) for p in probes for name, _ in tree.linked(p, percent)]
-
+        key, names, sets, tree = None, [], [], None
         for whole in batches:
             found: list[tuple] = []
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                heads, trees, roles, reps, packed = (c.to_pylist() for c in batch.columns)
+                *parts, roles, reps, packed = (c.to_pylist() for c in batch.columns)
                 token, offs = shingle_sets(pa.array([unzip(b).decode() for b in packed], pa.string()), n)
-                for i, here in enumerate(zip(heads, trees)):
-                    if here != key or len(names) >= 4 * TREE_SETS:
-                        found += links()
-                        names, sets = [], []
-                        if here != key:
-                            key, probes = here, []
+                for i, here in enumerate(zip(*parts)):
+                    if here != key:
+                        key, names, sets, tree = here, [], [], None
                     own = token[offs[i]:offs[i + 1]].copy()
-                    if roles[i]:
+                    if roles[i] == 0:
                         names.append(reps[i])
                         sets.append(own)
-                    else:
-                        probes.append(own)
+                        continue
+                    tree = tree or PrefixTree(names, sets)
+                    for name, _ in tree.linked(own, percent):
+                        found.append((reps[i], name))
+                        if key[0]:
+                            break
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found)], ["u", "v"])
-        rest = links() if key else []
-        if rest:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rest)], ["u", "v"])
 
-    return (bodies.select("rep", "body").join(wanted, "rep").select("probe", "tree", "role", "rep", "body")
-            .repartition("probe", "tree").sortWithinPartitions("probe", "tree", "role", "rep")
-            .mapInArrow(walk, "u long, v long"))
+    dealt = ["whole", "key", "tree", "part"]
+    return (bodies.select("rep", "body").join(requests, "rep").select(*dealt, "role", "rep", "body")
+            .repartition(*dealt).sortWithinPartitions(*dealt, "role", "rep").mapInArrow(walk, "u long, v long"))
 
 
 # ------------------------------------------------------------------ the join
@@ -363,21 +414,15 @@ def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
     ids = named.select("doc_id", "n_shingles", "s1", "s2").join(reps, ["n_shingles", "s1", "s2"]).select("doc_id", "rep")
     several = ids.groupBy("doc_id").agg(F.min("rep").alias("m"), F.max("rep").alias("z")).where("m < z")
     tied = ids.join(several, "doc_id").select(F.col("rep").alias("u"), F.col("m").alias("v"))
-    links = written(verified(hub_pairs(reps), bodies, n, percent).unionByName(tied), "jaccard-links")
-
-    member = _member(reps, links)
-    pairs = written(filed_pairs(bodies, member, n, percent, frequent), "jaccard-pairs")
-    # first the likeliest pair of every two components, then what is still between different ones
-    two = [F.least("ca", "cb").alias("c"), F.greatest("ca", "cb").alias("d")]
-    likeliest = pairs.groupBy(*two).agg(F.max(F.struct("shared", "a", "b")).alias("p")).select("p.a", "p.b")
-    more = written(verified(likeliest, bodies, n, percent), "jaccard-links")
-    links = links.unionByName(more)
-    now = written(_member(reps, links), "jaccard-members")
-    rest = (pairs.select("a", "b").join(now.select(F.col("rep").alias("a"), F.col("component").alias("x")), "a")
-            .join(now.select(F.col("rep").alias("b"), F.col("component").alias("y")), "b")
-            .where("x <> y").select("a", "b").join(likeliest, ["a", "b"], "left_anti"))
-    last = written(verified(rest, bodies, n, percent), "jaccard-links")
-    links = links.unionByName(last)
+    first = hub_pairs(reps).select(F.col("a").alias("z"), F.col("b").alias("other"))
+    links = written(verified(pair_requests(written(first, "jaccard-pairs")), bodies, n, percent).unionByName(tied), "jaccard-links")
+
+    member = written(_member(reps, links), "jaccard-members")
+    sizes = member.groupBy("component").agg(F.count("*").alias("members"))
+    member = written(member.join(sizes, "component").select("rep", "component", "members"), "jaccard-members")
+    candidates = written(filed_candidates(bodies, member, n, percent, frequent), "jaccard-candidates")
+    requests = pair_requests(candidates.where("not whole")).unionByName(component_requests(candidates.where("whole"), member))
+    links = links.unionByName(written(verified(requests, bodies, n, percent), "jaccard-links"))
     member = written(_member(reps, links), "jaccard-members")
 
     classes = reps.select("n_shingles", "s1", "s2", "rep", "copies")

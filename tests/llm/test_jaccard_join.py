@@ -90,8 +90,10 @@ def test_query(spark, sf):
     check(QUERIES["op1_ngram_jaccard_join"](spark, sf).collect(), rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_equal_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,trees", [(1, 64), (2, 2)])
+def test_components_equal_brute_force(spark, monkeypatch, seed, trees):
+    monkeypatch.setattr(jj, "TREE_SETS", trees)  # small trees and parts: components are dealt over several
+    monkeypatch.setattr(jj, "PROBES", trees)
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     check(jj.join(docs)[0].collect(), rows)
@@ -102,6 +104,8 @@ def test_without_frequent_tokens_and_first_round(spark, monkeypatch):
     rows = corpus(5, 120)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     monkeypatch.setattr(jj, "hub_pairs", lambda reps: reps.selectExpr("rep as a", "rep as b").where("false"))
+    monkeypatch.setattr(jj, "FREQUENT_LEAST", 2)
+    check(jj.join(docs)[0].collect(), rows)
     monkeypatch.setattr(jj, "frequent_tokens", lambda docs, n: np.zeros(0, np.uint64))
     check(jj.join(docs)[0].collect(), rows)
 
@@ -135,6 +139,15 @@ def test_tree_walk_equals_intersection():
         assert got == want
 
 
+def test_partly_tied_components_are_joined_through_their_trees(spark, monkeypatch):
+    """The first round ties only some pairs; the rest comes from probes of larger components."""
+    rows = corpus(11, 200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    whole = jj.hub_pairs
+    monkeypatch.setattr(jj, "hub_pairs", lambda reps: whole(reps).where("b % 3 = 0"))
+    check(jj.join(docs)[0].collect(), rows)
+
+
 def test_sizes(spark):
     texts = ["", None, "a", "A b", "a b c d e", "a b c d e f", "a a a a a a a", "É x"]
     _, offs = jj.shingle_sets(pa.array(["" if t is None else t for t in texts]), 5)
