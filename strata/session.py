@@ -61,7 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    master = spark.conf.get("spark.master", "")
+    master = spark.sparkContext.master
     if not re.fullmatch(r"local(\[.*\])?", master):
         raise ValueError(f"set spark.checkpoint.dir to a folder shared by the cluster ({master})")
     local = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))

@@ -61,6 +61,8 @@ def test_variant_schema_of_odd_payloads(spark):
 
 def test_no_machine_local_folder_on_a_cluster():
     class Context:
+        master = "spark://host:7077"
+
         def getCheckpointDir(self):
             return None
 
@@ -70,7 +72,7 @@ def test_no_machine_local_folder_on_a_cluster():
         class conf:
             @staticmethod
             def get(key, default=None):
-                return {"spark.master": "spark://host:7077"}.get(key, default)
+                return default
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
