@@ -164,14 +164,13 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
                         F.explode(F.sequence(F.col("stores"), F.col("rows") - 1)).alias("copy"),
                         F.lit("revisit").alias("kind"), F.col("best.page_id").alias("refers"),
                         F.lit(None).cast("string").alias("html")))
-    stores = (marked.where("stores > 0")
-              .select(F.col("page_id").alias("p"), F.col("url").alias("u"), F.col("digest").alias("d"),
-                      F.col("stores").alias("n")))
-    bodies = (rows.join(stores, F.col("page_id").eqNullSafe(F.col("p")) & F.col("url").eqNullSafe(F.col("u"))
-                        & (F.col("digest") == F.col("d")))
-              .groupBy("page_id", "url", "digest", "bytes", "n").agg(F.first("html").alias("html"))
-              .select("page_id", "url", "digest", "bytes",
-                      F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"),
+    # the html meets the narrow mark of its row in one grouping, which treats nulls as equal: it is shuffled once
+    keys = ["page_id", "url", "digest", "bytes"]
+    marks = marked.where("stores > 0").select(*keys, F.lit(None).cast("string").alias("html"), F.col("stores").cast("long").alias("n"))
+    bodies = (rows.select(*keys, "html", F.lit(None).cast("long").alias("n")).unionByName(marks)
+              .groupBy(*keys).agg(F.first("html", ignorenulls=True).alias("html"), F.max("n").alias("n"))
+              .where(F.col("n").isNotNull())
+              .select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"),
                       F.lit("response").alias("kind"), F.lit(None).cast("long").alias("refers"), "html"))
     return bodies.unionByName(revisits)
 
