@@ -20,7 +20,7 @@ from strata.session import scratch_path
 
 WS = b" \t\n\x0b\x0c\r"
 #: Text bytes that one numpy pass works on at most (a longer text makes a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def ship(spark: SparkSession) -> None:
