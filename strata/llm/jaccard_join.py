@@ -319,12 +319,15 @@ def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int,
         return (F.ceil(F.lit(percent) * (F.col("nz") + n_other) / (100 + percent))
                 - F.greatest(behind(F.col("nz")), behind(n_other)))
 
-    # of a component, the sizes that could link at all; the least bound is at one of the ends
+    # of a component, the sizes that could link at all. Up to nz the bound rises with the size; above it falls,
+    # but for the rounding of its two terms, which puts a size below hi at most one under the bound of hi
     lo = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("nz") / 100))
     hi = F.least(F.col("hi"), F.floor(F.lit(100) * F.col("nz") / percent))
-    return (found.groupBy("z", "other", "whole").agg(F.count("*").alias("shared"), F.max("nz").alias("nz"),
+    least = F.least(short_of(lo), short_of(hi) - (lo < hi).cast("long"))
+    # texts of several sizes under one id have no common bound: the trees decide
+    return (found.groupBy("z", "other", "whole").agg(F.count("*").alias("shared"), F.max("nz").alias("nz"), F.min("nz").alias("least_nz"),
                                                      F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-            .where((lo <= hi) & (F.col("shared") >= F.least(short_of(lo), short_of(hi))))
+            .where((F.col("least_nz") < F.col("nz")) | ((lo <= hi) & (F.col("shared") >= least)))
             .select("z", "other", "whole", "shared"))
 
 

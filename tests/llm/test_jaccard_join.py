@@ -172,3 +172,35 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_size_between_the_ends_of_a_component_links(spark, monkeypatch):
+    """100 tokens against 102, 103 and 104: only the middle one links (87 of 116), and its bound is
+    below that of both ends."""
+    rare, common = [f"p{i}" for i in range(10)], [f"c{i}" for i in range(77)]
+    near = [f"x{i}" for i in range(17)]
+    sets = {1: rare + common + near, 2: rare + common[1:] + near[:16], 3: rare + common + near[:16],
+            9: rare + common + [f"z{i}" for i in range(13)]}
+    both = {i: 100 * len({*s} & {*sets[9]}) / len({*s} | {*sets[9]}) for i, s in sets.items()}
+    assert [len(sets[i]) for i in (9, 2, 3, 1)] == [100, 102, 103, 104] and both[3] == 75 and max(both[1], both[2]) < 75
+    # the common passage is frequent, so it stands behind the prefixes
+    rows = [(i, " ".join(s)) for i, s in sets.items()]
+    rows += [(100 + k, " ".join(common + [f"f{k}_{i}" for i in range(100)])) for k in range(jj.FREQUENT_LEAST)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = jj.hub_pairs
+    monkeypatch.setattr(jj, "hub_pairs", lambda reps: whole(reps).where("b <> 9"))
+    got = {r["doc_id"]: r["component_id"] for r in jj.join(docs, n=1)[0].collect()}
+    assert got == {i: 1 if i < 10 else i for i, _ in rows}
+
+
+def test_two_texts_of_one_id_are_bounded_by_their_own_sizes(spark, monkeypatch):
+    rare, common, near = [f"p{i}" for i in range(4)], [f"c{i}" for i in range(82)], [f"x{i}" for i in range(24)]
+    rows = [(1, " ".join(rare + common + near)), (2, " ".join(rare + common + near[1:] + ["y"])),
+            (9, " ".join(rare + common + [f"z{i}" for i in range(4)])),  # 86 of 114 with document 1
+            (9, " ".join(near[:8] + [f"o{i}" for i in range(92)]))]
+    rows += [(100 + k, " ".join(common + [f"f{k}_{i}" for i in range(100)])) for k in range(jj.FREQUENT_LEAST)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = jj.hub_pairs
+    monkeypatch.setattr(jj, "hub_pairs", lambda reps: whole(reps).where("b <> 9"))
+    got = {r["doc_id"]: r["component_id"] for r in jj.join(docs, n=1)[0].collect()}
+    assert got == {i: 1 if i < 10 else i for i, _ in rows}
