@@ -18,7 +18,8 @@ from tasks, never through local paths of one machine.
 Cases: null html is an empty payload, which counts as any other; a null page id sorts below
 all ids; rows equal in id and payload give one response at most; a null url writes no target;
 line breaks in urls are escaped; an empty table writes no archive and reads back no rows;
-records of any length are read, one at a time; other columns are not read.
+records of any length, their heads too, are read, one at a time; a round trip that reads another
+number of records from an archive than were written is an error; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ from strata.session import scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
 CRLF = b"\r\n"
-#: Longest head of a record that the reader accepts, and how much it fetches at once.
-HEAD_BYTES, FETCH = 1 << 16, 1 << 18
+#: How much the reader fetches at once.
+FETCH = 1 << 18
 ARCHIVE_BYTES = 256 << 20
 
 
@@ -98,17 +99,19 @@ def headers(raw: bytes, first: bytes) -> dict[str, str] | None:
 
 def decode(read, at: int, size: int) -> tuple[dict[str, str], bytes, int] | None:
     """(fields, block, end offset) of the record whose member starts at ``at``, else None."""
-    z, out, pos, head, need = zlib.decompressobj(31), bytearray(), at, None, -1
+    z, out, pos, head, need, seen = zlib.decompressobj(31), bytearray(), at, None, -1, 0
     try:
         while not z.eof and pos < size:
-            chunk = read(pos, min(FETCH if head else 4096, size - pos))
+            # little until the output starts as a record: most candidates that are none end here
+            chunk = read(pos, min(FETCH if len(out) > 5 else 4096, size - pos))
             pos += len(chunk)
             out += z.decompress(chunk)
             if head is None:
-                cut = out.find(CRLF * 2)
+                cut = out.find(CRLF * 2, max(0, seen - 3))
                 if cut < 0:
-                    if len(out) > HEAD_BYTES or not out.startswith(b"WARC/"[:len(out)]):
+                    if not out.startswith(b"WARC/"[:len(out)]):
                         return None
+                    seen = len(out)
                     continue
                 head = headers(bytes(out[:cut]), b"WARC/1.")
                 if head is None or "warc-type" not in head or not head.get("content-length", "").isdigit():
@@ -256,7 +259,7 @@ def read_archives(files: DataFrame, split_bytes: int = 4 << 20, with_payload: bo
                     for at, head, block in records_in(lambda pos, n: f.read_at(n, pos), r["size"], r["start"],
                                                       min(r["start"] + split_bytes, r["size"])):
                         rows.append(row(r["path"], at, head, block))
-                        held += len(block)
+                        held += len(block) + sum(map(len, head.values()))
                         if len(rows) >= 2000 or held >= 4 << 20:
                             yield batch_of(rows)
                             rows, held = [], 0
@@ -267,9 +270,20 @@ def read_archives(files: DataFrame, split_bytes: int = 4 << 20, with_payload: bo
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` as archives in the shared scratch folder and read their records back."""
+    """Write ``pages`` as archives in the shared scratch folder and read their records back, all of them."""
     manifest = write_archives(plan_records(pages, least_bytes), scratch_path(spark, "warc"))
-    return read_archives(manifest, with_payload=False)
+    return complete(written(read_archives(manifest, with_payload=False), "warc-records"), manifest)
+
+
+def complete(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``records``, after an error if an archive gave another number of them than ``manifest`` names."""
+    got = records.groupBy("path").agg(F.count("*").alias("got"))
+    wrong = (manifest.join(got, "path", "full").select("path", F.coalesce("records", F.lit(0)).alias("named"),
+                                                       F.coalesce("got", F.lit(0)).alias("got")).where("named <> got"))
+    first = wrong.orderBy("path").limit(1).collect()
+    if first:
+        raise ValueError("{path}: {got} records read of {named} written".format(**first[0].asDict()))
+    return records
 
 
 def page_id_of(urn) -> F.Column:

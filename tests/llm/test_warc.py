@@ -3,9 +3,12 @@ import gzip
 import hashlib
 import os
 import random
+from urllib.parse import unquote
+
+import pytest
 
 from strata.llm.queries import QUERIES
-from strata.llm.warc import (MAGIC, filesystem, member, page_of, plan_records, read_archives, record_urn, records_in,
+from strata.llm.warc import (MAGIC, complete, filesystem, member, page_of, plan_records, read_archives, record_urn, records_in,
                              round_trip, write_archives)
 from strata.session import scratch_path
 
@@ -79,3 +82,24 @@ def test_false_magic_is_rejected():
         parts = [*records_in(read, len(raw), 0, cut), *records_in(read, len(raw), cut, len(raw))]
         assert [x[0] for x in parts] == [0, len(a) + len(junk)]
     assert os.path.isabs(filesystem("file:///tmp/x")[1])
+
+
+def test_long_urls_are_read_back(spark):
+    rng = random.Random(6)
+    url = lambda n: "data:," + "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    pages = [(1, url(30000), "a"), (2, url(200000), "a"), (3, url(90000), "b"), (4, "http://h/" + "x" * 3000000, None), (5, "u", "c")]
+    got = round_trip(spark, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    rows = [(page_of(r["record_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], page_of(r["refers_to_id"])) for r in got]
+    assert sorted(rows, key=str) == plain(pages)
+    assert {page_of(r["record_id"]): unquote(r["target_uri"]) for r in got} == {p: u for p, u, _ in pages}
+
+
+def test_a_missing_record_is_an_error(spark):
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(9)], "page_id long, url string, html string")
+    manifest = write_archives(plan_records(df), scratch_path(spark, "t"))
+    records = read_archives(manifest)
+    assert complete(records, manifest).count() == 9
+    with pytest.raises(ValueError, match="records read of"):
+        complete(records.where("offset > 0"), manifest)
+    with pytest.raises(ValueError, match="0 records read of"):
+        complete(records.where("false"), manifest)
