@@ -179,3 +179,35 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = digest(F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS)))
     return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"),
                         digest(spans).alias("spans"))
+
+
+# ------------------------------------------------------------------ 11 substring dedup
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+word AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 18, 1))) AS s FROM d)),
+later AS (
+  SELECT doc_id, s FROM windows
+  QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, s) > 1),
+covered AS (
+  SELECT DISTINCT doc_id, s + k AS p FROM later, range(20) r(k)),
+kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.p) AS text, count(*) AS n
+  FROM word w ANTI JOIN covered c ON w.doc_id = c.doc_id AND w.p = c.p GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@llm_query("op11_substring_dedup", OP11_SQL)
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.suffix_trees import remove_repeats
+
+    kept = remove_repeats(table(spark, sf_dir, "documents", ["doc_id", "text"]), words=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
