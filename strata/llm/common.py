@@ -50,6 +50,11 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` under attributes of its own, so that it can meet a frame made from the same table."""
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """Drop the input columns that an operator's own output columns replace."""
     lowered = {n.lower() for n in names}

@@ -211,3 +211,59 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = remove_repeats(table(spark, sf_dir, "documents", ["doc_id", "text"]), words=20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+# ------------------------------------------------------------------ 12 cross-tokenizer alignment
+
+@llm_query("op12_cross_tokenizer_alignment")
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.token_alignment import align
+
+    documents, _ = align(table(spark, sf_dir, "documents", ["doc_id", "text"]), digest=True)
+    return documents.withColumnRenamed("groups", "groups_sha256")
+
+
+# ------------------------------------------------------------------ 13 phrase collocation mining
+
+OP13_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+seq AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+size AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM seq GROUP BY lang),
+spot AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM seq),
+gram AS (
+  SELECT lang, m AS words, array_to_string(w[p:p + m - 1], ' ') AS phrase, count(*) AS f
+  FROM spot, (VALUES (1), (2), (3), (4)) v(m) WHERE p + m - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM gram WHERE words > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST(2000000 AS HUGEINT) * c.f // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand) c
+  JOIN gram l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN gram r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[at:at + s - 1], ' ') AS phrase, max(f) AS longer
+  FROM cand, (VALUES (2), (3)) v(s), (VALUES (1), (2), (3)) u(at)
+  WHERE s < words AND at + s - 1 <= words GROUP BY ALL),
+kept AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 80 * a)
+SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       n, CAST(score AS BIGINT) AS score
+FROM kept k JOIN size s ON k.lang = s.lang WHERE rank <= 2000
+"""
+
+
+@llm_query("op13_phrase_collocations", OP13_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents", ["text", "lang"]), least=30, top=2000, covered=80)
