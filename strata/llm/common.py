@@ -167,6 +167,49 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
                         range(width), np.zeros(n, _U)))
 
 
+def white(data: np.ndarray) -> np.ndarray:
+    """Bytes of white space, control characters and Unicode's wider spaces."""
+    out = (data <= 0x20) | (data == 0x7F)
+    lead = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+    if len(lead):
+        b0 = data[lead]
+        b1 = data[np.minimum(lead + 1, len(data) - 1)]
+        b2 = data[np.minimum(lead + 2, len(data) - 1)]
+        two = lead[(b0 == 0xC2) & ((b1 == 0x85) | (b1 == 0xA0))]
+        three = lead[((b0 == 0xE1) & (b1 == 0x9A) & (b2 == 0x80)) | ((b0 == 0xE3) & (b1 == 0x80) & (b2 == 0x80))
+                     | ((b0 == 0xE2) & (b1 == 0x81) & (b2 == 0x9F))
+                     | ((b0 == 0xE2) & (b1 == 0x80) & ((b2 <= 0x8A) | (b2 == 0xA8) | (b2 == 0xA9) | (b2 == 0xAF)))]
+        out[two] = out[two + 1] = True
+        out[three] = out[three + 1] = out[three + 2] = True
+    return out
+
+
+def unit_cuts(data: np.ndarray, offs: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Where a byte-level BPE must cut the documents ``offs``, ascending, without 0: before a single space between
+    other characters, around such a newline, and between an ASCII letter or digit and a byte of ``mark``."""
+    blank = white(data)
+    n = len(data)
+    cut = np.zeros(n + 1, bool)
+    if n > 2:
+        lone = np.zeros(n, bool)
+        lone[1:-1] = blank[1:-1] & ~blank[:-2] & ~blank[2:]
+        cut[:-1] |= lone & (data == 0x20)
+        newline = np.flatnonzero(lone & (data == 0x0A))
+        cut[newline] = True
+        cut[newline + 1] = True
+        plain = np.zeros(256, bool)
+        plain[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+        cut[1:-1] |= plain[data[:-1]] & mark[data[1:]]
+    cut[0] = cut[n] = False
+    cut[offs[1:-1]] = True
+    return np.flatnonzero(cut)
+
+
+def expand_runs(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers first[i] .. first[i] + many[i] - 1, one run behind the other."""
+    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+
+
 def md5_int(column, digits: int, start: int = 1):
     """Native: ``digits`` hex digits (at most 15) of an md5 hex string, as a long."""
     return F.conv(F.substring(column, start, digits), 16, 10).cast("long")

@@ -49,6 +49,6 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents packed into training sequences."""
     ship(spark)
-    from strata.llm.packing import digest, pack_documents
+    from strata.llm.packing import PACKING_LIMITS, digest, pack_documents
 
-    return digest(pack_documents(docs.select("doc_id", "text")))
+    return digest(pack_documents(docs.select("doc_id", "text"), **PACKING_LIMITS))

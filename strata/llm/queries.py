@@ -101,9 +101,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @llm_query("op4_pack_documents")
 def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strata.llm.packing import digest, pack_documents
+    from strata.llm.packing import PACKING_LIMITS, digest, pack_documents
 
-    return digest(pack_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]), tokens=2048))
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return digest(pack_documents(docs, tokens=2048, **PACKING_LIMITS))
 
 
 # ------------------------------------------------------------------ 5 quality classifier

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import apart, slices, texts_of, utf8, written
+from strata.llm.common import apart, expand_runs, slices, texts_of, unit_cuts, utf8, written
 
 #: Text bytes and documents of a block (a longer text makes a block of its own).
 BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
@@ -140,43 +140,6 @@ def units_of(a_ranks: str, b_model: str) -> Units:
     return _units[a_ranks, b_model]
 
 
-def white(data: np.ndarray) -> np.ndarray:
-    """Bytes of white space, control characters and Unicode's wider spaces."""
-    out = (data <= 0x20) | (data == 0x7F)
-    lead = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
-    if len(lead):
-        b0 = data[lead]
-        b1 = data[np.minimum(lead + 1, len(data) - 1)]
-        b2 = data[np.minimum(lead + 2, len(data) - 1)]
-        two = lead[(b0 == 0xC2) & ((b1 == 0x85) | (b1 == 0xA0))]
-        three = lead[((b0 == 0xE1) & (b1 == 0x9A) & (b2 == 0x80)) | ((b0 == 0xE3) & (b1 == 0x80) & (b2 == 0x80))
-                     | ((b0 == 0xE2) & (b1 == 0x81) & (b2 == 0x9F))
-                     | ((b0 == 0xE2) & (b1 == 0x80) & ((b2 <= 0x8A) | (b2 == 0xA8) | (b2 == 0xA9) | (b2 == 0xAF)))]
-        out[two] = out[two + 1] = True
-        out[three] = out[three + 1] = out[three + 2] = True
-    return out
-
-
-def unit_cuts(data: np.ndarray, offs: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """Where units of the documents ``offs`` begin, ascending, without 0."""
-    blank = white(data)
-    n = len(data)
-    cut = np.zeros(n + 1, bool)
-    if n > 2:
-        lone = np.zeros(n, bool)
-        lone[1:-1] = blank[1:-1] & ~blank[:-2] & ~blank[2:]
-        cut[:-1] |= lone & (data == 0x20)
-        newline = np.flatnonzero(lone & (data == 0x0A))
-        cut[newline] = True
-        cut[newline + 1] = True
-        plain = np.zeros(256, bool)
-        plain[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-        cut[1:-1] |= plain[data[:-1]] & mark[data[1:]]
-    cut[0] = cut[n] = False
-    cut[offs[1:-1]] = True
-    return np.flatnonzero(cut)
-
-
 # ---------------------------------------------------------------- blocks
 
 class Block:
@@ -241,11 +204,6 @@ def _csr(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), "<i4").astype(np.int64), lengths
 
 
-def _expand(first: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """The numbers first[i] .. first[i] + many[i] - 1, one run behind the other."""
-    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-
-
 class Reader:
     """Counts, groups and links of the documents of a slice."""
 
@@ -293,7 +251,7 @@ class Reader:
         where, times = np.unique(doc[stays] * len(entries) + unit[stays], return_counts=True)
         own, at = where // len(entries), where % len(entries)
         many = n_links[at]
-        link = code[_expand((np.cumsum(n_links) - n_links)[at], many)]
+        link = code[expand_runs((np.cumsum(n_links) - n_links)[at], many)]
         key, back = np.unique(link << 32 | np.repeat(own, many), return_inverse=True)
         total = np.bincount(back, np.repeat(times, many), len(key)).astype(np.int64)
         return (per_doc(n_a), per_doc(n_b), per_doc(n_groups), per_doc(n_links), groups,

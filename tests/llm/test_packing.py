@@ -2,9 +2,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from strata.llm.packing import END_ID, Packer, default_vocabulary, encoder, pack_documents
+from strata.llm.packing import END_ID, PACKING_LIMITS, Encoder, Packer, default_specials, default_vocabulary, pack_documents
 from strata.llm.queries import QUERIES
 
 
@@ -12,9 +13,7 @@ from strata.llm.queries import QUERIES
 def library():
     import public_tokenizers
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 ODD = ["", " ", "  ", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "\ta\t", "a b", "a  b", "it's we'll 's", "\x1c \x1d a", "x" * 3000,
@@ -22,11 +21,24 @@ ODD = ["", " ", "  ", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "\ta\t", "a
 
 
 def test_ids_equal_the_library(spark, sf, library):
-    texts = ODD + [r[0] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
-    enc = encoder(default_vocabulary())
+    rng = np.random.default_rng(1)
+    marks = [*"ab1 ,.;:!?\n\t'\"()&%$#*|_-é²", " ", "  ", "the ", " and", "ing", "日", "\u00a0", "<|endoftext|>", "<|", "|>"]
+    texts = ODD + ["".join(rng.choice(marks, int(rng.integers(1, 30)))) for _ in range(3000)]
+    texts += [r[0] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    enc = Encoder(default_vocabulary(), default_specials())
     for _ in range(2):  # the second time from the cache
-        for t in texts:
-            assert np.frombuffer(enc.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t[:50]
+        for at in range(0, len(texts), 50):
+            part = texts[at:at + 50]
+            ids, first, prompt = enc.encode_batch(pa.array(part), end=False)
+            for k, t in enumerate(part):
+                assert ids[first[k]:first[k + 1]].tolist() == library.encode(t, add_special_tokens=False).ids, t[:50]
+                assert 0 <= prompt[k] <= first[k + 1] - first[k] and (prompt[k] > 0) == ("\n" in t)
+
+
+def test_prompt_is_the_first_line(library):
+    enc = Encoder(default_vocabulary(), default_specials())
+    texts = ["one line", "a question, please\nan answer\nof two lines", "", "q\n"]
+    assert enc.encode_batch(pa.array(texts))[2].tolist() == [0, len(library.encode("a question, please\n").ids), 0, 2]
 
 
 def check(rows, texts, library, tokens=2048):
@@ -58,6 +70,10 @@ def test_query(spark, sf, library):
     sequences = check(rows, texts, library)
     used = sum(r["length"] for r in rows)
     assert used / (2048 * len(sequences)) > 0.97  # one part-filled sequence a task
+    # all three limits hold, and each of them stops some sequence
+    loss = [sum(r["loss_tokens"] for r in own) for own in sequences.values()]
+    assert max(loss) == PACKING_LIMITS["loss"] and max(map(len, sequences.values())) <= PACKING_LIMITS["segments"]
+    assert any(sum(r["length"] for r in own) == 2048 for own in sequences.values())
 
 
 def test_odd_rows(spark, library):
