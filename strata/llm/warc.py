@@ -217,6 +217,9 @@ def _small(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 
 # ------------------------------------------------------------------ reading
 
+#: A range has a task of its own up to so many tasks; beyond, a task reads so many ranges.
+RANGE_TASKS, RANGES_A_TASK = 10_000, 16
+
 READ_SCHEMA = ("path string, offset long, record_type string, record_id string, target_uri string, refers_to_id string, "
                "payload_digest string, payload_bytes long, digest_ok boolean, payload binary")
 
@@ -227,9 +230,12 @@ def read_archives(files: DataFrame, split_bytes: int = 4 << 20, with_payload: bo
     ``payload_bytes`` and ``payload_digest`` (bare base32) are of the full payload: recomputed for a
     stored one, taken from the heads of a revisit; ``digest_ok`` says whether a stored payload
     has the digest that its head names."""
-    ranges = (files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)),
-                                                                F.lit(split_bytes).cast("long"))).alias("start"))
-              .repartition("path", "start"))
+    ranges = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)),
+                                                              F.lit(split_bytes).cast("long"))).alias("start"))
+    # a count of its own: rows as narrow as these would be merged into a few tasks that read everything
+    count = files.agg(F.sum(F.ceil(F.greatest(F.col("size"), F.lit(1)) / split_bytes))).first()[0] or 1
+    tasks = min(count, max(RANGE_TASKS, count // RANGES_A_TASK))
+    ranges = ranges.repartitionByRange(int(tasks), "path", "start")
 
     def row(path: str, at: int, head: dict[str, str], block: bytes) -> tuple:
         http, _, payload = block.partition(CRLF * 2)
