@@ -21,6 +21,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -41,7 +42,9 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _GITHUB = re.compile(rb"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])")
 _NPM = re.compile(rb"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])")
 _JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+_PART = re.compile(rb"[A-Za-z0-9_-]*")
 _PEM = re.compile(rb"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+_PEM_END = re.compile(rb"-----END ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
 _BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 _KEYWORDS = {
@@ -82,26 +85,32 @@ def _jwt_ok(head: bytes) -> bool:
     return isinstance(header, dict) and "alg" in header
 
 
-def _try(kind: str, raw: bytes, at: int) -> tuple[int, bool] | None:
-    """(end of the match anchored at ``at``, whether it counts), or None if none starts here."""
+def _try(kind: str, raw: bytes, at: int, ends: dict[bytes, list[int]]) -> tuple[int, bool]:
+    """(where the next match of ``kind`` may start, whether the match anchored at ``at`` counts). Every byte is
+    read a bounded number of times: where no match starts, what the expression has read is not read again."""
     if kind == "assign":
         m = _ASSIGN.match(raw, at)
-        return m and (m.end(), len(m[2]) >= 6)
+        return (m.end(), len(m[2]) >= 6) if m else (at + 1, False)
     if kind == "access":
         m = _ACCESS.match(raw, at)
-        return m and (m.end(), m.end() - at >= 20)
+        return (m.end(), m.end() - at >= 20) if m else (at + 1, False)
     if kind == "jwt":
         m = _JWT.match(raw, at)
-        return m and (m.end(), _jwt_ok(m[1]))
+        # no token starts later in the same run of characters either: the run is followed by the same bytes
+        return (m.end(), _jwt_ok(m[1])) if m else (_PART.match(raw, at).end(), False)
     if kind == "pem":
         m = _PEM.match(raw, at)
         if not m:
-            return None
-        tail = b"-----END " + m[1] + b"-----"
-        end = raw.find(tail, m.end())
-        return (end + len(tail) if end >= 0 else m.end()), True
+            return at + 1, False
+        if None not in ends:
+            ends[None] = []
+            for e in _PEM_END.finditer(raw):
+                ends.setdefault(e[1], []).append(e.start())
+        own = ends.get(m[1], [])
+        k = bisect_left(own, m.end())
+        return (own[k] + len(m[1]) + 14 if k < len(own) else m.end()), True
     m = (_GITHUB if kind == "github" else _NPM).match(raw, at)
-    return m and (m.end(), checksum_ok(m[1]))
+    return (m.end(), checksum_ok(m[1])) if m else (at + 1, False)
 
 
 def hex_runs(raw: bytes, least: int = 24) -> list[tuple[int, int]]:
@@ -117,16 +126,16 @@ def hex_runs(raw: bytes, least: int = 24) -> list[tuple[int, int]]:
 def byte_spans(raw: bytes) -> list[tuple[int, str, int]]:
     """(start, kind, end) in bytes, every kind leftmost and non-overlapping in itself."""
     found: list[tuple[int, str, int]] = []
-    free: dict[str, int] = {}
-    hits = sorted((end - size + 1, kind) for end, (size, kind) in _scanner().iter(raw.lower().decode("latin-1")))
-    for at, kind in hits:
-        if at < free.get(kind, 0):
+    free = dict.fromkeys(KINDS, 0)
+    ends: dict = {}
+    # no keyword of a kind lies inside another of that kind, so hits come by start within each kind
+    for last, (size, kind) in _scanner().iter(raw.lower().decode("latin-1")):
+        at = last - size + 1
+        if at < free[kind]:
             continue
-        got = _try(kind, raw, at)
-        if got:
-            free[kind] = got[0]
-            if got[1]:
-                found.append((at, kind, got[0]))
+        free[kind], counts = _try(kind, raw, at, ends)
+        if counts:
+            found.append((at, kind, free[kind]))
     found.extend((a, "hex", b) for a, b in hex_runs(raw))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1])))
 
