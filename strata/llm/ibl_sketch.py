@@ -1,6 +1,7 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraph pieces (at newlines and sentence ends); each distinct piece is a
+A text is cut into paragraph pieces (at newlines and sentence ends, and where a piece is long, at places that its
+own bytes name, so that a line without marks or a script without spaces gives many pieces too); each distinct piece is a
 64-bit digest, put into one cell of each of three sub-tables. A cell holds a count and the xor
 of its digests and of their check hashes. Subtracting the sketches of two versions leaves only
 what differs; peeling cells that hold a single digest recovers it. If peeling gets stuck, the
@@ -10,7 +11,7 @@ The sketches of a run of documents are built, subtracted and peeled together in
 
 Cases: null and empty texts have no pieces and one common fingerprint; two texts without pieces
 have likeness 1; repeated pieces of a text count once; texts of any length are read whole; an
-empty table gives an empty table. In ``versions``: null ids stand after all others, rows equal in
+empty table gives an empty table; other columns of the input are not read. Ids are integers. In ``versions``: null ids stand after all others, rows equal in
 id are ordered by length and hash of the text (after which they are interchangeable), and a
 single row is its own successor.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SLICE_BYTES, mix64, span_hashes, utf8
+from strata.llm.common import SLICE_BYTES, mix64, span_hashes, starts_code_point, utf8
 
 #: Cells of a stored fingerprint; a multiple of the three sub-tables.
 CELLS = 24
@@ -35,8 +36,8 @@ _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 #: Text bytes per range partition of ``versions``.
 RANGE_BYTES = 16 << 20
 
-_WORDLESS = np.zeros(256, bool)
-_WORDLESS[list(b" \t\n\x0b\x0c\r")] = True
+#: Pieces of more bytes are cut again, at one of so many words and one of so many other characters.
+LONG, WORD_CUT, ANY_CUT = 200, 8, 64
 _END = np.zeros(256, bool)
 _END[list(b".!?")] = True
 
@@ -54,7 +55,7 @@ def pieces_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(cut)
     ends = np.minimum(np.append(at, len(data))[np.searchsorted(at, starts)], offs[doc + 1])
     full = ends > starts
-    starts, ends, doc = starts[full], ends[full], doc[full]
+    starts, ends, doc = _cut_long(data, starts[full], ends[full], doc[full])
     keys = span_hashes(data, starts, ends)
     order = np.lexsort((keys, doc))
     keys, doc = keys[order], doc[order]
@@ -63,6 +64,31 @@ def pieces_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys[new], doc[new]
 
 
+def _cut_long(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray):
+    """Pieces of more than LONG bytes cut where the hash of the eight bytes before a character says so: what stands
+    elsewhere in the piece does not move the cuts."""
+    long = ends - starts > LONG
+    if not long.any():
+        return starts, ends, doc
+    level = np.zeros(len(data) + 1, np.int8)
+    level[starts[long]] += 1
+    level[ends[long]] -= 1
+    at = np.flatnonzero(np.cumsum(level[:-1], dtype=np.int8).astype(bool) & starts_code_point(data))
+    begin = starts[np.searchsorted(starts, at, side="right") - 1]
+    at = at[at - begin >= 8]
+    before = np.zeros(len(at), np.uint64)
+    for k in range(1, 9):
+        before = (before << np.uint64(8)) | data[at - k].astype(np.uint64)
+    h = mix64(before)
+    word = data[at - 1] == 32
+    cut = at[np.where(word, h % np.uint64(WORD_CUT) == 0, h % np.uint64(ANY_CUT) == 0)]
+    again = np.unique(np.concatenate([starts, cut]))
+    own = np.searchsorted(starts, again, side="right") - 1
+    last = np.append(again[1:], 0)
+    last = np.where(np.append(own[1:] == own[:-1], False), last, ends[own])
+    return again, last, doc[own]
+
+
 def check_hash(keys: np.ndarray) -> np.ndarray:
     return mix64(keys ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)
 

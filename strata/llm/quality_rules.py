@@ -2,10 +2,13 @@
 
 ``measure`` counts text statistics in one vectorised pass. ``judge`` builds, per language and
 source, a quantile sketch of every ratio: counts over logarithmic buckets, which merge by
-addition, so partial sketches combine in any order to the same result and a group that is too
-small takes the merged sketch of its language, or of everything. Quartiles read from the
-sketch give a fence ``q75 + reach * max(q75 - q25, least spread)`` (and the mirrored lower
-one for word length), which replaces fixed cutoffs; the fences are joined back and filter.
+addition, so partial sketches combine in any order to the same result. Quartiles are read from the
+sketch of the group, of its language and of everything and blended by their documents (a sketch
+of n documents has the weight n / (n + prior) against the wider ones), so no group's verdicts
+jump at some size. Junk lies above the bulk of a ratio, so the scale is read below the median: the fence is
+``q50 + reach * max(q50 - q25, least spread)``, and for word length the mirrored lower one is read above it. Fences
+replace fixed cutoffs and are joined back and filter; the least spread only stands in for a scale of 0 (a ratio
+that is 0 in half the documents) and keeps every fence below the base rule.
 
 Cases: null and empty texts have zero counts and fail the base rule (fewer than 20 words);
 null languages and sources are groups of their own; repeated rows count as often as they
@@ -31,14 +34,16 @@ WINDOW = 8
 #: ratio -> (numerator, denominator, what is added to the denominator so that one case in a short text
 #: weighs little, least spread of the fence, two-sided)
 RATIOS = {
-    "symbols": ("n_symbols", "word_chars", 0, 0.01, False),
+    "symbols": ("n_symbols", "word_chars", 0, 0.005, False),
     "dup_lines": ("n_dup_lines", "n_lines", 4, 0.05, False),
-    "repeats": ("n_repeat_words", "n_words", 0, 0.05, False),
-    "stutters": ("n_stutters", "n_words", 4, 0.03, False),
-    "upper": ("n_upper", "word_chars", 0, 0.04, False),
-    "marks": ("n_marks", "n_words", 0, 0.04, False),
-    "word_length": ("word_chars", "n_words", 0, 0.5, True),
+    "repeats": ("n_repeat_words", "n_words", 0, 0.049, False),
+    "stutters": ("n_stutters", "n_words", 4, 0.02, False),
+    "upper": ("n_upper", "word_chars", 0, 0.01, False),
+    "marks": ("n_marks", "n_words", 0, 0.02, False),
+    "word_length": ("word_chars", "n_words", 0, 0.35, True),
 }
+#: Spreads that a fence lies above the median, and the documents at which a group's own sketch has half the weight.
+REACH, PRIOR = 6.0, 200
 #: Relative width of a sketch bucket, and the ratio below which all values share bucket 0.
 GAMMA, TINY = 1.02, 1e-4
 
@@ -127,13 +132,15 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+def base_failed(of: str = "") -> Column:
+    """The base rule; ``of`` names the frame of the counts (``alias.``)."""
+    n_words = F.col(f"{of}n_words")
+    return (n_words < 20) | (100 * F.col(f"{of}n_repeat_words") > 30 * n_words)
 
 
-def ratio(name: str) -> Column:
+def ratio(name: str, of: str = "") -> Column:
     top, bottom, more, _, _ = RATIOS[name]
-    return F.coalesce(F.try_divide(F.col(top).cast("double"), (F.col(bottom) + more).cast("double")), F.lit(0.0))
+    return F.coalesce(F.try_divide(F.col(of + top).cast("double"), (F.col(of + bottom) + more).cast("double")), F.lit(0.0))
 
 
 def sketch(measured: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -143,14 +150,14 @@ def sketch(measured: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     bucket = F.when(F.col("e.v") < TINY, 0).otherwise(
         F.ceil(F.log(F.col("e.v") / TINY) / F.log(F.lit(GAMMA))).cast("int"))
     return (measured.where(~base_failed())
-            .select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), each.alias("e"))
+            .select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{source_col}`").alias("source"), each.alias("e"))
             .groupBy("lang", "source", F.col("e.ratio").alias("ratio"), bucket.alias("bucket"))
             .agg(F.count("*").alias("n")))
 
 
-def fences(sketches: DataFrame, reach: float, least_docs: int) -> DataFrame:
-    """(lang, source, ratio, lo, hi): fences of every group, read from its own sketch when it
-    holds ``least_docs`` documents, else from the merged one of its language, else of all."""
+def fences(sketches: DataFrame, reach: float = REACH, prior: float = PRIOR) -> DataFrame:
+    """(lang, source, ratio, lo, hi): fences of every group, from quartiles blended over its own sketch, the merged
+    one of its language and that of all."""
     levels = (sketches.withColumn("level", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
               .groupBy("level",
                        F.when(F.col("level") < 2, F.col("lang")).alias("lang"),
@@ -165,31 +172,35 @@ def fences(sketches: DataFrame, reach: float, least_docs: int) -> DataFrame:
     def quantile(q: float) -> Column:
         return F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("value")))
 
-    spread = F.create_map(*[x for r, (_, _, _, s, _) in RATIOS.items() for x in (F.lit(r), F.lit(s))])
-    two_sided = F.col("ratio").isin([r for r, x in RATIOS.items() if x[4]])
-    reached = F.lit(reach) * F.greatest(F.col("q75") - F.col("q25"), spread[F.col("ratio")])
+    names = ("q25", "q50", "q75")
     read = (seen.groupBy("level", "lang", "source", "ratio")
-            .agg(F.max("total").alias("docs"), quantile(0.25).alias("q25"), quantile(0.75).alias("q75"))
-            .withColumn("hi", F.col("q75") + reached)
-            .withColumn("lo", F.when(two_sided, F.col("q25") - reached))
-            .where((F.col("docs") >= least_docs) | (F.col("level") == 2)))
-    groups = sketches.select("lang", "source", "ratio").distinct()
-
-    def at(level: int, keys: list[str]) -> DataFrame:
-        return read.where(F.col("level") == level).select(*[F.col(k).alias(f"{k}{level}") for k in keys],
-                                                          F.struct("lo", "hi").alias(f"f{level}"))
-
-    out = groups
+            .agg(F.max("total").alias("docs"), quantile(0.25).alias("q25"), quantile(0.5).alias("q50"), quantile(0.75).alias("q75")))
+    out = sketches.select("lang", "source", "ratio").distinct()
     for level, keys in enumerate((["ratio", "lang", "source"], ["ratio", "lang"], ["ratio"])):
+        own = read.where(F.col("level") == level).select(*[F.col(k).alias(f"{k}{level}") for k in keys],
+                                                         F.struct("docs", *names).alias(f"f{level}"))
         same = F.lit(True)
         for k in keys:
             same &= F.col(k).eqNullSafe(F.col(f"{k}{level}"))
-        out = out.join(at(level, keys), same, "left")
-    return (out.withColumn("f", F.coalesce("f0", "f1", "f2"))
-            .select("lang", "source", "ratio", "f.lo", "f.hi"))
+        out = out.join(own, same, "left")
+
+    def blended(name: str) -> Column:
+        value = F.col(f"f2.{name}")
+        for level in (1, 0):
+            docs = F.col(f"f{level}.docs")
+            weight = docs / (docs + F.lit(float(prior)))
+            value = weight * F.col(f"f{level}.{name}") + (1 - weight) * value
+        return value.alias(name)
+
+    spread = F.create_map(*[x for r, (_, _, _, s, _) in RATIOS.items() for x in (F.lit(r), F.lit(s))])[F.col("ratio")]
+    two_sided = F.col("ratio").isin([r for r, x in RATIOS.items() if x[4]])
+    q = out.select("lang", "source", "ratio", *[blended(n) for n in names])
+    hi = F.col("q50") + F.lit(reach) * F.greatest(F.col("q50") - F.col("q25"), spread)
+    lo = F.when(two_sided, F.col("q50") - F.lit(reach) * F.greatest(F.col("q75") - F.col("q50"), spread))
+    return q.select("lang", "source", "ratio", lo.alias("lo"), hi.alias("hi"))
 
 
-def judge(measured: DataFrame, reach: float = 6.0, least_docs: int = 200, lang_col: str = "lang",
+def judge(measured: DataFrame, reach: float = REACH, prior: float = PRIOR, lang_col: str = "lang",
           source_col: str = "source") -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``. Read twice (sketch, verdict): hand in a
     written table. The fences are one row per language and source; the plan joins them by
@@ -197,17 +208,17 @@ def judge(measured: DataFrame, reach: float = 6.0, least_docs: int = 200, lang_c
     from strata.llm.common import without, written
 
     base = without(measured, ["base_failed", "kept"])
-    table = written(fences(written(sketch(base, lang_col, source_col), "quality-sketch"), reach, least_docs),
-                    "quality-fences")
-    wide = table.groupBy("lang", "source").agg(*[F.max(F.when(F.col("ratio") == r, F.struct("lo", "hi"))).alias(f"f_{r}")
-                                                 for r in RATIOS])
-    wide = wide.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), *[f"f_{r}" for r in RATIOS])
-    rows = base.join(wide, F.col(lang_col).eqNullSafe(F.col("f_lang")) & F.col(source_col).eqNullSafe(F.col("f_source")),
-                     "left")
+    table = written(fences(written(sketch(base, lang_col, source_col), "quality-sketch"), reach, prior), "quality-fences")
+    wide = (table.groupBy("lang", "source")
+            .agg(F.struct(*[F.max(F.when(F.col("ratio") == r, F.struct("lo", "hi"))).alias(r) for r in RATIOS]).alias("fence"))
+            .alias("__wide"))
+    rows = base.alias("__rows")
+    joined = rows.join(wide, F.col(f"__rows.`{lang_col}`").eqNullSafe(F.col("__wide.lang"))
+                       & F.col(f"__rows.`{source_col}`").eqNullSafe(F.col("__wide.source")), "left")
     inside = F.lit(True)
     for r in RATIOS:
-        lo, hi = F.col(f"f_{r}.lo"), F.col(f"f_{r}.hi")
-        inside &= F.coalesce(ratio(r) <= hi, F.lit(True)) & F.coalesce(ratio(r) >= lo, F.lit(True))
-    return (rows.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & inside)
-            .drop("f_lang", "f_source", *[f"f_{r}" for r in RATIOS]))
+        lo, hi = F.col(f"__wide.fence.{r}.lo"), F.col(f"__wide.fence.{r}.hi")
+        value = ratio(r, "__rows.")
+        inside &= F.coalesce(value <= hi, F.lit(True)) & F.coalesce(value >= lo, F.lit(True))
+    failed = base_failed("__rows.")
+    return joined.select(*[F.col(f"__rows.`{c}`") for c in base.columns], failed.alias("base_failed"), (~failed & inside).alias("kept"))
