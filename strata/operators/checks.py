@@ -10,7 +10,7 @@ checks there are (the reference re-reads it per template).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -112,8 +112,8 @@ def check_scd2_overlap(keys: Sequence[str], start: str, end: str, strict: bool =
                        criticality: str = "error") -> Check:
     """Previous version's end later than this start. A NULL previous end passes
     (reference behaviour) unless ``strict`` (an open earlier version then fails)."""
-    helper = "__prev_end_scd2_overlap"
-    helper2 = "__has_prev_scd2_overlap"
+    own = _safe("_".join([*keys, start, end, str(strict)]))
+    helper, helper2 = f"__prev_end_{own}", f"__has_prev_{own}"
 
     def prep(df: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(start)
@@ -128,7 +128,7 @@ def check_scd2_overlap(keys: Sequence[str], start: str, end: str, strict: bool =
 
 def check_scd2_contiguous(keys: Sequence[str], start: str, end: str, criticality: str = "warn") -> Check:
     """End differs from the next version's start (gap or overlap)."""
-    helper = "__next_start_scd2_contiguous"
+    helper = f"__next_start_{_safe('_'.join([*keys, start, end]))}"
 
     def prep(df: DataFrame) -> DataFrame:
         return df.withColumn(helper, F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
@@ -172,36 +172,116 @@ def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                            bucket("warn").alias("_warnings")).drop(*[h for h in helpers if h in df.columns])
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check], pk: Sequence[str], table: str
-               ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Returns (valid rows, findings one row per failed check, one-row summary).
+def valid_rows(evaluated: DataFrame) -> DataFrame:
+    """Rows of :func:`evaluate` without an error."""
+    return evaluated.where(F.size("_errors") == 0).drop("_errors", "_warnings")
 
-    Summary: total rows, distinct failing PKs for error and warning checks, success rate
-    = (total - failing PKs) / total * 100 to 2 dp, status, checks run. The checks are evaluated
-    once: the evaluated table is written to the shared scratch folder and all three read it;
-    failing PKs are one flag per PK, summed."""
-    ev = materialise(evaluate(df, checks), "evaluated-checks")
-    valid = ev.where(F.size("_errors") == 0).drop("_errors", "_warnings")
-    findings = (ev.select(*pk, F.explode(F.concat(
-                    F.transform("_errors", lambda x: F.struct(x.alias("f"), F.lit("ERROR").alias("criticality"))),
-                    F.transform("_warnings", lambda x: F.struct(x.alias("f"), F.lit("WARN").alias("criticality")))
-                )).alias("_x"))
-                  .select(*pk, F.col("_x.f.name").alias("check_name"), F.col("_x.f.function").alias("check_function"),
-                          F.col("_x.f.message").alias("check_message"), F.col("_x.f.columns").alias("check_columns"),
-                          F.col("_x.criticality").alias("criticality")))
-    per_pk = ev.groupBy(*pk).agg(F.count(F.lit(1)).alias("n"), F.max((F.size("_errors") > 0).cast("int")).alias("e"),
-                                 F.max((F.size("_warnings") > 0).cast("int")).alias("w"))
+
+def findings(evaluated: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """One row per failed check of :func:`evaluate`."""
+    return (evaluated.select(*pk, F.explode(F.concat(
+                F.transform("_errors", lambda x: F.struct(x.alias("f"), F.lit("ERROR").alias("criticality"))),
+                F.transform("_warnings", lambda x: F.struct(x.alias("f"), F.lit("WARN").alias("criticality")))
+            )).alias("_x"))
+              .select(*pk, F.col("_x.f.name").alias("check_name"), F.col("_x.f.function").alias("check_function"),
+                      F.col("_x.f.message").alias("check_message"), F.col("_x.f.columns").alias("check_columns"),
+                      F.col("_x.criticality").alias("criticality")))
+
+
+def summarise(evaluated: DataFrame, pk: Sequence[str], table: str, checks_run: int) -> DataFrame:
+    """One row: total rows, distinct failing PKs for error and warning checks, success rate = (total - failing PKs) /
+    total * 100 to 2 dp, status, checks run. Failing PKs are one flag per PK, summed."""
+    flags = evaluated.select(*pk, (F.size("_errors") > 0).cast("int").alias("e"), (F.size("_warnings") > 0).cast("int").alias("w"))
+    per_pk = flags.groupBy(*pk).agg(F.count(F.lit(1)).alias("n"), F.max("e").alias("e"), F.max("w").alias("w"))
     zero = F.lit(0).cast("bigint")
     s = per_pk.agg(*[F.coalesce(F.sum(c), zero).alias(n) for c, n in (("n", "total_rows"), ("e", "failed_rows"), ("w", "warning_rows"))])
-    summary = s.select(
+    return s.select(
         F.lit(table).alias("table_name"), "total_rows", "failed_rows", "warning_rows",
         F.when(F.col("total_rows") > 0,
                F.round((F.col("total_rows") - F.col("failed_rows")) * 100.0 / F.col("total_rows"), 2))
          .otherwise(F.lit(100.0)).alias("success_rate"),
         F.when(F.col("failed_rows") > 0, "Issues Found").when(F.col("warning_rows") > 0, "Warning")
          .otherwise("Success").alias("status"),
-        F.lit(len(checks)).cast("bigint").alias("checks_run"))
-    return valid, findings, summary
+        F.lit(checks_run).cast("bigint").alias("checks_run"))
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], pk: Sequence[str], table: str
+               ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(valid rows, findings one row per failed check, one-row summary). The checks are evaluated once: the
+    evaluated table is written to the shared scratch folder and all three read it. Who wants one output only
+    takes :func:`valid_rows`, :func:`findings` or :func:`summarise` of :func:`evaluate`, without that write."""
+    ev = materialise(evaluate(df, checks), "evaluated-checks")
+    return valid_rows(ev), findings(ev, pk), summarise(ev, pk, table, len(checks))
+
+
+# ---------------------------------------------------------------- templates and roles
+
+class Templates(dict):
+    """Check templates by name: name -> builder(params, roles) -> Check or list of Checks. ``extended`` gives a
+    copy with templates added or overridden (a table's own ones)."""
+
+    def extended(self, **more: Callable) -> "Templates":
+        return Templates({**self, **more})
+
+
+def role_columns(params: dict, roles: dict) -> list[str]:
+    """The columns that a check item names, itself (``columns``) or by roles (``roles``), without repeats."""
+    named = list(params.get("columns", []))
+    for role in params.get("roles", []):
+        held = roles[role]
+        named += [held] if isinstance(held, str) else held
+    return list(dict.fromkeys(named))
+
+
+def _scd2(build: Callable) -> Callable:
+    """A template over the roles that name an SCD2 table's keys, start and end."""
+    def made(params: dict, roles: dict):
+        return build(roles[params.get("keys_role", "system_keys")], roles[params.get("start_role", "start")], roles[params.get("end_role", "end")])
+    return made
+
+
+TEMPLATES = Templates({
+    "not_null": lambda p, r: [check_not_null(c) for c in role_columns(p, r)],
+    "unique": lambda p, r: check_unique(role_columns(p, r), p.get("nulls_distinct", False)),
+    "in_range": lambda p, r: [check_in_range(c, p["min"], p["max"]) for c in role_columns(p, r)],
+    "no_future": lambda p, r: [check_no_future(c, p["now"]) for c in role_columns(p, r)],
+    "pattern": lambda p, r: [check_pattern(c, p["regex"]) for c in role_columns(p, r)],
+    "foreign_key": lambda p, r: [check_fk(c, p["references"], p.get("allow_nulls", False)) for c in role_columns(p, r)],
+    "scd2_unique": _scd2(lambda k, s, e: check_scd2_unique(k, s)),
+    "scd2_overlap": _scd2(lambda k, s, e: check_scd2_overlap(k, s, e)),
+    "scd2_contiguous": _scd2(lambda k, s, e: check_scd2_contiguous(k, s, e)),
+    "scd2_chronology": _scd2(lambda k, s, e: check_scd2_chronology(s, e)),
+    "scd2_zero_length": _scd2(lambda k, s, e: check_scd2_zero_length(s, e)),
+})
+
+
+def checks_for(df: DataFrame, table: dict, defaults: dict | None = None, templates: Templates = TEMPLATES) -> list[Check]:
+    """The checks of one table from its configuration and the defaults of all tables.
+
+    Both are {"roles": {role: column or columns}, "checks": [item, ...]}; the table's roles override the defaults', its
+    items those of the same name, and an item with ``enabled: False`` switches one off. An item is {"template": name,
+    "name": optional, "criticality": "error" or "warn", "params": {...}, "when_roles_present": [role, ...]}. A role is
+    present when it is named and all its columns are in ``df``; an item whose roles are not all present is skipped."""
+    defaults = defaults or {}
+    roles = {**defaults.get("roles", {}), **table.get("roles", {})}
+    have = set(df.columns)
+    present = {r for r, c in roles.items() if c and set([c] if isinstance(c, str) else c) <= have}
+    items: dict[str, dict] = {}
+    for item in [*defaults.get("checks", []), *table.get("checks", [])]:
+        items[item.get("name") or f"{item['template']}:{sorted(item.get('params', {}).items(), key=str)}"] = item
+    out = []
+    for item in items.values():
+        if not item.get("enabled", True) or not set(item.get("when_roles_present", [])) <= present:
+            continue
+        if item["template"] not in templates:
+            raise ValueError(f"unknown check template {item['template']!r}")
+        made = templates[item["template"]](item.get("params", {}), roles)
+        made = made if isinstance(made, list) else [made]
+        for i, c in enumerate(made):
+            name = item.get("name")
+            out.append(replace(c, name=c.name if name is None else f"{name}_{i}" if len(made) > 1 else name,
+                               criticality=item.get("criticality", c.criticality)))
+    return out
 
 
 def dq_report_merge(existing: DataFrame, new: DataFrame, key: str = "table_name") -> DataFrame:

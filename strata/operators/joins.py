@@ -8,10 +8,32 @@ none: AQE turns them into broadcasts from measured sizes and keeps the shuffle j
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
+def full_outer(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], null_safe: bool = False) -> DataFrame:
+    """All columns of both sides (names must differ), rows as in a full outer join on ``on`` (left, right) pairs.
+
+    A full outer join is never split by AQE, so one hot key or the NULL keys end in one task. Here it is a left join,
+    whose left side AQE does split, and the right rows that meet none (an anti join, which it splits too). Unless
+    ``null_safe``, rows with a NULL key meet nothing and go round the shuffle."""
+    pairs = [(F.col(f"_l.`{a}`"), F.col(f"_r.`{b}`")) for a, b in on]
+    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    whole = lambda cols: reduce(lambda x, y: x & y, [F.col(f"`{c}`").isNotNull() for c in cols])
+    l_keys, r_keys = [a for a, _ in on], [b for _, b in on]
+    l_in, r_in = (left, right) if null_safe else (left.where(whole(l_keys)), right.where(whole(r_keys)))
+    met = l_in.alias("_l").join(r_in.alias("_r"), same, "left").select(
+        *[F.col(f"_l.`{c}`") for c in left.columns], *[F.col(f"_r.`{c}`") for c in right.columns])
+    known = l_in.select(*[F.col(f"`{a}`") for a in dict.fromkeys(l_keys)]).distinct()
+    rest = [r_in.alias("_r").join(known.alias("_l"), same, "left_anti")]
+    if not null_safe:
+        rest += [left.where(~whole(l_keys)), right.where(~whole(r_keys))]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rest, met)
+
+
 def join_inner(left: DataFrame, right: DataFrame, keys: Sequence[str] | Column) -> DataFrame:
     """J1"""
     return left.join(right, keys if isinstance(keys, Column) else list(keys), "inner")
@@ -26,8 +48,13 @@ def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Column | Sequence[str]
 
 
 def full_merge(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join; ``using`` keys come out coalesced."""
-    return left.join(right, list(keys), "full")
+    """Full outer join; the keys, and other columns that both sides have (dimensions), come out coalesced, the left
+    side's value first."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns})
+    j = full_outer(left, renamed, [(k, f"__r_{k}") for k in keys])
+    both = set(left.columns) & set(right.columns)
+    return j.select(*[F.coalesce(F.col(f"`{c}`"), F.col(f"`__r_{c}`")).alias(c) if c in both else F.col(f"`{c}`") for c in left.columns],
+                    *[F.col(f"`__r_{c}`").alias(c) for c in right.columns if c not in both])
 
 
 def keep_in(df: DataFrame, ids: DataFrame, key: str, id_col: str | None = None) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Parquet snapshots are immutable, so every mutation returns the *next* snapshot
 (``merged = f(target, source)``) and a sink writes it to a fresh folder
-(:mod:`strata.sources.sinks`). Merges are one null-safe full outer join on the keys
-(one shuffle per side); scoped deletes test the batch's distinct periods with a
+(:mod:`strata.sources.sinks`). Merges lay the target's rows beside the source's on the null-safe keys by a
+left join and an anti join, which AQE splits for a hot key (a full outer join it would not); scoped deletes test the batch's distinct periods with a
 left join (AQE broadcasts that side when its measured size is small), never a
 driver-collected IN list.
 """
@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import full_outer
+
 
 def align_schema(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pad the source with NULLs for target columns it lacks and add new source
@@ -62,13 +64,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], dele
     assert_one_row_per_key(source, keys)
     t, s = align_schema(target, source)
     cols = t.columns
-    t = t.withColumn("__t", F.lit(True))
-    s = s.withColumn("__s", F.lit(True))
-    cond = [F.col(f"_t.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in keys]
-    j = t.alias("_t").join(s.alias("_s"), cond, "full")
-    matched_src = F.col("_s.__s").isNotNull()
-    out = j.select(*[F.when(matched_src, F.col(f"_s.{c}")).otherwise(F.col(f"_t.{c}")).alias(c) for c in cols],
-                   F.col("_t.__t").isNotNull().alias("__in_t"), matched_src.alias("__in_s"))
+    s = s.select(*[F.col(f"`{c}`").alias(f"__s_{c}") for c in cols], F.lit(True).alias("__s"))
+    j = full_outer(t.withColumn("__t", F.lit(True)), s, [(k, f"__s_{k}") for k in keys], null_safe=True)
+    matched_src = F.col("__s").isNotNull()
+    out = j.select(*[F.when(matched_src, F.col(f"`__s_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in cols],
+                   F.col("__t").isNotNull().alias("__in_t"), matched_src.alias("__in_s"))
     if delete is None:
         return out.drop("__in_t", "__in_s")
     deletable = F.col("__in_t") & ~F.col("__in_s")

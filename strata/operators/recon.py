@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import full_outer
+
 
 def column_message(left: Column, right: Column, left_name: str, right_name: str) -> Column:
     """Per-column comparison message for a matched pair of rows."""
@@ -17,22 +20,44 @@ def column_message(left: Column, right: Column, left_name: str, right_name: str)
              .otherwise(F.lit("Differs")))
 
 
+def key_message(left: Column, right: Column, l_name: str, r_name: str, left_name: str, right_name: str) -> Column:
+    """Message of one primary column pair: which side lacks the value, or that it matched."""
+    l, r = left.cast("string"), right.cast("string")
+    return (F.when(l.isNull() & r.isNull(), F.lit("Both values NULL"))
+             .when(l.isNull(), F.concat(F.lit(f"{right_name} {r_name} '"), r, F.lit(f"' is no {l_name} in {left_name}")))
+             .when(r.isNull(), F.concat(F.lit(f"{left_name} {l_name} '"), l, F.lit(f"' is no {r_name} in {right_name}")))
+             .when(l == r, F.concat(F.lit("Matched '"), r, F.lit("'")))
+             .otherwise(F.concat(F.lit(f"{left_name} {l_name} '"), l, F.lit(f"' differs from {right_name} {r_name} '"), r, F.lit("'"))))
+
+
 def reconcile(data: DataFrame, master: DataFrame, primary: dict[str, str], secondary: dict[str, str],
-              how: str = "full", left_name: str = "data", right_name: str = "master") -> DataFrame:
+              how: str = "full", left_name: str = "data", right_name: str = "master", join_message: bool = False,
+              sources: dict[str, tuple[str, str]] | None = None, checked_at: str | None = None) -> DataFrame:
     """Join ``data`` to ``master`` on the primary column map, prefix both sides,
-    flag ``match_found`` and add one message per secondary column pair (only for
-    matched rows) plus the mapping text."""
+    flag ``match_found`` (every primary column of both sides is known) and add one message per secondary column
+    pair (only for matched rows) plus the mapping text.
+
+    ``join_message`` adds the messages of all primary pairs in one column. ``sources`` = {side name: (input method,
+    source)} adds ``<side>_input_method`` and ``<side>_source``, ``checked_at`` a ``checked_at`` column. A full
+    reconciliation is split on hot keys, and rows with a NULL key are not shuffled."""
     lp, rp = f"{left_name}_", f"{right_name}_"
     d = data.select(*[F.col(c).alias(lp + c) for c in data.columns])
     m = master.select(*[F.col(c).alias(rp + c) for c in master.columns])
-    cond = [F.col(lp + l) == F.col(rp + r) for l, r in primary.items()]
-    j = d.join(m, cond, how)
-    lk, rk = next(iter(primary.items()))
-    match = F.col(lp + lk).isNotNull() & F.col(rp + rk).isNotNull()
+    if how == "full":
+        j = full_outer(d, m, [(lp + l, rp + r) for l, r in primary.items()])
+    else:
+        j = d.join(m, [F.col(lp + l) == F.col(rp + r) for l, r in primary.items()], how)
+    match = reduce(lambda a, b: a & b, [F.col(lp + l).isNotNull() & F.col(rp + r).isNotNull() for l, r in primary.items()])
     msgs = {f"msg_{l}": F.when(match, column_message(F.col(lp + l), F.col(rp + r), left_name, right_name))
             for l, r in secondary.items()}
     mapping = ", ".join(f"{l}={r}" for l, r in {**primary, **secondary}.items())
-    return j.withColumn("match_found", match).withColumns(msgs).withColumn("mapping", F.lit(mapping))
+    out = j.withColumn("match_found", match).withColumns(msgs).withColumn("mapping", F.lit(mapping))
+    if join_message:
+        out = out.withColumn("join_message", F.concat_ws("; ", *[key_message(F.col(lp + l), F.col(rp + r), l, r, left_name, right_name)
+                                                                 for l, r in primary.items()]))
+    for side, (method, source) in (sources or {}).items():
+        out = out.withColumns({f"{side}_input_method": F.lit(method), f"{side}_source": F.lit(source)})
+    return out if checked_at is None else out.withColumn("checked_at", F.lit(checked_at))
 
 
 def reconcile_summary(rec: DataFrame, primary: dict[str, str], secondary: Sequence[str],
@@ -62,11 +87,11 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def entity_reconcile(a: DataFrame, b: DataFrame, a_name: str = "A", b_name: str = "B") -> DataFrame:
-    """Full outer join of two entity lists (id, name, number) on id: status,
+    """Full outer join of two entity lists (id, name, number) on id (rows without id stay alone): status,
     exact name match, name similarity and exact number match."""
     x = a.select(F.col("id").alias("a_id"), F.col("name").alias("a_name"), F.col("number").alias("a_number"))
     y = b.select(F.col("id").alias("b_id"), F.col("name").alias("b_name"), F.col("number").alias("b_number"))
-    j = x.join(y, F.col("a_id") == F.col("b_id"), "full")
+    j = full_outer(x, y, [("a_id", "b_id")])
     status = (F.when(F.col("a_id").isNotNull() & F.col("b_id").isNotNull(), F.lit("Matched on ID"))
                .when(F.col("a_id").isNull(), F.lit(f"Only in {b_name} (Missing in {a_name})"))
                .otherwise(F.lit(f"Only in {a_name} (Missing in {b_name})")))

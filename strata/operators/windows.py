@@ -7,6 +7,8 @@ Scale notes
   (map-side) aggregate, so a key holding a third of the table is reduced inside each
   input partition before the shuffle. Ties are broken by the remaining columns, so the
   pick is deterministic (``row_number`` is not).
+* ``running_total`` and ``fill_forward`` take a ``bucket``: the window is then a two-level
+  prefix scan (:mod:`strata.operators.prefix`), so that a hot key is split over its buckets.
 * Totals ``OVER ()`` (N12) are a one-row aggregate joined back by broadcast, never
   an unpartitioned window (which funnels the whole table through one task).
 """
@@ -14,10 +16,13 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators import prefix
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -43,18 +48,23 @@ def rank_rows(df: DataFrame, partition: Sequence[str] | None, order: dict[str, s
     return df.withColumn(name, F.row_number().over(w))
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, measures: dict[str, str]) -> DataFrame:
-    """Cumulative sums ``{out: measure}`` ROWS UNBOUNDED PRECEDING..CURRENT ROW."""
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, measures: dict[str, str],
+                  bucket: Column | None = None) -> DataFrame:
+    """Cumulative sums ``{out: measure}`` ROWS UNBOUNDED PRECEDING..CURRENT ROW. With ``bucket`` (a
+    value that grows with ``order``, plain names then) a key is scanned bucket by bucket."""
+    if bucket is not None:
+        return prefix.scan(df, keys, order, bucket, sums={out: F.col(m) for out, m in measures.items()})
     w = (Window.partitionBy(*keys).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumns({out: F.sum(m).over(w) for out, m in measures.items()})
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Sequence[str],
-                 flag: str | None = None, blank_is_missing: bool = True) -> DataFrame:
+                 flag: str | None = None, blank_is_missing: bool = True, bucket: Column | None = None) -> DataFrame:
     """Carry the last non-missing value forward for every column in ``cols``
     in one projection. For strings ``''`` counts as missing too. ``flag`` (N5) names a
-    boolean column that is true when any value on the row was filled."""
+    boolean column that is true when any value on the row was filled. With ``bucket`` (a value
+    that grows with ``order``, plain names then) a key is scanned bucket by bucket."""
     w = (Window.partitionBy(*keys).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     types = dict(df.dtypes)
@@ -64,6 +74,13 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Sequ
         if blank_is_missing and types[c] == "string":
             m = m | (F.col(c) == "")
         missing[c] = m
+    if bucket is not None:
+        known = {f"__f_{c}": F.when(~missing[c], F.col(c)) for c in cols}
+        out = prefix.scan(df, keys, order, bucket, lasts=known)
+        if flag:
+            out = out.withColumn(flag, reduce(lambda a, b: a | b, [missing[c] & F.col(f"__f_{c}").isNotNull() for c in cols]))
+        return out.select(*[F.col(f"__f_{c}").alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns],
+                          *([flag] if flag else []))
     filled = {c: F.last(F.when(~missing[c], F.col(c)), ignorenulls=True).over(w) for c in cols}
     out = df
     if flag:

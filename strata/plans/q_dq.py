@@ -8,6 +8,7 @@ from strata.operators import bespoke as BS
 from strata.operators import checks as C
 from strata.operators import dq as DQ
 from strata.plans import bindings as B
+from strata.plans.q_temporal import chains, chains_cte, pair_ids
 from strata.plans.registry import query
 from strata.sources.tables import Tables
 
@@ -233,7 +234,7 @@ def _reg_single(qname: str, idx: int):
     spec = LI_FIND[qname]
 
     def fn(spark, d):
-        return C.run_checks(B.lineitem_dq(spark, d), [li_checks(spark, d)[idx]], LI_PK, "lineitem")[1]
+        return C.findings(C.evaluate(B.lineitem_dq(spark, d), [li_checks(spark, d)[idx]]), LI_PK)
     query(qname, f"WITH {LI} " + finding_sql(LI_PK, *spec))(fn)
 
 
@@ -245,7 +246,7 @@ LI_FINDINGS_SQL = " UNION ALL ".join(finding_sql(LI_PK, *LI_FIND[q]) for q in _L
 
 @query("d20_run_checks_findings", f"WITH {LI} {LI_FINDINGS_SQL}")
 def d20_run_checks_findings(spark, d):
-    return C.run_checks(B.lineitem_dq(spark, d), li_checks(spark, d), LI_PK, "lineitem")[1]
+    return C.findings(C.evaluate(B.lineitem_dq(spark, d), li_checks(spark, d)), LI_PK)
 
 
 @query("d20_run_checks_valid", f"""
@@ -255,7 +256,7 @@ WHERE NOT (l_suppkey IS NULL OR NOT (l_discount BETWEEN 0.0 AND 0.09)
            OR (status_code IS NOT NULL AND NOT regexp_matches(status_code, '^[ANR]-[OF]$'))
            OR (l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier UNION SELECT c_custkey FROM customer)))""")
 def d20_run_checks_valid(spark, d):
-    return C.run_checks(B.lineitem_dq(spark, d), li_checks(spark, d), LI_PK, "lineitem")[0]
+    return C.valid_rows(C.evaluate(B.lineitem_dq(spark, d), li_checks(spark, d)))
 
 
 EDGE_PK = ["child_id", "parent_id", "active_from"]
@@ -299,7 +300,7 @@ def _reg_edge(qname: str, idx: int):
     spec = EDGE_FIND[qname]
 
     def fn(spark, d):
-        return C.run_checks(B.edges_scd(spark, d), [edge_checks()[idx]], EDGE_PK, "edges")[1]
+        return C.findings(C.evaluate(B.edges_scd(spark, d), [edge_checks()[idx]]), EDGE_PK)
     query(qname, f"WITH {EDGE_SCD_CTES} " + finding_sql(EDGE_PK, *spec))(fn)
 
 
@@ -326,10 +327,13 @@ SUMMARY_SQL = (f"WITH {LI}, {EDGE_SCD_CTES} "
                + _summary_sql("edges", "edges_scd", EDGE_FINDINGS_SQL, EDGE_PK, 5))
 
 
+def summary_of(df, checks, pk, table):
+    return C.summarise(C.evaluate(df, checks), pk, table, len(checks))
+
+
 def _summaries(spark, d):
-    a = C.run_checks(B.lineitem_dq(spark, d), li_checks(spark, d), LI_PK, "lineitem")[2]
-    b = C.run_checks(B.edges_scd(spark, d), edge_checks(), EDGE_PK, "edges")[2]
-    return a.unionByName(b)
+    return summary_of(B.lineitem_dq(spark, d), li_checks(spark, d), LI_PK, "lineitem").unionByName(
+        summary_of(B.edges_scd(spark, d), edge_checks(), EDGE_PK, "edges"))
 
 
 @query("d20_run_checks_summary", SUMMARY_SQL)
@@ -349,12 +353,71 @@ old AS (
 SELECT * FROM old WHERE table_name NOT IN (SELECT table_name FROM new) UNION ALL SELECT * FROM new""")
 def d21_dq_report_merge(spark, d):
     o = Tables(spark, d).orders
-    old_orders = C.run_checks(o, [C.check_not_null("o_orderkey")], ["o_orderkey"], "orders")[2]
-    old_li = C.run_checks(Tables(spark, d).lineitem, [C.check_not_null("l_orderkey")], LI_PK, "lineitem")[2]
-    new = C.run_checks(B.lineitem_dq(spark, d), li_checks(spark, d), LI_PK, "lineitem")[2]
+    old_orders = summary_of(o, [C.check_not_null("o_orderkey")], ["o_orderkey"], "orders")
+    old_li = summary_of(Tables(spark, d).lineitem, [C.check_not_null("l_orderkey")], LI_PK, "lineitem")
+    new = summary_of(B.lineitem_dq(spark, d), li_checks(spark, d), LI_PK, "lineitem")
     return C.dq_report_merge(old_orders.unionByName(old_li), new)
 
 
+# D14's default arm: a NULL key fails
+@query("d14_check_fk_nulls_fail", f"WITH {LI} " + finding_sql(
+    LI_PK, "l_suppkey_fk_exists", "foreign_key", "Value of 'l_suppkey' has no match in the reference", "l_suppkey", "ERROR", "li_dq",
+    "l_suppkey IS NULL OR l_suppkey NOT IN (SELECT s_suppkey FROM supplier)"))
+def d14_check_fk_nulls_fail(spark, d):
+    check = C.check_fk("l_suppkey", [(Tables(spark, d).supplier, "s_suppkey")])
+    return C.findings(C.evaluate(B.lineitem_dq(spark, d), [check]), LI_PK)
+
+
+# -- D20 with roles: defaults of all tables merged with a table's own checks --------------------
+ROLE_DEFAULTS = {
+    "roles": {"system_keys": ["child_id", "parent_id"], "start": "active_from", "end": "active_to", "audit": ["loaded_by"]},
+    "checks": [
+        {"template": "scd2_overlap", "name": "overlap", "when_roles_present": ["system_keys", "start", "end"]},
+        {"template": "scd2_zero_length", "name": "zero", "criticality": "warn", "when_roles_present": ["start", "end"]},
+        {"template": "not_null", "name": "audit", "params": {"roles": ["audit"]}, "when_roles_present": ["audit"]},
+        {"template": "in_range", "name": "percent", "params": {"columns": ["percentage"], "min": 0.0, "max": 1.0}},
+        {"template": "scd2_chronology", "name": "order", "when_roles_present": ["start", "end"]},
+    ]}
+EDGE_CONFIG = {"checks": [
+    {"template": "in_range", "name": "percent", "criticality": "warn", "params": {"columns": ["percentage"], "min": 0.2, "max": 1.0}},
+    {"template": "scd2_chronology", "name": "order", "enabled": False},
+    {"template": "not_null", "name": "keys", "params": {"roles": ["system_keys", "end"]}}]}
+LINE_CONFIG = {"roles": {"system_keys": LI_PK, "audit": ["l_suppkey"]}, "checks": [
+    {"template": "in_range", "name": "percent", "params": {"columns": ["l_discount"], "min": 0.0, "max": 0.09}},
+    {"template": "unique", "name": "pk", "criticality": "warn", "params": {"roles": ["system_keys"]}, "when_roles_present": ["system_keys"]},
+    {"template": "code", "name": "code", "params": {"columns": ["status_code"]}}]}
+#: A table's own template beside the common ones.
+LINE_TEMPLATES = C.TEMPLATES.extended(code=lambda p, r: [C.check_pattern(c, "^[ANR]-[OF]$") for c in p["columns"]])
+
+
+def role_sql(table, pk, name, crit, src, where):
+    return f"SELECT '{table}' AS table_name, concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in pk)}) AS pk, '{name}' AS check_name, '{crit}' AS criticality FROM {src} WHERE {where}"
+
+
+ROLES_SQL = " UNION ALL ".join([
+    role_sql("edges", EDGE_PK, "overlap", "ERROR", EDGE_FIND["d16_check_scd2_overlap"][5], "pe > active_from"),
+    role_sql("edges", EDGE_PK, "zero", "WARN", "edges_scd", "active_from = active_to"),
+    role_sql("edges", EDGE_PK, "percent", "WARN", "edges_scd", "NOT (percentage BETWEEN 0.2 AND 1.0)"),
+    role_sql("edges", EDGE_PK, "keys_2", "ERROR", "edges_scd", "active_to IS NULL"),
+    role_sql("lineitem", LI_PK, "audit", "ERROR", "li_dq", "l_suppkey IS NULL"),
+    role_sql("lineitem", LI_PK, "percent", "ERROR", "li_dq", "NOT (l_discount BETWEEN 0.0 AND 0.09)"),
+    role_sql("lineitem", LI_PK, "pk", "WARN", "(SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM li_dq)", "n > 1"),
+    role_sql("lineitem", LI_PK, "code", "ERROR", "li_dq", "status_code IS NOT NULL AND NOT regexp_matches(status_code, '^[ANR]-[OF]$')")])
+
+
+@query("d20_roles", f"WITH {LI}, {EDGE_SCD_CTES} {ROLES_SQL}")
+def d20_roles(spark, d):
+    """Two tables under one set of defaults: line items have no start and end, edges no audit column, so those checks are skipped."""
+    out = None
+    for table, df, pk, config, templates in (("edges", B.edges_scd(spark, d), EDGE_PK, EDGE_CONFIG, C.TEMPLATES),
+                                             ("lineitem", B.lineitem_dq(spark, d), LI_PK, LINE_CONFIG, LINE_TEMPLATES)):
+        found = C.findings(C.evaluate(df, C.checks_for(df, config, ROLE_DEFAULTS, templates)), pk)
+        rows = found.select(F.lit(table).alias("table_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in pk]).alias("pk"),
+                            "check_name", "criticality")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # -- bespoke checks ----------------------------------------------------------------------
 @query("d22_self_parenting", f"""
 WITH {B.EDGES_CTE} SELECT child_id, parent_id, active_from, event_id, percentage, active_to
@@ -380,42 +443,41 @@ def d23_phase_collisions(spark, d):
                                   ",").alias("milestone_details"))
 
 
-# rel ids of two-hop paths, with planted corruptions: every 13th path swaps its
-# endpoints, every 17th breaks the junction (X_Y), every 19th loses its dots.
-REL_CTE = """
-rel_pairs AS (SELECT DISTINCT child_id, parent_id FROM edges WHERE child_id <> parent_id),
+# rel ids of chains of every length (top first), with planted corruptions: every 13th path swaps its
+# endpoints, every 17th breaks its last pair, every 19th loses its dots.
+REL_CTE = f"""
+{chains_cte()},
 rel AS (
-  SELECT b.parent_id AS top, a.parent_id AS mid, a.child_id AS bottom,
-         (b.parent_id * 100003 + a.parent_id * 101 + a.child_id) % 1000 AS h
-  FROM rel_pairs a JOIN rel_pairs b ON a.parent_id = b.child_id
+  SELECT list_transform(list_reverse(chain), lambda x: 'N' || x) AS n, 'N' || top AS tp, 'N' || bottom AS bt,
+         (top * 100003 + chain[len(chain) - 1] * 101 + bottom) % 1000 AS h FROM chains
 ),
+rel_p AS (SELECT *, list_transform(range(1, len(n)), lambda i: n[i] || '.' || n[i + 1]) AS p FROM rel),
 rel_ids AS (
-  SELECT CASE WHEN h % 19 = 0 THEN concat('N', top, '_N', mid, '_N', mid, '_N', bottom)
-              WHEN h % 17 = 0 THEN concat('N', top, '.N', mid, '_N', bottom, '.N', bottom)
-              ELSE concat('N', top, '.N', mid, '_N', mid, '.N', bottom) END AS rel_id,
-         CASE WHEN h % 13 = 0 THEN concat('N', bottom) ELSE concat('N', top) END AS ultimate_parent_id,
-         CASE WHEN h % 13 = 0 THEN concat('N', top) ELSE concat('N', bottom) END AS ultimate_child_id
-  FROM rel
+  SELECT CASE WHEN h % 19 = 0 THEN replace(array_to_string(p, '_'), '.', '_')
+              WHEN h % 17 = 0 THEN array_to_string(list_append(p[1:len(p) - 1], bt || '.' || bt), '_')
+              ELSE array_to_string(p, '_') END AS rel_id,
+         CASE WHEN h % 13 = 0 THEN bt ELSE tp END AS ultimate_parent_id,
+         CASE WHEN h % 13 = 0 THEN tp ELSE bt END AS ultimate_child_id
+  FROM rel_p
 )"""
 
 
 def rel_ids(spark, d):
-    pairs = B.edges(spark, d).select("child_id", "parent_id").distinct().where(F.col("child_id") != F.col("parent_id"))
-    a, b = pairs.alias("a"), pairs.alias("b")
-    r = a.join(b, F.col("a.parent_id") == F.col("b.child_id")).select(
-        F.col("b.parent_id").alias("top"), F.col("a.parent_id").alias("mid"), F.col("a.child_id").alias("bottom"))
-    h = (F.col("top") * 100003 + F.col("mid") * 101 + F.col("bottom")) % 1000
-    n = lambda c: F.concat(F.lit("N"), F.col(c).cast("string"))
-    return r.withColumn("h", h).select(
-        F.when(F.col("h") % 19 == 0, F.concat(n("top"), F.lit("_"), n("mid"), F.lit("_"), n("mid"), F.lit("_"), n("bottom")))
-         .when(F.col("h") % 17 == 0, F.concat(n("top"), F.lit("."), n("mid"), F.lit("_"), n("bottom"), F.lit("."), n("bottom")))
-         .otherwise(F.concat(n("top"), F.lit("."), n("mid"), F.lit("_"), n("mid"), F.lit("."), n("bottom"))).alias("rel_id"),
-        F.when(F.col("h") % 13 == 0, n("bottom")).otherwise(n("top")).alias("ultimate_parent_id"),
-        F.when(F.col("h") % 13 == 0, n("top")).otherwise(n("bottom")).alias("ultimate_child_id"))
+    n = lambda c: F.concat(F.lit("N"), c.cast("string"))
+    c = chains(spark, d).select("bottom", "top", F.transform(F.reverse("chain"), n).alias("n"), F.element_at("chain", -2).alias("second"))
+    r = c.select("n", n(F.col("top")).alias("tp"), n(F.col("bottom")).alias("bt"), pair_ids(F.col("n")).alias("p"),
+                 ((F.col("top") * 100003 + F.col("second") * 101 + F.col("bottom")) % 1000).alias("h"))
+    joined = lambda x: F.array_join(x, "_")
+    broken = F.concat(F.slice("p", F.lit(1), F.size("p") - 1), F.array(F.concat("bt", F.lit("."), "bt")))
+    swapped = F.col("h") % 13 == 0
+    return r.select(F.when(F.col("h") % 19 == 0, F.replace(joined("p"), F.lit("."), F.lit("_")))
+                     .when(F.col("h") % 17 == 0, joined(broken)).otherwise(joined("p")).alias("rel_id"),
+                    F.when(swapped, F.col("bt")).otherwise(F.col("tp")).alias("ultimate_parent_id"),
+                    F.when(swapped, F.col("tp")).otherwise(F.col("bt")).alias("ultimate_child_id"))
 
 
 @query("d24_path_endpoints_valid", f"""
-WITH {B.EDGES_CTE}, {REL_CTE}
+WITH RECURSIVE {B.EDGES_CTE}, {REL_CTE}
 SELECT rel_id, ultimate_parent_id, ultimate_child_id,
        COALESCE(trim(split_part(rel_id, '.', 1)) = trim(ultimate_parent_id)
                 AND trim(string_split(rel_id, '.')[-1]) = trim(ultimate_child_id), false) AS endpoints_valid
@@ -427,7 +489,7 @@ def d24_path_endpoints_valid(spark, d):
 
 
 @query("d25_path_pattern_valid", f"""
-WITH {B.EDGES_CTE}, {REL_CTE},
+WITH RECURSIVE {B.EDGES_CTE}, {REL_CTE},
 p AS (SELECT rel_id, string_split(rel_id, '.') AS parts FROM rel_ids)
 SELECT rel_id, CASE WHEN rel_id IS NULL THEN false WHEN len(parts) < 2 THEN false WHEN len(parts) = 2 THEN true
   ELSE list_bool_and(list_transform(parts[2:len(parts) - 1], lambda x:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import merge as MG
+from strata.operators.prefix import time_bucket
 from strata.operators.scd2 import scd2_apply_changes
 from strata.plans import bindings as B
 from strata.plans.registry import query
@@ -245,4 +246,4 @@ FROM v""")
 def s25_scd2_apply_changes(spark, d):
     ev = B.events_dq(spark, d)
     return scd2_apply_changes(ev, ["user_id"], "ts", ["event_type"], ["value", "event_id"],
-                              tiebreak=["event_id"])
+                              tiebreak=["event_id"], bucket=time_bucket("ts", "day"))

@@ -10,6 +10,7 @@ from strata.operators import aggregates as A
 from strata.operators import joins as J
 from strata.operators import temporal as T
 from strata.operators import windows as N
+from strata.operators.prefix import time_bucket
 from strata.plans import bindings as B
 from strata.plans.registry import query
 from strata.sources.tables import Tables
@@ -42,7 +43,7 @@ SELECT o_orderkey, o_custkey, o_orderdate,
 FROM orders""")
 def n3_running_total(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    r = N.running_total(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "o_totalprice"})
+    r = N.running_total(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "o_totalprice"}, bucket=time_bucket("o_orderdate", "year"))
     return r.select("o_orderkey", "o_custkey", "o_orderdate", F.round("running_total", 2).alias("running_total"))
 
 
@@ -53,7 +54,7 @@ SELECT event_id, user_id, ts, last_value(value IGNORE NULLS) OVER (PARTITION BY
 FROM events_dq""")
 def n4_fill_forward(spark, d):
     ev = B.events_dq(spark, d).select("event_id", "user_id", "ts", "value")
-    return N.fill_forward(ev, ["user_id"], ["ts", "event_id"], ["value"])
+    return N.fill_forward(ev, ["user_id"], ["ts", "event_id"], ["value"], bucket=time_bucket("ts", "day"))
 
 
 @query("n5_fill_forward_many", f"""
@@ -72,7 +73,7 @@ def n5_fill_forward_many(spark, d):
     ev = B.events_dq(spark, d).select(
         "event_id", "user_id", "ts", "value",
         F.when(F.col("event_id") % 7 == 0, F.lit("")).otherwise(F.col("event_type")).alias("event_type"))
-    return N.fill_forward(ev, ["user_id"], ["ts", "event_id"], ["value", "event_type"], flag="backfilled")
+    return N.fill_forward(ev, ["user_id"], ["ts", "event_id"], ["value", "event_type"], flag="backfilled", bucket=time_bucket("ts", "day"))
 
 
 @query("n6_period_delta", """

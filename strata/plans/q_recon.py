@@ -83,6 +83,35 @@ def c1_reconcile(spark, d):
     return _rec(spark, d)
 
 
+def _said(l, r, lcol, rcol):
+    return f"""CASE WHEN {lcol} IS NULL AND {rcol} IS NULL THEN 'Both values NULL'
+         WHEN {lcol} IS NULL THEN concat('CDM {r} ', chr(39), {rcol}, chr(39), ' is no {l} in data')
+         WHEN {rcol} IS NULL THEN concat('data {l} ', chr(39), {lcol}, chr(39), ' is no {r} in CDM')
+         WHEN CAST({lcol} AS VARCHAR) = CAST({rcol} AS VARCHAR) THEN concat('Matched ', chr(39), {rcol}, chr(39))
+         ELSE concat('data {l} ', chr(39), {lcol}, chr(39), ' differs from CDM {r} ', chr(39), {rcol}, chr(39)) END"""
+
+
+@query("c1_reconcile_sources", f"""
+WITH {SYS_CTE},
+d AS (SELECT CASE WHEN id % 29 <> 0 THEN id END AS id, name, number FROM sys_b),
+j AS (SELECT d.id AS data_id, d.name AS data_name, d.number AS data_number, m.id AS CDM_id, m.name AS CDM_name, m.number AS CDM_number,
+             d.id IS NOT NULL AND m.id IS NOT NULL AND d.name IS NOT NULL AND m.name IS NOT NULL AS match_found
+      FROM d FULL JOIN sys_a m ON d.id = m.id AND d.name = m.name)
+SELECT *, CASE WHEN NOT match_found THEN NULL WHEN data_number IS NULL AND CDM_number IS NULL THEN 'Both values NULL'
+               WHEN data_number IS NULL THEN 'Missing in data' WHEN CDM_number IS NULL THEN 'Missing in CDM'
+               WHEN data_number = CDM_number THEN 'Matched' ELSE 'Differs' END AS msg_number,
+       'id=id, name=name, number=number' AS mapping,
+       concat({_said('id', 'id', 'data_id', 'CDM_id')}, '; ', {_said('name', 'name', 'data_name', 'CDM_name')}) AS join_message,
+       'table' AS data_input_method, 'sys_b' AS data_source, 'sql_query' AS CDM_input_method, 'sys_a.sql' AS CDM_source,
+       '2024-06-01 00:00:00' AS checked_at
+FROM j""")
+def c1_reconcile_sources(spark, d):
+    """Two primary keys, some of them NULL, with messages and where each side comes from."""
+    b = system_b(spark, d).withColumn("id", F.when(F.col("id") % 29 != 0, F.col("id")))
+    return R.reconcile(b, system_a(spark, d), {"id": "id", "name": "name"}, {"number": "number"}, right_name="CDM", join_message=True,
+                       sources={"data": ("table", "sys_b"), "CDM": ("sql_query", "sys_a.sql")}, checked_at="2024-06-01 00:00:00")
+
+
 @query("c2_reconcile_summary", f"""
 WITH {C1_CTE}
 SELECT count(*) AS total_rows, CAST(SUM(CASE WHEN match_found THEN 1 ELSE 0 END) AS BIGINT) AS matches,
@@ -180,7 +209,7 @@ query("c7_history_reconcile", QUERIES["t14_compare_histories"].sql)(t14_compare_
 
 
 @query("c9_restrict_paths", f"""
-WITH {B.EDGES_CTE}, {REL_CTE},
+WITH RECURSIVE {B.EDGES_CTE}, {REL_CTE},
 roots AS (SELECT c_custkey AS parent_id FROM customer WHERE c_mktsegment = 'BUILDING'),
 leaves AS (SELECT DISTINCT child_id FROM edges e WHERE NOT EXISTS (SELECT 1 FROM edges x WHERE x.parent_id = e.child_id))
 SELECT DISTINCT * FROM rel_ids

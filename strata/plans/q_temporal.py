@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import temporal as T
-from strata.operators.aggregates import product_of  # noqa: F401  (A8 used by graph queries)
+from strata.operators.graph import simple_paths
 from strata.plans import bindings as B
 from strata.plans.registry import query
+from strata.session import materialise
 from strata.sources.tables import Tables
 
 FAR = "TIMESTAMP '9999-12-31 23:59:59'"
@@ -165,15 +166,35 @@ def t7_trim_intervals(spark, d):
     return T.trim_intervals(B.edges(spark, d), "active_from", "active_to", F.lit("1996-01-01").cast("date"))
 
 
-# -- T8: two-hop paths (rel id "A.B_B.C"), segments where both edges are valid --------
-PATHS_CTE = f"""{STD_CTE},
+# -- T8: chains of every length (rel id "A.B_B.C_C.D", bottom first), segments where all edges are valid ------
+# Chains start at the companies that hold assets (the least customer that ordered a part) and end at fund
+# companies (customers of the BUILDING segment).
+CHAINS_CTE = """
 pairs AS (SELECT DISTINCT child_id, parent_id FROM edges WHERE child_id <> parent_id),
-paths AS (
-  SELECT concat(a.child_id, '.', a.parent_id, '_', b.child_id, '.', b.parent_id) AS path_id,
-         concat(a.child_id, '.', a.parent_id) AS e1, concat(b.child_id, '.', b.parent_id) AS e2
-  FROM pairs a JOIN pairs b ON a.parent_id = b.child_id
+walk AS (
+  SELECT child_id AS bottom, parent_id AS top, [child_id, parent_id] AS chain FROM pairs {start}
+  UNION ALL
+  SELECT w.bottom, p.parent_id, list_append(w.chain, p.parent_id) FROM walk w JOIN pairs p ON w.top = p.child_id
+  WHERE NOT list_contains(w.chain, p.parent_id)
+),
+chains AS (
+  SELECT bottom, top, chain, array_to_string(list_transform(range(1, len(chain)), lambda i: chain[i] || '.' || chain[i + 1]), '_') AS path_id
+  FROM walk {end}
 ),
-path_edges AS (SELECT path_id, e1 AS pair_rel_id FROM paths UNION SELECT path_id, e2 FROM paths),
+path_edges AS (SELECT path_id, unnest(list_transform(range(1, len(chain)), lambda i: chain[i] || '.' || chain[i + 1])) AS pair_rel_id FROM chains)"""
+
+
+def chains_cte(start: str = "", end: str = "") -> str:
+    """Recursive CTEs (WITH RECURSIVE) ending in ``chains`` and ``path_edges``; ``edges`` comes before."""
+    return CHAINS_CTE.format(start=start, end=end)
+
+
+COMPANY_SQL = "SELECT l_partkey AS asset_id, MIN(o_custkey) AS company_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1"
+FUND_COMPANIES = "c_mktsegment = 'BUILDING'"
+ASSET_CHAINS_CTE = chains_cte(f"WHERE child_id IN (SELECT company_id FROM ({COMPANY_SQL}))",
+                              f"WHERE top IN (SELECT c_custkey FROM customer WHERE {FUND_COMPANIES})")
+
+PATHS_CTE = f"""{STD_CTE},{ASSET_CHAINS_CTE},
 ei AS (
   SELECT concat(child_id, '.', parent_id) AS pair_rel_id, active_from AS ws, active_to AS we, percentage
   FROM edges_std
@@ -183,21 +204,44 @@ iv AS (SELECT p.path_id, e.pair_rel_id, e.ws, e.we, e.percentage FROM path_edges
 cov AS (
   SELECT s.path_id, s.seg_start, s.seg_end, iv.pair_rel_id, iv.percentage
   FROM iv_segs s JOIN iv ON s.path_id = iv.path_id AND s.seg_start >= iv.ws AND s.seg_end <= iv.we
-)"""
+),
+n_edges AS (SELECT path_id, count(*) AS n FROM path_edges GROUP BY 1),
+rel AS (SELECT c.path_id, seg_start AS s, seg_end AS e, CAST(count(*) AS BIGINT) AS n_edges, ROUND(product(percentage), 6) AS ownership
+        FROM cov c JOIN n_edges n USING (path_id) GROUP BY c.path_id, seg_start, seg_end, n HAVING count(DISTINCT pair_rel_id) = n)"""
 
 
-def two_hop_paths(spark, d):
-    """(path_id, pair_rel_id) rows for every two-edge chain child -> parent -> grandparent."""
-    e = B.edges(spark, d)
-    pairs = e.select("child_id", "parent_id").distinct().where(F.col("child_id") != F.col("parent_id"))
-    a, b = pairs.alias("a"), pairs.alias("b")
-    s = lambda c: F.col(c).cast("string")
-    p = a.join(b, F.col("a.parent_id") == F.col("b.child_id")).select(
-        F.concat(s("a.child_id"), F.lit("."), s("a.parent_id"), F.lit("_"),
-                 s("b.child_id"), F.lit("."), s("b.parent_id")).alias("path_id"),
-        F.concat(s("a.child_id"), F.lit("."), s("a.parent_id")).alias("e1"),
-        F.concat(s("b.child_id"), F.lit("."), s("b.parent_id")).alias("e2"))
-    return p.select("path_id", F.explode(F.array("e1", "e2")).alias("pair_rel_id")).distinct()
+def asset_companies(spark, d):
+    """(asset_id, company_id): asset = part, its company = the least customer that ordered it."""
+    t = Tables(spark, d)
+    return (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy(F.col("l_partkey").alias("asset_id")).agg(F.min("o_custkey").alias("company_id")))
+
+
+def chains(spark, d, starts=None, ends=None):
+    """(path_id, chain, bottom, top) of every simple chain child -> ... -> ancestor, of every length."""
+    c = simple_paths(B.edges(spark, d), "child_id", "parent_id", starts, ends)
+    return c.select(pair_path(F.col("chain")).alias("path_id"), "chain", "bottom", "top")
+
+
+def pair_ids(chain):
+    """[a, b, c] -> ['a.b', 'b.c']."""
+    return F.transform(F.sequence(F.lit(1), F.size(chain) - 1), lambda i: F.concat(
+        F.element_at(chain, i).cast("string"), F.lit("."), F.element_at(chain, i + 1).cast("string")))
+
+
+def pair_path(chain):
+    return F.array_join(pair_ids(chain), "_")
+
+
+def asset_chains(spark, d):
+    """Chains from the companies of assets up to fund companies, written once."""
+    funds = Tables(spark, d).customer.where(FUND_COMPANIES).select("c_custkey")
+    return materialise(chains(spark, d, asset_companies(spark, d).select("company_id"), funds), "asset-chains")
+
+
+def path_edges(paths):
+    """(path_id, pair_rel_id) rows of chains."""
+    return paths.select("path_id", F.explode(pair_ids(F.col("chain"))).alias("pair_rel_id"))
 
 
 def edge_intervals_by_rel(spark, d):
@@ -208,16 +252,13 @@ def edge_intervals_by_rel(spark, d):
 
 
 @query("t8_all_covered_segments", f"""
-WITH {PATHS_CTE}
-SELECT path_id, seg_start, seg_end, CAST(count(DISTINCT pair_rel_id) AS BIGINT) AS n_edges,
-       ROUND(product(percentage), 6) AS ownership
-FROM cov GROUP BY path_id, seg_start, seg_end
-HAVING count(DISTINCT pair_rel_id) = (SELECT count(*) FROM path_edges pe WHERE pe.path_id = cov.path_id)""")
+WITH RECURSIVE {PATHS_CTE}
+SELECT path_id, s AS seg_start, e AS seg_end, n_edges, ownership FROM rel""")
 def t8_all_covered_segments(spark, d):
-    cov = T.all_covered_segments(two_hop_paths(spark, d), "path_id", "pair_rel_id",
+    cov = T.all_covered_segments(path_edges(asset_chains(spark, d)), "path_id", "pair_rel_id",
                                  edge_intervals_by_rel(spark, d), "pair_rel_id", "active_from", "active_to")
     return (cov.groupBy("path_id", "seg_start", "seg_end")
-               .agg(F.count_distinct("pair_rel_id").alias("n_edges"),
+               .agg(F.count("pair_rel_id").alias("n_edges"),
                     F.round(F.product("percentage"), 6).alias("ownership")))
 
 
@@ -231,7 +272,7 @@ FROM orders o LEFT JOIN edges e
 def t9_as_of_join(spark, d):
     pts = Tables(spark, d).orders.select("o_orderkey", F.col("o_custkey").alias("child_id"),
                                          F.col("o_orderdate").cast("date").alias("order_date"))
-    j = T.as_of_join(pts, B.edges(spark, d), ["child_id"], "order_date", "active_from", "active_to")
+    j = T.as_of_join(pts, B.edges(spark, d), ["child_id"], "order_date", "active_from", "active_to", series=["parent_id"], bucket="year")
     return j.select("o_orderkey", "child_id", "order_date", "parent_id", "percentage")
 
 
@@ -263,7 +304,7 @@ def t14_compare_histories(spark, d):
     b = cap(e.where(F.col("event_id") % 11 != 0).withColumn(
         "percentage", F.when(F.col("event_id") % 13 == 0, F.col("percentage") + F.lit(0.01))
                        .otherwise(F.col("percentage"))))
-    return T.compare_histories(a, b, ["child_id", "parent_id"], "percentage", "active_from", "active_to")
+    return T.compare_histories(a, b, ["child_id", "parent_id"], "percentage", "active_from", "active_to", bucket="year")
 
 
 @query("t15_allocation_violations", f"""
@@ -271,7 +312,7 @@ WITH {T4_CTES}
 SELECT child_id, seg_start, seg_end, ROUND(SUM(percentage), 6) AS total_value, CAST(count(*) AS BIGINT) AS n_rows
 FROM t4 GROUP BY child_id, seg_start, seg_end HAVING SUM(percentage) > 1.0 + 1e-6""")
 def t15_allocation_violations(spark, d):
-    v = T.allocation_violations(B.edges(spark, d), ["child_id"], "percentage", "active_from", "active_to")
+    v = T.allocation_violations(B.edges(spark, d), ["child_id"], "percentage", "active_from", "active_to", bucket="year")
     return v.withColumn("total_value", F.round("total_value", 6))
 
 
