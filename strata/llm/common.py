@@ -205,6 +205,12 @@ def unit_cuts(data: np.ndarray, offs: np.ndarray, mark: np.ndarray) -> np.ndarra
     return np.flatnonzero(cut)
 
 
+def ascending(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (``np.unique`` without counts hashes, which is slower on integers)."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def expand_runs(first: np.ndarray, many: np.ndarray) -> np.ndarray:
     """The numbers first[i] .. first[i] + many[i] - 1, one run behind the other."""
     return np.repeat(first - np.cumsum(many) + many, many) + np.arange(int(many.sum()))

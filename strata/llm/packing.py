@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import expand_runs, slices, texts_of, unit_cuts, utf8
+from strata.llm.common import ascending, expand_runs, slices, texts_of, unit_cuts, utf8
 
 END_ID = 1
 #: Units whose ids a worker remembers.
 CACHE_UNITS = 500_000
+#: Text bytes whose units are looked up together.
+SLICE_BYTES = 4 << 20
 #: Pieces waiting in a task.
 POOL = 1024
 #: A piece is cut to fill a sequence only if so many tokens are left in it.
@@ -109,16 +111,17 @@ class Encoder:
         starts, ends = map(np.array, zip(*spans))
         k = np.searchsorted(starts, cuts, side="right") - 1
         within = (k >= 0) & (cuts < ends[np.maximum(k, 0)])
-        return np.concatenate([cuts[~within], starts, ends])
+        return ascending(np.concatenate([cuts[~within], starts, ends]))
 
     def encode_batch(self, texts: pa.Array, end: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, prompt): the ids of all texts, the id END_ID behind each if ``end``; where a text's ids begin (and
         the end of all); how many of them come before its second line, 0 if it has but one."""
         n = len(texts)
         data, offs = utf8(texts)
-        cuts = self._around_specials(data, offs, unit_cuts(data, offs, _MARK)) if len(data) else np.zeros(0, np.int64)
-        cuts = np.unique(np.concatenate([[0], cuts, [len(data)]]).astype(np.int32))
-        if len(cuts) < 2:
+        if len(data):
+            inner = self._around_specials(data, offs, unit_cuts(data, offs, _MARK))
+            cuts = np.concatenate([[0], inner[(inner > 0) & (inner < len(data))], [len(data)]]).astype(np.int32)
+        else:
             ids = np.full(n if end else 0, END_ID, "<u4")
             return ids, np.arange(n + 1) if end else np.zeros(n + 1, np.int64), np.zeros(n, np.int64)
         named = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
@@ -284,7 +287,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kind = None
         for whole in batches:
             kind = whole.schema.field(id_col).type
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, SLICE_BYTES):
                 for key, ids, bears in examples(batch):
                     done.extend(packer.add((key, len(ids) // 4), ids, bears))
                 if done:

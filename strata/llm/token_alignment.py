@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import apart, expand_runs, slices, texts_of, unit_cuts, utf8, written
+from strata.llm.common import apart, ascending, expand_runs, slices, texts_of, unit_cuts, utf8, written
 
 #: Text bytes and documents of a block (a longer text makes a block of its own).
 BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
@@ -216,12 +216,12 @@ class Reader:
         filled = pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
         spaced = pc.if_else(pa.array(filled), pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")), texts)
         data, offs = utf8(spaced)
-        cuts = np.concatenate([[0], unit_cuts(data, offs, self.units.mark), [len(data)]]).astype(np.int32)
-        cuts = np.unique(cuts)
         zero = np.zeros(n, np.int64)
-        if len(cuts) < 2:
+        if not len(data):
             e = np.zeros(0, np.int64)
             return zero, zero, zero, zero, [None] * n, e, e, e
+        inner = unit_cuts(data, offs, self.units.mark)
+        cuts = np.concatenate([[0], inner[(inner > 0) & (inner < len(data))], [len(data)]]).astype(np.int32)
         buffer = pa.py_buffer(np.ascontiguousarray(data))
         named = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), buffer]).dictionary_encode()
         unit = named.indices.to_numpy().astype(np.int64)
@@ -233,8 +233,8 @@ class Reader:
         a_ids, n_a = _csr([x[0] for x in entries])
         b_ids, n_b = _csr([x[1] for x in entries])
         a_end, b_end = np.cumsum(self.units.a_length[a_ids]), np.cumsum(self.units.b_length[b_ids])
-        ends = np.union1d(a_end, b_end)
-        both = np.isin(a_end, b_end, assume_unique=True)
+        ends = ascending(np.concatenate([a_end, b_end]))
+        both = b_end[np.minimum(np.searchsorted(b_end, a_end), len(b_end) - 1)] == a_end if len(b_end) else np.zeros(0, bool)
         code = a_ids[np.searchsorted(a_end, ends)] << 15 | b_ids[np.searchsorted(b_end, ends)]
         unit_end = np.concatenate([[0], a_end])[np.cumsum(n_a)]
         n_links = np.diff(np.searchsorted(ends, unit_end, side="right"), prepend=0)
