@@ -19,6 +19,7 @@ ASSET_MEASURES = ["EQ_VALUATION", "LN_VALUATION", "LOAN_BALANCE", "ASSET_DEBT",
                   "EXTERNAL_DEBT_COMMIT", "ADJ_UNDRAWNCOMMITMENT", "ASSET_LEVEL_CASH", "ASSET_LEVEL_CASH_ADJ"]
 FUND_MEASURES = ["FUND_CASH_UP", "FUND_CASH_DOWN", "FUND_CASH_EXP", "FUND_CASH_OTHER", "FUND_VALUE_ADJ", "FUND_REMOVE_DBL",
                  "TOTAL_FUND_DEBT", "TOTAL_FUND_CAPITAL_HR", "UNDRAWN_FUND_DEBT", "FUND_CAPITAL_DR", "FUND_CONDITIONAL_ACQ_EQ"]
+COMMITMENT_MEASURES = ["TOTAL_COMMITTED", "EXPIRED_COMMITMENT", "TOTAL_CALLED", "RETURN_OF_CALL", "TOTAL_RECALLED"]
 DERIVED = {
     "ASSET_NAV": "EQ_VALUATION LN_VALUATION LOAN_BALANCE",
     "FUND_NAV": "FUND_CASH_UP FUND_CASH_DOWN FUND_CASH_EXP FUND_CASH_OTHER FUND_VALUE_ADJ -TOTAL_FUND_DEBT EQ_VALUATION LN_VALUATION "
@@ -60,8 +61,8 @@ def aum_metrics(levels: Sequence[DataFrame], ids: DataFrame, cutoff: str, always
                 check_digits: int = 2) -> DataFrame:
     """M2: rows of all levels summed per (report_date, fund, portfolio); the seven derived metrics
     (reported value, else their sum), the seven residual checks (rounded to ``check_digits``; another
-    formula, or none, before ``cutoff``), fund ids, and rows without any amount dropped unless
-    they are the fund's own."""
+    formula, or none, before ``cutoff``), fund ids, and rows whose amounts add up to nothing (the signed sum of all 33
+    reported columns) dropped, unless the portfolio is ``always``."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)
     keys = ["report_date", "fund", "portfolio"]
     s = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in keys])
@@ -73,7 +74,7 @@ def aum_metrics(levels: Sequence[DataFrame], ids: DataFrame, cutoff: str, always
         before = F.lit(None).cast("double") if EARLY_CHECKS[m] is None else added(EARLY_CHECKS[m])
         checks[f"CHECK_{m}"] = F.round(F.when(early, before).otherwise(late), check_digits)
     s = s.withColumns(checks).join(ids, "fund", "left")
-    size = sum((F.abs(F.coalesce(F.col(m), F.lit(0.0))) for m in ASSET_MEASURES + FUND_MEASURES), F.lit(0.0))
+    size = F.abs(added(" ".join(m for m in [*DERIVED, *ASSET_MEASURES, *FUND_MEASURES, *COMMITMENT_MEASURES] if m in s.columns)))
     return s.where((size >= 0.005) | (F.col("portfolio") == always))
 
 
@@ -223,3 +224,73 @@ def technology_tiers(assets: DataFrame, tech_names: DataFrame, core_to_name: Dat
     return (mapped.join(tiers, F.col("name_id") == F.col("technology_name_id"), "left")
             .select("asset_id", F.col("technology_name").alias("technology_type"), F.col("name1").alias("technology_sector"),
                     F.col("name2").alias("energy_system_category")))
+
+
+# -- M14-M16: KPIs ------------------------------------------------------------------------------
+# The reported KPIs and what each adds up.
+KPIS = {
+    "AUM": "CALC_AUM", "Asset_NAV": "CALC_ASSET_NAV", "Dry_Powder": "CALC_DRY_POWDER", "FUM": "CALC_FUM", "Fund_GAV": "CALC_FUND_GAV",
+    "Fund_NAV": "CALC_FUND_NAV", "Portfolio_GAV": "CALC_PORTFOLIO_GAV",
+    "Asset_Committed_Equity": "ASSET_DEBT_CMT ASSET_EQUITY_CMT ADJ_UNDRAWNCOMMITMENT",
+    "Asset_Committed_External_Debt": "EXTERNAL_DEBT_COMMIT", "Asset_External_Debt": "ASSET_DEBT", "Asset_Level_Cash": "ASSET_LEVEL_CASH",
+    "Asset_Level_Cash_Adj": "ASSET_LEVEL_CASH_ADJ", "Fund_HoldCo_Cash_and_Liabilities": "FUND_CASH_EXP FUND_VALUE_ADJ FUND_CASH_OTHER",
+    "Fund_Downstream_Cash": "FUND_CASH_DOWN", "Fund_Upstream_Cash": "FUND_CASH_UP", "Fund_Level_Other_Adj": "FUND_VALUE_ADJ",
+    "Fund_Remove_Double_Count": "FUND_REMOVE_DBL", "Fund_Debt": "TOTAL_FUND_DEBT", "Fund_Undrawn_Debt": "UNDRAWN_FUND_DEBT",
+    "Fund_Conditional_Acquisition": "FUND_CONDITIONAL_ACQ_EQ", "Fund_Undrawn_Subscriptions": "TOTAL_FUND_CAPITAL_HR",
+}
+#: The KPIs that are compared with the previous period.
+HEADLINES = ["AUM", "Dry_Powder", "FUM", "Fund_GAV", "Fund_NAV", "Portfolio_GAV"]
+SLICES = {"reporting_asset_country": "Reporting_Asset_Country", "reporting_asset_technology": "Reporting_Asset_Technology",
+          "reporting_asset_lifecycle_phase": "Reporting_Asset_Lifecycle_Phase"}
+
+
+def gold_metrics(metrics: DataFrame, descriptors: DataFrame, currency: str = "GBP") -> DataFrame:
+    """M14 projection: metrics beside the descriptors of their portfolio at the report date, labels that are NULL or
+    blank as 'Unknown', and the 21 KPIs."""
+    label = lambda c, out: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("Unknown")).alias(out)
+    named = descriptors.select(F.col("fund").alias("d_fund"), F.col("portfolio").alias("d_portfolio"), F.col("as_of").alias("d_date"), *SLICES)
+    j = metrics.join(named, (F.col("fund") == F.col("d_fund")) & (F.col("portfolio") == F.col("d_portfolio"))
+                     & (F.col("report_date") == F.col("d_date")), "left")
+    return j.select(F.col("report_date").alias("Report_Date"), F.lit(currency).alias("Currency"), label(F.col("fund"), "Fund"),
+                    label(F.col("portfolio"), "Portfolio"), *[label(F.col(c), out) for c, out in SLICES.items()],
+                    *[added(terms).alias(k) for k, terms in KPIS.items()])
+
+
+def kpi_slices(gold: DataFrame, slices: Sequence[str] = tuple(SLICES.values()), measures: Sequence[str] = tuple(KPIS), digits: int = 1) -> DataFrame:
+    """Every measure per report date and value of each slice, with its percentage of the date's total (0 where that
+    is 0 or missing). One aggregate over grouping sets gives the slices and the totals, and the totals reach their
+    date's rows by a window over these few rows. Rows: (Report_Date, slice, value, measures, ``<measure>_Pct``)."""
+    sets = [[F.col("Report_Date"), F.col(s)] for s in slices] + [[F.col("Report_Date")]]
+    g = gold.groupingSets(sets, "Report_Date", *slices).agg(
+        *[F.grouping(s).alias(f"__g_{s}") for s in slices], *[F.sum(m).alias(m) for m in measures])
+    which = reduce(lambda rest, s: F.when(F.col(f"__g_{s}") == 0, F.lit(s)).otherwise(rest), slices, F.lit(None).cast("string"))
+    value = reduce(lambda rest, s: F.when(F.col(f"__g_{s}") == 0, F.col(s)).otherwise(rest), slices, F.lit(None).cast("string"))
+    g = g.withColumn("slice", which).withColumn("value", value)
+    day = Window.partitionBy("Report_Date")
+    total = {m: F.max(F.when(F.col("slice").isNull(), F.col(m))).over(day) for m in measures}
+    g = g.withColumns({f"__t_{m}": c for m, c in total.items()}).where("slice IS NOT NULL")
+    return g.select("Report_Date", "slice", "value", *[F.round(m, digits).alias(m) for m in measures],
+                    *[F.coalesce(F.try_divide(F.col(m), F.col(f"__t_{m}")) * 100, F.lit(0.0)).alias(f"{m}_Pct") for m in measures])
+
+
+def kpis_vs_previous(gold: DataFrame, keys: Sequence[str] = (), measures: Sequence[str] = tuple(HEADLINES), digits: int = 0) -> DataFrame:
+    """Each KPI per ``keys`` at every report date beside the previous report date: values, delta and percentage
+    (0 where the previous value is 0 or missing). A value serves the pair that ends at its date and the pair that
+    starts there; both meet in one grouping, so what is missing on one side stays as NULL."""
+    from strata.operators.aggregates import melt
+    from strata.operators.windows import previous_period
+    sums = gold.groupBy("Report_Date", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    long = melt(sums, ["Report_Date", *keys], measures, "Metric", "value")
+    dates = previous_period(sums, "Report_Date", "prev")
+    following = dates.select(F.col("prev").alias("Report_Date"), F.col("Report_Date").alias("next")).where("Report_Date IS NOT NULL")
+    both = long.join(dates, "Report_Date", "left").join(following, "Report_Date", "left")
+    role = F.explode(F.array(F.struct(F.col("prev").alias("p"), F.col("Report_Date").alias("t"), F.lit(None).cast("double").alias("old"), F.col("value").alias("new")),
+                             F.struct(F.col("Report_Date").alias("p"), F.col("next").alias("t"), F.col("value").alias("old"), F.lit(None).cast("double").alias("new"))))
+    g = (both.select(*keys, "Metric", role.alias("r")).where("r.p IS NOT NULL AND r.t IS NOT NULL")
+         .groupBy(*keys, "Metric", F.col("r.p").alias("Prev_Report_Date"), F.col("r.t").alias("This_Report_Date"))
+         .agg(F.max("r.old").alias("old"), F.max("r.new").alias("new")))
+    delta = F.col("new") - F.col("old")
+    pct = F.when(F.col("old") != 0, delta / F.col("old") * 100)
+    return g.select(*keys, "Metric", "Prev_Report_Date", "This_Report_Date", F.round("old", digits).alias("KPI_Prev_Report_Date"),
+                    F.round("new", digits).alias("KPI_This_Report_Date"), F.round(delta, digits).alias("Delta"),
+                    F.coalesce(F.round(pct, 2 + digits), F.lit(0.0)).alias("Percentage_Delta"))

@@ -1,130 +1,22 @@
-"""AUM metrics, KPIs, bridge, FX and track record.
-
-Bindings: asset rows = line items x part x supplier per quarter end of the ship date
-(fund = supplier nation, portfolio = brand, company = part type); cash is missing for
-every 7th brand so fallbacks fire. Fund-level rows come from orders per customer
-nation and quarter.
-"""
+"""FX rates, track record, metric dictionary, KPI variance and mapped dimensions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.text import metric_slug
 from strata.operators.aggregates import melt
-from strata.operators.windows import keep_latest, previous_period
+from strata.operators.joins import full_merge
+from strata.operators.windows import keep_latest, rank_rows, rolling_variance
 from strata.sources.tables import Tables
 
-MEASURES = ["nav", "debt", "cash", "commitment"]
-
-
 def quarter_end(c):
     return F.last_day(F.add_months(F.date_trunc("quarter", c), 2))
 
 
-def aum_asset(spark: SparkSession, d: str) -> DataFrame:
-    t = Tables(spark, d)
-    j = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-                   .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-                   .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")))
-    px = F.col("l_extendedprice")
-    g = j.groupBy(quarter_end(F.col("l_shipdate")).alias("report_date"), F.col("n_name").alias("fund"),
-                  F.col("p_brand").alias("portfolio"), F.col("p_type").alias("company")).agg(
-        F.sum(px * (F.lit(1.0) - F.col("l_discount"))).alias("nav"), F.sum(px * F.col("l_discount")).alias("debt"),
-        F.sum(px * F.col("l_tax")).alias("cash"), F.sum(F.col("l_quantity") * F.lit(100.0)).alias("commitment"))
-    brand_no = F.substring("portfolio", 7, 3).cast("int")
-    return g.withColumn("cash", F.when(brand_no % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("cash")))
-
-
-AUM_ASSET_SQL = """
-aum_asset AS (
-  SELECT report_date, fund, portfolio, company, nav, debt,
-         CASE WHEN CAST(substr(portfolio, 7, 3) AS INTEGER) % 7 = 0 THEN NULL ELSE cash END AS cash, commitment
-  FROM (
-    SELECT CAST(last_day(date_trunc('quarter', l.l_shipdate) + INTERVAL 2 MONTH) AS DATE) AS report_date,
-           n.n_name AS fund, p.p_brand AS portfolio, p.p_type AS company,
-           SUM(l.l_extendedprice * (1.0 - l.l_discount)) AS nav, SUM(l.l_extendedprice * l.l_discount) AS debt,
-           SUM(l.l_extendedprice * l.l_tax) AS cash, SUM(l.l_quantity * 100.0) AS commitment
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
-         JOIN nation n ON s.s_nationkey = n.n_nationkey
-    GROUP BY 1, 2, 3, 4)
-),
-aum_fund AS (
-  SELECT CAST(last_day(date_trunc('quarter', o.o_orderdate) + INTERVAL 2 MONTH) AS DATE) AS report_date,
-         n.n_name AS fund, 'Fund Level' AS portfolio, SUM(o.o_totalprice) * 0.02 AS debt,
-         SUM(o.o_totalprice) * 0.01 AS cash
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  GROUP BY 1, 2
-)"""
-
-
-def aum_fund(spark: SparkSession, d: str) -> DataFrame:
-    t = Tables(spark, d)
-    j = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-                 .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")))
-    return j.groupBy(quarter_end(F.col("o_orderdate")).alias("report_date"), F.col("n_name").alias("fund")).agg(
-        (F.sum("o_totalprice") * F.lit(0.02)).alias("debt"), (F.sum("o_totalprice") * F.lit(0.01)).alias("cash")
-    ).withColumn("portfolio", F.lit("Fund Level"))
-
-
-def aum_metrics(asset: DataFrame, fund: DataFrame, nation: DataFrame) -> DataFrame:
-    """M2: union of asset and fund rows, sums per (date, fund, portfolio), fallback
-    metrics, residual checks (formula branch before 1998), fund id mapping and the
-    near-zero suppression (fund-level rows always kept). Measures are sums of
-    2-dp x 2-dp products, i.e. exact 4-dp decimals, so they are rounded at 4 dp."""
-    u = asset.drop("company").unionByName(fund, allowMissingColumns=True)
-    s = u.groupBy("report_date", "fund", "portfolio").agg(*[F.sum(m).alias(m) for m in MEASURES])
-    z = {m: F.coalesce(F.col(m), F.lit(0.0)) for m in MEASURES}
-    calc = s.withColumns({
-        "calc_equity": z["nav"] - z["debt"], "calc_gav": z["nav"] + z["debt"], "calc_cash": z["cash"],
-        "calc_nav": F.coalesce(F.col("nav"), z["debt"] * F.lit(0.0))})
-    calc = calc.withColumn("check_gav", F.round(
-        F.when(F.col("report_date") < F.lit("1998-01-01").cast("date"), F.col("calc_gav") - z["nav"] - z["debt"])
-         .otherwise(F.col("calc_gav") - F.col("calc_equity") - F.lit(2.0) * z["debt"]), 4))
-    ids = nation.select(F.col("n_name").alias("fund"), F.col("n_nationkey").alias("fund_id"))
-    mapped = calc.join(ids, "fund", "left")
-    total = z["nav"] + z["debt"] + z["cash"] + z["commitment"]
-    kept = mapped.where((F.abs(total) >= 0.005) | (F.col("portfolio") == "Fund Level"))
-    money = MEASURES + ["calc_equity", "calc_gav", "calc_cash", "calc_nav"]
-    return kept.withColumns({c: F.round(c, 4) for c in money})
-
-
-def aum_kpis(metrics: DataFrame) -> DataFrame:
-    """KPIs per (report date, fund)."""
-    return metrics.groupBy("report_date", "fund").agg(
-        F.round(F.sum("calc_nav"), 4).alias("total_nav"), F.round(F.sum("debt"), 4).alias("total_debt"),
-        F.round(F.sum("calc_cash"), 4).alias("total_cash"), F.round(F.sum("calc_gav"), 4).alias("total_gav"))
-
-
-def kpis_vs_prev(kpis: DataFrame) -> DataFrame:
-    """Totals per report date unpivoted, next to the previous report date's value
-    (distinct-date lag, one equi join), delta and % delta (0 when previous is NULL/0)."""
-    tot = kpis.groupBy("report_date").agg(*[F.sum(c).alias(c) for c in ("total_nav", "total_debt", "total_cash")])
-    long = melt(tot, ["report_date"], ["total_nav", "total_debt", "total_cash"], "kpi", "value")
-    prev = previous_period(tot, "report_date", "prev_date")
-    cur = long.join(prev, "report_date")
-    old = long.select(F.col("report_date").alias("prev_date"), "kpi", F.col("value").alias("prev_value"))
-    j = cur.join(old, ["prev_date", "kpi"], "left")
-    delta = F.col("value") - F.coalesce(F.col("prev_value"), F.lit(0.0))
-    pct = F.when(F.col("prev_value").isNull() | (F.col("prev_value") == 0), F.lit(0.0)).otherwise(
-        delta / F.col("prev_value") * 100.0)
-    return j.select("report_date", "kpi", F.round("value", 4).alias("value"), "prev_date",
-                    F.round("prev_value", 4).alias("prev_value"), F.round(delta, 4).alias("delta"),
-                    F.round(pct, 4).alias("pct_delta"))
-
-
-def bridge(metrics: DataFrame, keys: list[str]) -> DataFrame:
-    """Opening -> closing NAV bridge per ``keys`` and report date: opening is the
-    previous period's closing (NULL in the first period), injections are the period's
-    commitments, residual NAV change = closing - opening - injections."""
-    g = metrics.groupBy(*keys, "report_date").agg(F.sum("calc_nav").alias("closing"),
-                                                  F.sum(F.coalesce("commitment", F.lit(0.0))).alias("injections"))
-    w = Window.partitionBy(*keys).orderBy("report_date")
-    b = g.withColumn("opening", F.lag("closing").over(w))
-    b = b.withColumn("residual", F.col("closing") - F.coalesce(F.col("opening"), F.lit(0.0)) - F.col("injections"))
-    return b.withColumns({c: F.round(c, 4) for c in ("closing", "injections", "opening", "residual")})
-
-
 METRIC_NAMES = {"1-URGENT": "Gross IRR", "2-HIGH": "Net IRR", "3-MEDIUM": "TVPI"}
 
 
@@ -143,25 +35,102 @@ def track_record_eav(spark: SparkSession, d: str) -> DataFrame:
 
 
 def track_record(eav: DataFrame) -> DataFrame:
-    """Latest value per (entity, metric, year) -> metric slug columns per
+    """M19 (first step): latest value per (entity, metric, year) -> metric slug columns per
     (entity, year) with explicit pivot values; ``is_active`` marks each entity's latest
     year."""
     y = eav.withColumn("year", F.year("reporting_date"))
     latest = keep_latest(y, ["entity", "datapoint_name", "year"], ["reporting_date", "revision"])
-    slug = F.lower(F.regexp_replace(F.regexp_replace(F.col("datapoint_name"), r"[\s()]+", "_"), "_+$", ""))
     vals = ["gross_irr", "net_irr", "tvpi", "dpi"]
-    wide = (latest.withColumn("metric", slug).groupBy("entity", "year").pivot("metric", vals).agg(F.max("value")))
+    wide = (latest.withColumn("metric", metric_slug(F.col("datapoint_name"))).groupBy("entity", "year").pivot("metric", vals).agg(F.max("value")))
     last = wide.groupBy("entity").agg(F.max("year").alias("_last"))
     return wide.join(last, "entity").withColumn("is_active", F.col("year") == F.col("_last")).drop("_last")
 
 
+def track_record_report(snapshot: DataFrame, eav: DataFrame, funds: DataFrame, metrics: Sequence[str], years: Sequence[int],
+                        dictionary: DataFrame | None = None) -> DataFrame:
+    """One row per (fund, metric): its latest known value and date, its value on 31 December of each of ``years``,
+    the fund's dimensions as of its last report, and the metric's display name and definition.
+
+    ``snapshot`` (fund_id, report_date, metric columns) and ``eav`` (fund_id, report_date, datapoint_name, value, revision) are
+    laid side by side per fund and date (``metrics``: the datapoints' slugs to pivot); both are melted, and one aggregate
+    finds the latest value and the year ends. ``funds``: fund_id, fund, currency, start_date, end_date. A fund is active at its
+    last report when that lies in [start, end)."""
+    points = keep_latest(eav, ["fund_id", "report_date", "datapoint_name"], ["revision"])
+    wide = (points.withColumn("metric", metric_slug(F.col("datapoint_name"))).groupBy("fund_id", "report_date").pivot("metric", list(metrics))
+            .agg(F.max("value")))
+    both = full_merge(snapshot, wide, ["fund_id", "report_date"])
+    names = [c for c in both.columns if c not in ("fund_id", "report_date")]
+    long = melt(both, ["fund_id", "report_date"], names, "raw_metric", "value")
+    known = F.when(F.col("value").isNotNull(), F.struct("report_date", "value"))
+    year_end = lambda y: F.max(F.when(F.col("report_date") == F.lit(f"{y}-12-31").cast("date"), F.col("value"))).alias(str(y))
+    g = long.groupBy("fund_id", "raw_metric").agg(F.max(known).alias("k"), *[year_end(y) for y in years])
+    last = both.groupBy("fund_id").agg(F.max("report_date").alias("last_report"))
+    dims = funds.join(last, "fund_id").withColumn("fund_is_active", F.coalesce(
+        (F.col("last_report") >= F.col("start_date")) & (F.col("end_date").isNull() | (F.col("last_report") < F.col("end_date"))), F.lit(False)))
+    out = g.where(F.col("k").isNotNull()).join(dims.select("fund_id", "fund", "currency", F.col("start_date").alias("inception_date"), "fund_is_active"), "fund_id", "left")
+    if dictionary is not None:
+        d = dictionary.groupBy(F.col("normalised_metric").alias("raw_metric")).agg(F.max("metric").alias("metric"), F.max("definition").alias("definition"))
+        out = out.join(d, "raw_metric", "left")
+    else:
+        out = out.withColumns({"metric": F.lit(None).cast("string"), "definition": F.lit(None).cast("string")})
+    return out.select("fund_id", "fund", "currency", "inception_date", "fund_is_active", "raw_metric", "metric", "definition",
+                      F.col("k.report_date").alias("latest_metric_date"), F.col("k.value").alias("latest_metric_value"), *[str(y) for y in years])
+
+
+def metric_dictionary(eav: DataFrame, wide: DataFrame, not_metrics: Sequence[str], display: DataFrame, definitions: DataFrame,
+                      domain: str = "fund", system: str = "SRCE_SYST_1001", names: tuple[str, str] = ("datapointsexport", "track_record_fund")) -> DataFrame:
+    """Every metric that is known as a datapoint name in rows (``eav``.datapoint_name, as its slug) or as a column of a wide
+    table, with its display name (``display``: metric, display_name) and definition (``definitions``: metric, definition)."""
+    rows = eav.select(metric_slug(F.col("datapoint_name")).alias("normalised_metric")).distinct().withColumn("dataset_name", F.lit(names[0]))
+    columns = [c.lower() for c in wide.columns if c not in set(not_metrics)]
+    cols = (wide.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns]).cast("array<string>")).alias("normalised_metric"))
+            .withColumn("dataset_name", F.lit(names[1])))
+    known = rows.unionByName(cols)
+    j = (known.join(display.select(F.col("metric").alias("m1"), F.col("display_name").alias("metric")), F.col("normalised_metric") == F.col("m1"), "left")
+         .join(definitions.select(F.col("metric").alias("m2"), "definition"), F.col("normalised_metric") == F.col("m2"), "left"))
+    return j.select(F.lit(domain).alias("domain"), F.lit(system).alias("source_system_id"), "dataset_name", "normalised_metric", "metric", "definition")
+
+
+def kpi_variance(tables: dict[str, tuple[DataFrame, dict]]) -> DataFrame:
+    """For tables of different shape, how far each row's numbers lie from the mean of the periods before.
+
+    ``tables`` = {name: (df, {"match_keys", "load_date", "partition_by", "order_by": {column: direction}, "window", "exclude"})}. Of each
+    match key the row loaded last counts; the numeric columns (double or float, without ``exclude``) are found in the schema.
+    One union: (table_name, keys ('column=value' joined by '|'), max_pct_diff, max_variance_column)."""
+    out = None
+    for name, (df, c) in tables.items():
+        measures = [n for n, t in df.dtypes if t in ("double", "float") and n not in c.get("exclude", ())]
+        if not measures:
+            raise ValueError(f"{name}: no numeric column to compare")
+        active = keep_latest(df, c["match_keys"], [c["load_date"]])
+        ranked = rank_rows(active, c["partition_by"], c["order_by"])
+        v = rolling_variance(ranked, c["partition_by"], "rank", measures, c["window"])
+        keys = F.concat_ws("|", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in c["match_keys"]])
+        rows = v.select(F.lit(name).alias("table_name"), keys.alias("keys"), F.col("max_abs_pct_diff").alias("max_pct_diff"),
+                        F.col("max_diff_column").alias("max_variance_column"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def mapped_dimension(source: DataFrame, mapping: DataFrame, system: str, key: str, mapped_key: str,
+                     dims: Sequence[tuple[DataFrame, str, str]] = (), end: str = "END_AT") -> DataFrame:
+    """A source's rows under their ids in the common model: ``mapping`` (source_id, source_system_id, ``mapped_key``) of one
+    system, then a chain of dimensions [(df, left column, right column)], of which only current rows (``end`` NULL) count."""
+    own = mapping.where(F.col("source_system_id") == system).select(F.col("source_id").alias("__source"), mapped_key)
+    out = source.join(own, F.col(key) == F.col("__source")).drop("__source")
+    for df, left, right in dims:
+        current = df.where(F.col(end).isNull()).drop(end)
+        out = out.join(current.withColumnRenamed(right, f"__{right}"), F.col(left) == F.col(f"__{right}"), "left").drop(f"__{right}")
+    return out
+
+
 def fx_rates(spark: SparkSession, d: str) -> DataFrame:
     """FX binding: one rate per nation currency and month end of the order dates; odd
     months are quoted inversely (GBP -> currency)."""
     t = Tables(spark, d)
-    months = t.orders.select(F.last_day("o_orderdate").alias("ref_date")).distinct()
-    n = t.nation.select("n_nationkey", "n_name")
-    g = n.crossJoin(months)
+    # one rate per currency and month in which its nation's customers ordered
+    g = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+         .select(F.col("c_nationkey").alias("n_nationkey"), F.last_day("o_orderdate").alias("ref_date")).distinct())
     rate = F.lit(1.0) + F.col("n_nationkey") / F.lit(10.0) + F.month("ref_date") / F.lit(100.0)
     ccy = F.concat(F.lit("CUR_"), F.col("n_nationkey").cast("string"))
     odd = F.month("ref_date") % 2 == 1

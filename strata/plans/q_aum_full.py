@@ -19,7 +19,8 @@ ASSET_FACTORS = {"ASSET_DEBT": 100.0, "ASSET_DEBT_CMT": 10.0, "ASSET_EQUITY_CMT"
                  "ADJ_UNDRAWNCOMMITMENT": 1.0, "ASSET_LEVEL_CASH": 3.0, "ASSET_LEVEL_CASH_ADJ": -1.0}
 FUND_FACTORS = {"FUND_CASH_UP": 0.02, "FUND_CASH_DOWN": 0.01, "FUND_CASH_EXP": -0.05, "FUND_CASH_OTHER": 0.03, "FUND_VALUE_ADJ": -0.01,
                 "FUND_REMOVE_DBL": -0.02, "TOTAL_FUND_DEBT": 0.15, "TOTAL_FUND_CAPITAL_HR": 0.3, "UNDRAWN_FUND_DEBT": 0.04,
-                "FUND_CAPITAL_DR": 0.01, "FUND_CONDITIONAL_ACQ_EQ": 0.02}
+                "FUND_CAPITAL_DR": 0.01, "FUND_CONDITIONAL_ACQ_EQ": 0.02, "TOTAL_COMMITTED": 0.5, "EXPIRED_COMMITMENT": -0.1, "TOTAL_CALLED": 0.25,
+                "RETURN_OF_CALL": -0.05, "TOTAL_RECALLED": 0.02}
 BUY = ["EQ - Purchase/Subscription (w/o Commitment)", "EQ - Subscription (Capital Issue following Commitment)",
        "LN - Advance/Purchase (w/o commitment)", "LN - Advance (following Commitment)"]
 SELL = ["EQ - Sale/Redemption"]
@@ -38,6 +39,10 @@ def levels(spark, d):
     a = a.withColumns({"ASSET_NAV": F.when(b % 7 == 0, F.lit(None)).when(b % 5 == 0, nav + F.lit(10.0)).otherwise(nav),
                        "PORTFOLIO_GAV": F.when(b % 4 == 0, nav + F.col("ASSET_DEBT") - F.lit(1.0)),
                        "AUM": F.when(b % 9 == 0, nav + F.lit(7.0)), "DRY_POWDER": F.when(b % 11 == 0, F.lit(3.0))})
+    # brands whose amounts cancel out: the row is suppressed though none of them is 0
+    others = [c for c in a.columns if c not in ("report_date", "fund", "portfolio", "ASSET_LEVEL_CASH_ADJ")]
+    cancel = -sum((F.coalesce(F.col(c), F.lit(0.0)) for c in others), F.lit(0.0))
+    a = a.withColumn("ASSET_LEVEL_CASH_ADJ", F.when(b % 13 == 0, cancel).otherwise(F.col("ASSET_LEVEL_CASH_ADJ")))
     o = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")))
     f = o.groupBy(AM.quarter_end(F.col("o_orderdate")).alias("report_date"), F.col("n_name").alias("fund"), F.col("n_nationkey").alias("k")).agg(
         *[(F.sum("o_totalprice") * F.lit(x)).alias(m) for m, x in FUND_FACTORS.items()])
@@ -53,45 +58,74 @@ def full_metrics(spark, d):
     return AC.aum_metrics(levels(spark, d), ids, CUTOFF, check_digits=4)
 
 
-def sql_sum(terms):
-    return " ".join(f"{'-' if t[0] == '-' else '+'} COALESCE({t.lstrip('-')}, 0.0)" for t in terms.split()).lstrip("+ ")
-
-
-ALL_MEASURES = AC.ASSET_MEASURES + AC.FUND_MEASURES
-METRICS_CTE = f"""
+# The oracle is written out term by term: it knows nothing of the model's own tables of terms.
+METRICS_CTE = """
+a0 AS (
+  SELECT CAST(last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS DATE) AS report_date, n_name AS fund, p_brand AS portfolio,
+         CAST(substr(p_brand, 7, 3) AS INTEGER) AS b, SUM(l_extendedprice * (1.0 - l_discount)) AS EQ_VALUATION, SUM(l_extendedprice * l_discount) AS LN_VALUATION,
+         SUM(l_extendedprice * l_tax) AS LOAN_BALANCE, SUM(l_quantity) AS q
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2, 3, 4),
+a1 AS (
+  SELECT *, EQ_VALUATION + LN_VALUATION + LOAN_BALANCE AS nav, q * 100.0 AS ASSET_DEBT, q * 10.0 AS ASSET_DEBT_CMT, q * 5.0 AS ASSET_EQUITY_CMT, q * 2.0 AS EXTERNAL_DEBT_COMMIT,
+         q * 1.0 AS ADJ_UNDRAWNCOMMITMENT, q * 3.0 AS ASSET_LEVEL_CASH FROM a0),
+a2 AS (
+  SELECT *, CASE WHEN b % 7 = 0 THEN NULL WHEN b % 5 = 0 THEN nav + 10.0 ELSE nav END AS ASSET_NAV, CASE WHEN b % 4 = 0 THEN nav + ASSET_DEBT - 1.0 END AS PORTFOLIO_GAV,
+         CASE WHEN b % 9 = 0 THEN nav + 7.0 END AS AUM, CASE WHEN b % 11 = 0 THEN 3.0 END AS DRY_POWDER FROM a1),
 asset AS (
-  SELECT *, CASE WHEN b % 7 = 0 THEN NULL WHEN b % 5 = 0 THEN nav + 10.0 ELSE nav END AS ASSET_NAV,
-         CASE WHEN b % 4 = 0 THEN nav + ASSET_DEBT - 1.0 END AS PORTFOLIO_GAV, CASE WHEN b % 9 = 0 THEN nav + 7.0 END AS AUM,
-         CASE WHEN b % 11 = 0 THEN 3.0 END AS DRY_POWDER
-  FROM (SELECT *, EQ_VALUATION + LN_VALUATION + LOAN_BALANCE AS nav, CAST(substr(portfolio, 7, 3) AS INTEGER) AS b FROM (
-    SELECT CAST(last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS DATE) AS report_date, n_name AS fund, p_brand AS portfolio,
-           SUM(l_extendedprice * (1.0 - l_discount)) AS EQ_VALUATION, SUM(l_extendedprice * l_discount) AS LN_VALUATION,
-           SUM(l_extendedprice * l_tax) AS LOAN_BALANCE, {', '.join(f'SUM(l_quantity) * {f} AS {m}' for m, f in ASSET_FACTORS.items())}
-    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2, 3))),
+  SELECT * EXCLUDE (nav, b, q),
+         CASE WHEN b % 13 = 0 THEN -(EQ_VALUATION + LN_VALUATION + LOAN_BALANCE + ASSET_DEBT + ASSET_DEBT_CMT + ASSET_EQUITY_CMT + EXTERNAL_DEBT_COMMIT + ADJ_UNDRAWNCOMMITMENT
+                                     + ASSET_LEVEL_CASH + COALESCE(ASSET_NAV, 0.0) + COALESCE(PORTFOLIO_GAV, 0.0) + COALESCE(AUM, 0.0) + COALESCE(DRY_POWDER, 0.0))
+              ELSE q * -1.0 END AS ASSET_LEVEL_CASH_ADJ FROM a2),
+f0 AS (
+  SELECT CAST(last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS DATE) AS report_date, n_name AS fund, n_nationkey AS k, SUM(o_totalprice) AS p
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3),
 fundl AS (
-  SELECT CAST(last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS DATE) AS report_date, n_name AS fund, 'Fund Level' AS portfolio,
-         {', '.join(f'SUM(o_totalprice) * {f} AS {m}' for m, f in FUND_FACTORS.items())},
-         CASE WHEN n_nationkey % 3 = 0 THEN 5.0 END AS FUND_NAV, CASE WHEN n_nationkey % 4 = 0 THEN 50.0 END AS FUM,
-         CASE WHEN n_nationkey % 5 = 0 THEN 500.0 END AS FUND_GAV
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, n_nationkey),
-both_levels AS (SELECT * EXCLUDE (nav, b) FROM asset UNION ALL BY NAME SELECT * FROM fundl),
-summed AS (SELECT report_date, fund, portfolio, {', '.join(f'SUM({m}) AS {m}' for m in [*ALL_MEASURES, *AC.DERIVED])} FROM both_levels GROUP BY 1, 2, 3),
-calc AS (SELECT *, {', '.join(f'CASE WHEN {m} IS NULL THEN {sql_sum(t)} ELSE {m} END AS CALC_{m}' for m, t in AC.DERIVED.items())} FROM summed),
+  SELECT report_date, fund, 'Fund Level' AS portfolio, p * 0.02 AS FUND_CASH_UP, p * 0.01 AS FUND_CASH_DOWN, p * -0.05 AS FUND_CASH_EXP, p * 0.03 AS FUND_CASH_OTHER,
+         p * -0.01 AS FUND_VALUE_ADJ, p * -0.02 AS FUND_REMOVE_DBL, p * 0.15 AS TOTAL_FUND_DEBT, p * 0.3 AS TOTAL_FUND_CAPITAL_HR, p * 0.04 AS UNDRAWN_FUND_DEBT,
+         p * 0.01 AS FUND_CAPITAL_DR, p * 0.02 AS FUND_CONDITIONAL_ACQ_EQ, p * 0.5 AS TOTAL_COMMITTED, p * -0.1 AS EXPIRED_COMMITMENT, p * 0.25 AS TOTAL_CALLED,
+         p * -0.05 AS RETURN_OF_CALL, p * 0.02 AS TOTAL_RECALLED, CASE WHEN k % 3 = 0 THEN 5.0 END AS FUND_NAV, CASE WHEN k % 4 = 0 THEN 50.0 END AS FUM,
+         CASE WHEN k % 5 = 0 THEN 500.0 END AS FUND_GAV FROM f0),
+summed AS (SELECT * FROM asset UNION ALL BY NAME SELECT * FROM fundl),
+known AS (
+  SELECT *, COALESCE(EQ_VALUATION, 0.0) AS eq, COALESCE(LN_VALUATION, 0.0) AS ln_, COALESCE(LOAN_BALANCE, 0.0) AS lb, COALESCE(ASSET_DEBT, 0.0) AS ad,
+         COALESCE(ASSET_DEBT_CMT, 0.0) AS adc, COALESCE(ASSET_EQUITY_CMT, 0.0) AS aec, COALESCE(EXTERNAL_DEBT_COMMIT, 0.0) AS edc, COALESCE(ADJ_UNDRAWNCOMMITMENT, 0.0) AS auc,
+         COALESCE(ASSET_LEVEL_CASH, 0.0) AS alc, COALESCE(ASSET_LEVEL_CASH_ADJ, 0.0) AS ala, COALESCE(FUND_CASH_UP, 0.0) AS fcu, COALESCE(FUND_CASH_DOWN, 0.0) AS fcd,
+         COALESCE(FUND_CASH_EXP, 0.0) AS fce, COALESCE(FUND_CASH_OTHER, 0.0) AS fco, COALESCE(FUND_VALUE_ADJ, 0.0) AS fva, COALESCE(FUND_REMOVE_DBL, 0.0) AS frd,
+         COALESCE(TOTAL_FUND_DEBT, 0.0) AS tfd, COALESCE(TOTAL_FUND_CAPITAL_HR, 0.0) AS tfc, COALESCE(UNDRAWN_FUND_DEBT, 0.0) AS ufd, COALESCE(FUND_CAPITAL_DR, 0.0) AS fcdr,
+         COALESCE(FUND_CONDITIONAL_ACQ_EQ, 0.0) AS fca FROM summed),
+calc AS (
+  SELECT *, COALESCE(ASSET_NAV, eq + ln_ + lb) AS CALC_ASSET_NAV, COALESCE(FUND_NAV, fcu + fcd + fce + fco + fva - tfd + eq + ln_ + lb) AS CALC_FUND_NAV,
+         COALESCE(FUM, fcu + fcd + fce + fco + fva - tfd + eq + ln_ + lb + tfc) AS CALC_FUM, COALESCE(PORTFOLIO_GAV, eq + ln_ + lb + ad) AS CALC_PORTFOLIO_GAV,
+         COALESCE(FUND_GAV, eq + ln_ + lb + ad + fcu + fcd + fce + fco + fva) AS CALC_FUND_GAV,
+         COALESCE(AUM, eq + ln_ + lb + ad + adc + aec + edc + auc + fcu + fcd + fce + fco + fva + frd) AS CALC_AUM,
+         COALESCE(DRY_POWDER, tfc + ufd + fco + fcd + fce + fcdr + alc + ala - adc - aec - auc - fca) AS CALC_DRY_POWDER FROM known),
 metrics AS (
   SELECT c.*, n_nationkey AS fund_id,
-         {', '.join(f"ROUND(CASE WHEN report_date < DATE '{CUTOFF}' THEN {'NULL' if AC.EARLY_CHECKS[m] is None else sql_sum(AC.EARLY_CHECKS[m])} ELSE {sql_sum(t)} - COALESCE({AC.HELD_AGAINST[m]}, 0.0) END, 4) AS CHECK_{m}" for m, t in AC.DERIVED.items())}
+         ROUND(CASE WHEN report_date < DATE '1998-01-01' THEN eq - COALESCE(ASSET_NAV, 0.0) ELSE eq + ln_ + lb - COALESCE(ASSET_NAV, 0.0) END, 4) AS CHECK_ASSET_NAV,
+         ROUND(CASE WHEN report_date >= DATE '1998-01-01' THEN fcu + fcd + fce + fco + fva - tfd + eq + ln_ + lb - CALC_FUND_NAV END, 4) AS CHECK_FUND_NAV,
+         ROUND(CASE WHEN report_date < DATE '1998-01-01' THEN fco + eq + fcd + fva - tfd - COALESCE(FUM, 0.0) - COALESCE(ASSET_NAV, 0.0)
+                    ELSE fcu + fcd + fce + fco + fva - tfd + eq + ln_ + lb + tfc - CALC_FUM END, 4) AS CHECK_FUM,
+         ROUND(CASE WHEN report_date >= DATE '1998-01-01' THEN eq + ln_ + lb + ad - COALESCE(PORTFOLIO_GAV, 0.0) END, 4) AS CHECK_PORTFOLIO_GAV,
+         ROUND(CASE WHEN report_date >= DATE '1998-01-01' THEN eq + ln_ + lb + ad + fcu + fcd + fce + fco + fva - CALC_FUND_GAV END, 4) AS CHECK_FUND_GAV,
+         ROUND(CASE WHEN report_date < DATE '1998-01-01' THEN eq + ad + aec + alc + fco + tfc + fcd - COALESCE(AUM, 0.0)
+                    ELSE eq + ln_ + lb + ad + adc + aec + edc + auc + fcu + fcd + fce + fco + fva + frd - CALC_AUM END, 4) AS CHECK_AUM,
+         ROUND(CASE WHEN report_date >= DATE '1998-01-01' THEN tfc + ufd + fco + fcd + fce + fcdr + alc + ala - adc - aec - auc - fca - CALC_DRY_POWDER END, 4) AS CHECK_DRY_POWDER
   FROM calc c LEFT JOIN nation ON fund = n_name
-  WHERE portfolio = 'Fund Level' OR {' + '.join(f'abs(COALESCE({m}, 0.0))' for m in ALL_MEASURES)} >= 0.005)"""
+  WHERE portfolio = 'Fund Level' OR abs(COALESCE(ASSET_NAV, 0.0) + COALESCE(FUND_NAV, 0.0) + COALESCE(FUM, 0.0) + COALESCE(PORTFOLIO_GAV, 0.0) + COALESCE(FUND_GAV, 0.0)
+        + COALESCE(AUM, 0.0) + COALESCE(DRY_POWDER, 0.0) + fcu + fcd + fce + fcdr + fco + fva + frd + fca + tfd + ufd + COALESCE(TOTAL_COMMITTED, 0.0)
+        + COALESCE(EXPIRED_COMMITMENT, 0.0) + COALESCE(TOTAL_CALLED, 0.0) + COALESCE(RETURN_OF_CALL, 0.0) + COALESCE(TOTAL_RECALLED, 0.0) + tfc + eq + ln_ + lb + ad + adc + aec
+        + edc + auc + alc + ala) >= 0.005)"""
 
-SHOWN = [f"CALC_{m}" for m in AC.DERIVED]
-CHECKS = [f"CHECK_{m}" for m in AC.DERIVED]
+NAMES = ["ASSET_NAV", "FUND_NAV", "FUM", "PORTFOLIO_GAV", "FUND_GAV", "AUM", "DRY_POWDER"]
+SHOWN = [f"CALC_{m}" for m in NAMES]
+CHECKS = [f"CHECK_{m}" for m in NAMES]
 
 
-@query("m2_aum_metrics_full", f"""
+@query("m2_aum_metrics", f"""
 WITH {METRICS_CTE}
 SELECT report_date, fund, portfolio, fund_id, {', '.join(f'ROUND({c}, 4) + 0.0 AS {c}' for c in SHOWN)}, {', '.join(f'{c} + 0.0 AS {c}' for c in CHECKS)}
 FROM metrics""")
-def m2_aum_metrics_full(spark, d):
+def m2_aum_metrics(spark, d):
     m = full_metrics(spark, d)
     return m.select("report_date", "fund", "portfolio", "fund_id", *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in SHOWN],
                     *[(F.col(c) + F.lit(0.0)).alias(c) for c in CHECKS])
@@ -178,7 +212,7 @@ def bridge_sql(keys, first):
     buy, sell = (", ".join(f"'{x}'" for x in xs) for xs in (BUY, SELL))
     return f"""
 WITH {MOVES_CTE},
-s AS (SELECT {k}report_date, SUM(CALC_AUM) AS a, SUM({sql_sum(AC.COMMITTED)}) AS c, SUM(COALESCE(ASSET_DEBT, 0.0)) AS dd, SUM({sql_sum(AC.FUND_LEVEL)}) AS f
+s AS (SELECT {k}report_date, SUM(CALC_AUM) AS a, SUM(adc + aec + auc) AS c, SUM(ad) AS dd, SUM(fcu + fcd + fce + fco + fva + frd) AS f
       FROM metrics GROUP BY {k}report_date),
 l AS (SELECT {k}report_date, {prev('a')} AS opening, a AS closing, c - {prev('c')} AS committed_equity, dd - {prev('dd')} AS debt_movements,
              f - {prev('f')} AS fund_level_adj FROM s WINDOW w AS ({by}ORDER BY report_date)),
@@ -200,7 +234,7 @@ def make_bridge(keys, first):
 
 for _level, _keys in (("total", []), ("fund", ["fund"]), ("portfolio", ["fund", "portfolio"])):
     for _flavour in ("null", "zero"):
-        query(f"m17_bridge_eight_{_level}_{_flavour}", bridge_sql(_keys, _flavour))(make_bridge(_keys, _flavour))
+        query(f"m17_bridge_{_level}" + ("" if _flavour == "null" else "_zero"), bridge_sql(_keys, _flavour))(make_bridge(_keys, _flavour))
 
 
 # -- M3-M6 ----------------------------------------------------------------------------------
@@ -348,3 +382,79 @@ def m7_technology_tiers(spark, d):
     tech = (F.when(odd & (F.col("p_partkey") % 9 == 4), F.lit("TECH_CORE_none")).when(odd, F.concat(F.lit("TECH_CORE_"), "p_type"))
             .otherwise(F.concat(F.lit("TECH_NAME_"), "p_type")))
     return AC.technology_tiers(p.select(F.col("p_partkey").alias("asset_id"), tech.alias("technology_id")), names, core, groups, group_names)
+
+
+# -- M14-M16 ------------------------------------------------------------------------------------
+GOLD_CTE = f"""{ENRICHED_CTE},
+gold AS (
+  SELECT m.report_date AS Report_Date, 'GBP' AS Currency, COALESCE(NULLIF(trim(m.fund), ''), 'Unknown') AS Fund, COALESCE(NULLIF(trim(m.portfolio), ''), 'Unknown') AS Portfolio,
+         COALESCE(NULLIF(trim(c.reporting_asset_country), ''), 'Unknown') AS Reporting_Asset_Country, COALESCE(NULLIF(trim(c.reporting_asset_technology), ''), 'Unknown') AS Reporting_Asset_Technology,
+         COALESCE(NULLIF(trim(c.reporting_asset_lifecycle_phase), ''), 'Unknown') AS Reporting_Asset_Lifecycle_Phase,
+         CALC_AUM AS AUM, CALC_ASSET_NAV AS Asset_NAV, CALC_DRY_POWDER AS Dry_Powder, CALC_FUM AS FUM, CALC_FUND_GAV AS Fund_GAV, CALC_FUND_NAV AS Fund_NAV, CALC_PORTFOLIO_GAV AS Portfolio_GAV,
+         adc + aec + auc AS Asset_Committed_Equity, edc AS Asset_Committed_External_Debt, ad AS Asset_External_Debt, alc AS Asset_Level_Cash, ala AS Asset_Level_Cash_Adj,
+         fce + fva + fco AS Fund_HoldCo_Cash_and_Liabilities, fcd AS Fund_Downstream_Cash, fcu AS Fund_Upstream_Cash, fva AS Fund_Level_Other_Adj, frd AS Fund_Remove_Double_Count,
+         tfd AS Fund_Debt, ufd AS Fund_Undrawn_Debt, fca AS Fund_Conditional_Acquisition, tfc AS Fund_Undrawn_Subscriptions
+  FROM metrics m LEFT JOIN descr c ON m.fund = c.fund AND m.portfolio = c.portfolio AND m.report_date = c.as_of)"""
+KPI_NAMES = ["AUM", "Asset_NAV", "Dry_Powder", "FUM", "Fund_GAV", "Fund_NAV", "Portfolio_GAV", "Asset_Committed_Equity", "Asset_Committed_External_Debt", "Asset_External_Debt",
+             "Asset_Level_Cash", "Asset_Level_Cash_Adj", "Fund_HoldCo_Cash_and_Liabilities", "Fund_Downstream_Cash", "Fund_Upstream_Cash", "Fund_Level_Other_Adj",
+             "Fund_Remove_Double_Count", "Fund_Debt", "Fund_Undrawn_Debt", "Fund_Conditional_Acquisition", "Fund_Undrawn_Subscriptions"]
+
+
+def gold(spark, d):
+    return AC.gold_metrics(full_metrics(spark, d), descriptors(spark, d))
+
+
+def positive_zero(df, names):
+    return df.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in names})
+
+
+@query("m14_gold_metrics", f"WITH {GOLD_CTE} SELECT * REPLACE ({', '.join(f'ROUND({k}, 4) + 0.0 AS {k}' for k in KPI_NAMES)}) FROM gold")
+def m14_gold_metrics(spark, d):
+    return positive_zero(gold(spark, d), KPI_NAMES)
+
+
+@query("m14_aum_kpis", f"WITH {GOLD_CTE} SELECT Report_Date, Fund, {', '.join(f'ROUND(SUM({k}), 4) + 0.0 AS {k}' for k in KPI_NAMES)} FROM gold GROUP BY 1, 2")
+def m14_aum_kpis(spark, d):
+    return positive_zero(gold(spark, d).groupBy("Report_Date", "Fund").agg(*[F.sum(k).alias(k) for k in KPI_NAMES]), KPI_NAMES)
+
+
+SLICE_SQL = " UNION ALL ".join(
+    f"SELECT Report_Date, '{s}' AS slice, {s} AS value, {', '.join(f'SUM({k}) AS {k}' for k in KPI_NAMES)} FROM gold GROUP BY 1, 3"
+    for s in ("Reporting_Asset_Country", "Reporting_Asset_Technology", "Reporting_Asset_Lifecycle_Phase"))
+
+
+@query("m15_kpi_share_by_slice", f"""
+WITH {GOLD_CTE}, sl AS ({SLICE_SQL}),
+tot AS (SELECT Report_Date, {', '.join(f'SUM({k}) AS t_{k}' for k in KPI_NAMES)} FROM gold GROUP BY 1)
+SELECT sl.Report_Date, slice, value, {', '.join(f'ROUND({k}, 4) + 0.0 AS {k}' for k in KPI_NAMES)},
+       {', '.join(f'ROUND(COALESCE(CASE WHEN t_{k} <> 0 THEN {k} / t_{k} * 100 END, 0.0), 4) + 0.0 AS {k}_Pct' for k in KPI_NAMES)}
+FROM sl JOIN tot ON sl.Report_Date = tot.Report_Date""")
+def m15_kpi_share_by_slice(spark, d):
+    return positive_zero(AC.kpi_slices(gold(spark, d), digits=4), [*KPI_NAMES, *[f"{k}_Pct" for k in KPI_NAMES]])
+
+
+def previous_sql(keys):
+    k = "".join(f"{x}, " for x in keys)
+    on = "".join(f" AND p.{x} = t.{x}" for x in keys)
+    shown = "".join(f"COALESCE(t.{x}, p.{x}) AS {x}, " for x in keys)
+    names = ("AUM", "Dry_Powder", "FUM", "Fund_GAV", "Fund_NAV", "Portfolio_GAV")
+    return f"""
+WITH {GOLD_CTE},
+agg AS (SELECT {k}Report_Date, {', '.join(f'SUM({m}) AS {m}' for m in names)} FROM gold GROUP BY ALL),
+long AS ({' UNION ALL '.join(f"SELECT {k}Report_Date, '{m}' AS Metric, {m} AS value FROM agg" for m in names)}),
+pair AS (SELECT * FROM (SELECT Report_Date AS t, lag(Report_Date) OVER (ORDER BY Report_Date) AS p FROM (SELECT DISTINCT Report_Date FROM gold)) WHERE p IS NOT NULL),
+cur AS (SELECT pair.p, pair.t, long.* FROM pair JOIN long ON long.Report_Date = pair.t),
+old AS (SELECT pair.p, pair.t, long.* FROM pair JOIN long ON long.Report_Date = pair.p)
+SELECT {shown}COALESCE(t.Metric, p.Metric) AS Metric, COALESCE(t.p, p.p) AS Prev_Report_Date, COALESCE(t.t, p.t) AS This_Report_Date, ROUND(p.value, 4) AS KPI_Prev_Report_Date,
+       ROUND(t.value, 4) AS KPI_This_Report_Date, ROUND(t.value - p.value, 4) + 0.0 AS Delta,
+       COALESCE(ROUND(CASE WHEN p.value IS NULL OR p.value = 0 THEN NULL ELSE (t.value - p.value) / p.value * 100 END, 6), 0.0) + 0.0 AS Percentage_Delta
+FROM cur t FULL JOIN old p ON p.p = t.p AND p.t = t.t AND p.Metric = t.Metric{on}"""
+
+
+for _name, _keys in (("m16_kpis_vs_prev", []), ("m16_kpis_by_fund_vs_prev", ["Fund"])):
+    def _make(keys=_keys):
+        def fn(spark, d):
+            r = AC.kpis_vs_previous(gold(spark, d), keys, digits=4)
+            return r.withColumns({c: F.col(c) + F.lit(0.0) for c in ("Delta", "Percentage_Delta")})
+        return fn
+    query(_name, previous_sql(_keys))(_make())

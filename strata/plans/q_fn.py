@@ -1,15 +1,13 @@
 """One ``fn_<family>`` query per scalar-function family of SURVEY 2.8, plus the
-share-of-slice KPI model (M15) and the month-end FX conversion (J14)."""
+month-end FX conversion (J14)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from strata.functions import text as X
-from strata.operators.aggregates import share_of_period
 from strata.operators.recon import similarity
 from strata.plans import aum_models as AM
-from strata.plans.q_aum import M2_CTES, _metrics
 from strata.plans.registry import query
 from strata.sources.tables import Tables
 
@@ -135,27 +133,13 @@ def fn_json_hash(spark, d):
                     F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(":"), F.col("event_type")), 256).alias("h"))
 
 
-@query("m15_kpi_share_by_slice", f"""
-WITH {M2_CTES},
-sl AS (SELECT report_date, portfolio, SUM(calc_nav) AS calc_nav, SUM(debt) AS debt FROM m2 GROUP BY 1, 2)
-SELECT report_date, portfolio, ROUND(calc_nav, 4) AS calc_nav, ROUND(debt, 4) AS debt,
-       ROUND(calc_nav / NULLIF(SUM(calc_nav) OVER (PARTITION BY report_date), 0), 6) AS calc_nav_share,
-       ROUND(debt / NULLIF(SUM(debt) OVER (PARTITION BY report_date), 0), 6) AS debt_share
-FROM sl""")
-def m15_kpi_share_by_slice(spark, d):
-    s = share_of_period(_metrics(spark, d), ["report_date"], "portfolio", ["calc_nav", "debt"])
-    return s.select("report_date", "portfolio", F.round("calc_nav", 4).alias("calc_nav"),
-                    F.round("debt", 4).alias("debt"), F.round("calc_nav_share", 6).alias("calc_nav_share"),
-                    F.round("debt_share", 6).alias("debt_share"))
-
-
 @query("j14_convert_at_month_end", """
-WITH months AS (SELECT DISTINCT CAST(last_day(o_orderdate) AS DATE) AS ref_date FROM orders),
+WITH seen AS (SELECT DISTINCT c_nationkey AS n_nationkey, CAST(last_day(o_orderdate) AS DATE) AS ref_date FROM orders JOIN customer ON o_custkey = c_custkey),
 fx AS (
   SELECT CASE WHEN month(ref_date) % 2 = 1 THEN 'GBP' ELSE 'CUR_' || n_nationkey END AS source_currency,
          CASE WHEN month(ref_date) % 2 = 1 THEN 'CUR_' || n_nationkey ELSE 'GBP' END AS destination_currency,
          ROUND(1.0 + CAST(n_nationkey AS DOUBLE) / 10.0 + CAST(month(ref_date) AS DOUBLE) / 100.0, 6) AS fx_rate, ref_date
-  FROM nation, months
+  FROM seen
 )
 SELECT o.o_orderkey, o.o_totalprice, f.fx_rate, ROUND(o.o_totalprice * f.fx_rate, 4) AS amount_gbp
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
