@@ -112,10 +112,14 @@ def edge_events(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def edges(spark: SparkSession, root: str) -> DataFrame:
+def edges(spark: SparkSession, root: str, orders: str | None = None) -> DataFrame:
+    """``orders``: the edges as they stand when only those orders have come."""
     from strata.operators.temporal import intervals_from_events
     from strata.operators.windows import keep_latest
-    daily = keep_latest(edge_events(spark, root), ["child_id", "parent_id", "event_date"], ["event_id"])
+    events = edge_events(spark, root)
+    if orders is not None:
+        events = events.withColumn("o_orderkey", F.col("event_id")).where(orders).drop("o_orderkey")
+    daily = keep_latest(events, ["child_id", "parent_id", "event_date"], ["event_id"])
     return intervals_from_events(daily, ["child_id", "parent_id"], "event_date")
 
 

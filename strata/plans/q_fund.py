@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from strata.operators.prefix import time_bucket
 from strata.plans import bindings as B
 from strata.plans import fund_models as FM
 from strata.plans.registry import query
+from strata.sources.tables import Tables
 
 GRAIN = ", ".join(FM.DAILY_GRAIN)
 
@@ -139,25 +143,77 @@ for _unit in ("month", "quarter"):
 # -- M11: by-investor cumulatives across funds (tie-break by fund id) --------------
 @query("m11_by_investor_cumulative", f"""
 WITH {DAILY_CTES}
-SELECT Investor, Fund_Id, Transaction_Currency, Effective_Date, Commitments, Called,
+SELECT Investor, Fund_Id, Transaction_Currency, Effective_Date, Commitments, Called, Distribution,
   ROUND(SUM(Commitments) OVER w, 2) AS Investor_Cumulative_Commitments,
-  ROUND(SUM(Called) OVER w, 2) AS Investor_Cumulative_Called
+  ROUND(SUM(Called) OVER w, 2) AS Investor_Cumulative_Called, ROUND(SUM(Distribution) OVER w, 2) AS Investor_Cumulative_Distribution
 FROM daily_out
 WINDOW w AS (PARTITION BY Investor, Transaction_Currency ORDER BY Effective_Date, Fund_Id,
              Fund, Fund_Structure_Type, Fund_Status, Investor_Type NULLS FIRST, Investor_Country NULLS FIRST
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def m11_by_investor_cumulative(spark, d):
-    from pyspark.sql import functions as F
-    from strata.operators.windows import running_total
-    daily = _daily(spark, d)
-    order = ["Effective_Date", "Fund_Id", "Fund", "Fund_Structure_Type", "Fund_Status",
-             F.col("Investor_Type").asc_nulls_first(), F.col("Investor_Country").asc_nulls_first()]
-    out = running_total(daily, ["Investor", "Transaction_Currency"], order,
-                        {"Investor_Cumulative_Commitments": "Commitments", "Investor_Cumulative_Called": "Called"})
-    return out.select("Investor", "Fund_Id", "Transaction_Currency", "Effective_Date", "Commitments", "Called",
-                      F.round("Investor_Cumulative_Commitments", 2).alias("Investor_Cumulative_Commitments"),
-                      F.round("Investor_Cumulative_Called", 2).alias("Investor_Cumulative_Called"))
+    out = FM.investor_cumulatives(_daily(spark, d), time_bucket("Effective_Date", "year"))
+    return out.select("Investor", "Fund_Id", "Transaction_Currency", "Effective_Date", "Commitments", "Called", "Distribution",
+                      *[f"Investor_Cumulative_{c}" for c in ("Commitments", "Called", "Distribution")])
+
+
+# -- M8 in full: every table holds rows loaded twice ---------------------------------
+def full_inputs(spark, d):
+    """Operations = orders (every 8th loaded twice, the first time with another amount), funds and mapped funds = nations (twice), accounts
+    = customers per nation (twice); every 37th account has no type and bears a nation's name."""
+    t = Tables(spark, d)
+    stamp = lambda df: df.withColumn("loaded", F.explode(F.array(F.lit(1), F.lit(2))))
+    k, n = F.col("o_orderkey"), F.col("c_nationkey")
+    acct = F.when(F.col("c_custkey") % 37 == 0, F.concat(F.lit("NATION_"), (F.col("c_custkey") % 25).cast("string"))).otherwise(F.col("c_name"))
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, n == F.col("n_nationkey"))
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("MF: Commitment", "MF: Call", "MF: Distribution", "MF: Net Asset Value", "MF: Expired/Released Commitment",
+                                                       "MF: Return Of Call (Negative Call)")]), (k % 6 + 1).cast("int"))
+    price = F.col("o_totalprice")
+    ops = o.select(k.alias("operation_id"), n.alias("fund_id"), F.col("n_name").alias("fund"), F.when(n % 3 == 0, "GBP").otherwise("EUR").alias("currency"),
+                   acct.alias("account"), F.col("o_orderdate").cast("date").alias("effective_date"), kind.alias("type"), price.alias("amount"), price.alias("valuation"),
+                   price.alias("committed"), F.when(k % 5 == 0, F.lit(100.0)).alias("redrawable"), F.when(k % 4 == 0, F.lit(50.0)).alias("expired"),
+                   F.when(k % 40 == 0, "Top 20").otherwise("All").alias("share"), F.when(k % 50 == 0, "True").otherwise("False").alias("draft"), F.lit(2).alias("loaded"))
+    early = ops.where("operation_id % 8 = 0").withColumns({"loaded": F.lit(1), "amount": F.lit(1.0), "committed": F.lit(1.0)})
+    funds = stamp(t.nation.select(F.col("n_nationkey").alias("fund_id"), F.col("n_name").alias("fund"), F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("short_name")))
+    funds = funds.withColumn("short_name", F.when(F.col("loaded") == 1, "old").otherwise(F.col("short_name")))
+    c = t.customer
+    accounts = stamp(c.select(acct.alias("account"), n.alias("fund_id"), F.when(F.col("c_custkey") % 37 == 0, F.lit(" ")).otherwise(F.col("c_mktsegment")).alias("investor_type"),
+                              F.when(F.col("c_custkey") % 37 != 0, F.concat(F.lit("CTRY_"), (F.col("c_custkey") % 7).cast("string"))).alias("country")))
+    accounts = accounts.withColumn("investor_type", F.when(F.col("loaded") == 1, "old").otherwise(F.col("investor_type")))
+    mapped = stamp(t.nation.where("n_nationkey % 10 <> 9").select(
+        F.col("n_nationkey").alias("source_fund_id"), F.concat(F.lit("Fund "), "n_name").alias("fund_name"), F.col("n_regionkey").cast("string").alias("structure_type"),
+        F.when(F.col("n_nationkey") % 6 == 5, F.lit("1999-01-01").cast("date")).alias("end_date"))).withColumnRenamed("loaded", "updated")
+    mapped = mapped.withColumn("fund_name", F.when(F.col("updated") == 1, "old").otherwise(F.col("fund_name")))
+    return ops.unionByName(early), funds, accounts, mapped
+
+
+FULL = ", ".join(FM.FULL_GRAIN)
+
+
+@query("m8_fundoperations_full", f"""
+WITH o AS (
+  SELECT o_orderkey AS k, c_nationkey AS fid, n_name, CASE WHEN c_custkey % 37 = 0 THEN 'NATION_' || (c_custkey % 25) ELSE c_name END AS account, CAST(o_orderdate AS DATE) AS day,
+         ['MF: Commitment', 'MF: Call', 'MF: Distribution', 'MF: Net Asset Value', 'MF: Expired/Released Commitment', 'MF: Return Of Call (Negative Call)'][o_orderkey % 6 + 1] AS type, o_totalprice AS p
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 40 <> 0 AND o_orderkey % 50 <> 0),
+acc AS (SELECT DISTINCT CASE WHEN c_custkey % 37 = 0 THEN 'NATION_' || (c_custkey % 25) ELSE c_name END AS account, c_nationkey AS fid,
+               CASE WHEN c_custkey % 37 = 0 THEN ' ' ELSE c_mktsegment END AS itype, CASE WHEN c_custkey % 37 <> 0 THEN 'CTRY_' || (c_custkey % 7) END AS country FROM customer),
+r AS (
+  SELECT o.fid AS Ef_Fund_Id, 'S' || o.fid AS Ef_Fund, n_name AS Ef_Fund_Long, CASE WHEN o.fid % 10 <> 9 THEN 'Fund ' || n_name END AS Fund,
+         CASE WHEN o.fid % 10 <> 9 THEN (SELECT CAST(n_regionkey AS VARCHAR) FROM nation n2 WHERE n2.n_nationkey = o.fid) END AS Fund_Structure_Type,
+         CASE WHEN o.fid % 10 = 9 THEN NULL WHEN o.fid % 6 = 5 THEN 'Inactive' ELSE 'Active' END AS Fund_Status, CASE WHEN o.fid % 3 = 0 THEN 'GBP' ELSE 'EUR' END AS Transaction_Currency,
+         o.account AS Investor, CASE WHEN trim(itype) = '' AND o.account IN (SELECT n_name FROM nation) THEN 'Feeder Fund' ELSE itype END AS Investor_Type,
+         CASE WHEN country IS NULL AND o.account IN (SELECT n_name FROM nation) THEN 'N/A' ELSE country END AS Investor_Country, day AS Effective_Date,
+         CASE type WHEN 'MF: Commitment' THEN p + CASE WHEN k % 5 = 0 THEN 100.0 ELSE 0.0 END WHEN 'MF: Expired/Released Commitment' THEN CASE WHEN k % 4 = 0 THEN -50.0 ELSE 0.0 END ELSE 0.0 END AS c,
+         CASE WHEN type IN ('MF: Call', 'MF: Return Of Call (Negative Call)') THEN p ELSE 0.0 END AS ca, CASE WHEN type = 'MF: Distribution' THEN p ELSE 0.0 END AS di,
+         CASE WHEN type = 'MF: Net Asset Value' THEN p ELSE 0.0 END AS nv
+  FROM o LEFT JOIN acc ON acc.account = o.account AND acc.fid = o.fid),
+dd AS (SELECT {FULL}, Effective_Date, SUM(c) AS c, SUM(ca) AS ca, SUM(di) AS di, SUM(nv) AS nv FROM r GROUP BY ALL),
+w AS (SELECT *, SUM(c) OVER x AS cc, SUM(ca) OVER x AS cca, SUM(di) OVER x AS cdi FROM dd WINDOW x AS (PARTITION BY {FULL} ORDER BY Effective_Date ROWS UNBOUNDED PRECEDING))
+SELECT {FULL}, Effective_Date, ROUND(c, 2) + 0.0 AS Commitments, ROUND(ca, 2) AS Called, ROUND(di, 2) AS Distribution, ROUND(nv, 2) AS NAV, ROUND(cc, 2) + 0.0 AS Cumulative_Commitments,
+       ROUND(cca, 2) AS Cumulative_Called, ROUND(cdi, 2) AS Cumulative_Distribution, ROUND(cc - cca, 2) + 0.0 AS Remaining_Commitments FROM w""")
+def m8_fundoperations_full(spark, d):
+    out = FM.fundoperations_full(*full_inputs(spark, d), bucket=time_bucket("Effective_Date", "year"))
+    return out.withColumns({c: F.col(c) + F.lit(0.0) for c in ("Commitments", "Cumulative_Commitments", "Remaining_Commitments")})
 
 
 def _totals_sql(unit: str) -> str:

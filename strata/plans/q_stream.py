@@ -15,13 +15,21 @@ from strata.plans.registry import QUERIES, query
 from strata.session import scratch_path
 from strata.sources import ingest as I
 from strata.sources import sinks as SK
-from strata.sources.tables import Tables, scan_stream, table_path
+from strata.sources.tables import Tables, scan_stream
 from strata.streaming import jobs as W
 
 
 def events_stream(spark, d):
-    schema = spark.read.parquet(table_path(d, "events")).schema
-    s = scan_stream(spark, d, schema, max_files_per_trigger=1, glob="events.parquet")
+    """The events table landed as files in time order, a quarter of the rows each, read one file a micro-batch (in the order they
+    were written, so watermarks drop nothing)."""
+    events = Tables(spark, d).events
+    path = scratch_path(spark, "events-stream")
+    cuts = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75])).first()[0]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = events if lo is None else events.where(at > lo)
+        (part if hi is None else part.where(at <= hi)).write.mode("append").parquet(path)
+    s = scan_stream(spark, path, events.schema, max_files_per_trigger=1)
     return s.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
                     F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
                      .alias("value"), "props")
@@ -124,17 +132,22 @@ def s3_read_csv_history(spark, d):
     return df.drop("datalake_ingestion_timestamp")
 
 
-@query("s4_land_json_pages", "SELECT user_id, count(*) AS page_rows FROM events GROUP BY user_id")
+#: Events of one landed page at most: a user's events are paged by their ids.
+PAGE_EVENTS = 100
+
+
+@query("s4_land_json_pages", "SELECT user_id, event_id // 100 AS page, count(*) AS page_rows FROM events GROUP BY 1, 2")
 def s4_land_json_pages(spark, d):
     e = Tables(spark, d).events
-    pages = (e.groupBy("user_id").agg(F.to_json(F.struct(
+    pages = (e.groupBy("user_id", F.expr(f"event_id div {PAGE_EVENTS}").alias("page")).agg(F.to_json(F.struct(
+        F.first("user_id").alias("user"), F.first(F.expr(f"event_id div {PAGE_EVENTS}")).alias("page"),
         F.collect_list(F.struct(F.col("event_id").alias("f1"), F.col("event_type").alias("f2"))).alias("result"),
         F.array(F.struct(F.lit("f1").alias("id"), F.lit("Event Id").alias("label")),
                 F.struct(F.lit("f2").alias("id"), F.lit("Event Type").alias("label"))).alias("fields"))).alias("value")))
     path = scratch_path(spark, "s4-pages")
-    pages.repartition("user_id").write.partitionBy("user_id").text(path)
-    landed = I.land_json_pages(spark, path, "t1", "events_api")
-    return landed.select(F.regexp_extract("url", r"user_id=(\d+)", 1).cast("bigint").alias("user_id"), "page_rows")
+    pages.select("value").write.text(path)
+    landed = I.land_json_pages(spark, path, "t1", "events_api", whole_files=False)
+    return landed.select(F.variant_get("raw_data", "$.user", "bigint").alias("user_id"), F.variant_get("raw_data", "$.page", "bigint").alias("page"), "page_rows")
 
 
 @query("s5_unpack_variant_records", """
@@ -159,8 +172,10 @@ def s5_unpack_variant_array(spark, d):
 @query("s6_explode_json_array", "SELECT user_id, event_id, value FROM events")
 def s6_explode_json_array(spark, d):
     e = Tables(spark, d).events
-    docs = e.groupBy("user_id").agg(F.to_json(F.collect_list(F.struct("event_id", "value"))).alias("doc"))
-    return I.explode_json_array(docs, "doc", '[{"event_id": 1, "value": 1.5}]', keep=["user_id"])
+    docs = (e.groupBy("user_id", F.expr(f"event_id div {PAGE_EVENTS}").alias("page"))
+            .agg(F.to_json(F.collect_list(F.struct("event_id", "value"))).alias("doc")))
+    rows = I.explode_json_array(docs, "doc", keep=["user_id"])
+    return rows.select("user_id", "event_id", F.col("value").cast("double").alias("value"))
 
 
 @query("s7_infer_variant_schema", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

@@ -30,11 +30,12 @@ def read_csv_history(spark: SparkSession, path: str, required: Sequence[str], re
     return df.withColumn("datalake_ingestion_timestamp", F.current_timestamp())
 
 
-def land_json_pages(spark: SparkSession, path: str, table_id: str, table_name: str, env: str = "dev") -> DataFrame:
-    """S4 (re-aimed from the HTTP client): one row per landed JSON page file ->
-    ``raw_data VARIANT`` plus metadata (table id/name, env, source path, page count of
-    the file, ingest time)."""
-    df = spark.read.option("wholetext", True).text(path).withColumn("_src", F.input_file_name())
+def land_json_pages(spark: SparkSession, path: str, table_id: str, table_name: str, env: str = "dev",
+                    whole_files: bool = True) -> DataFrame:
+    """S4 (re-aimed from the HTTP client): one row per landed JSON page ->
+    ``raw_data VARIANT`` plus metadata (table id/name, env, source path, row count of
+    the page, ingest time). A page is a whole file, or a line of one without ``whole_files``."""
+    df = spark.read.option("wholetext", whole_files).text(path).withColumn("_src", F.input_file_name())
     v = F.parse_json(F.col("value"))
     return df.select(F.lit(table_id).alias("table_id"), F.lit(table_name).alias("table_name"),
                      F.lit(env).alias("env"), F.col("_src").alias("url"), v.alias("raw_data"),
@@ -58,10 +59,16 @@ def unpack_variant_records(df: DataFrame, variant_col: str, array_path: str | No
     return out.withColumn("row_hash", F.sha2(F.concat_ws("||", *[F.col(c).cast("string") for c in hcols]), 256))
 
 
-def explode_json_array(df: DataFrame, col: str, sample_json: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Parse a JSON array column with a schema inferred from one sample document
-    (``schema_of_json``), explode it and expand the struct."""
-    schema = F.schema_of_json(F.lit(sample_json))
+def explode_json_array(df: DataFrame, col: str, sample_json: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Parse a JSON array column, explode it and expand the struct. The schema is that of one sample document
+    (``schema_of_json``) or, without one, merged over every row (one aggregate; an array of no objects raises)."""
+    if sample_json is not None:
+        schema = F.schema_of_json(F.lit(sample_json))
+    else:
+        found = df.agg(F.schema_of_variant_agg(F.parse_json(F.col(col))).alias("s")).first()["s"]
+        if found is None or not found.startswith("ARRAY<OBJECT<"):
+            raise ValueError(f"{col} holds no arrays of objects but {found}")
+        schema = found.replace("OBJECT<", "STRUCT<")
     return df.select(*keep, F.explode(F.from_json(F.col(col), schema)).alias("_row")).select(*keep, "_row.*")
 
 

@@ -7,7 +7,9 @@ run-to-completion model of the reference pipelines. A job that is given its sink
 checkpoint folders resumes where it stopped: batches written through ``foreachBatch`` go
 to one folder per batch id, which a retry overwrites. Without folders a run is a fresh
 one under the session's shared ``spark.checkpoint.dir``.
-Quarantine windows and the windowed uniqueness check carry watermarks and so bounded
+The quality gate (W7, W8) flags nulls, rules, missing references and repeated keys and writes the clean and the
+quarantined side of one read; the SCD2 table (W3) is merged per batch, reading only the buckets of the keys that the batch
+touches. Quarantine windows and the windowed uniqueness check carry watermarks and so bounded
 state; the watermark-free dedupe and uniqueness check (reference behaviour) keep every key.
 """
 
@@ -16,8 +18,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators import dq as DQ
 from strata.session import scratch_path
@@ -135,21 +138,111 @@ def stream_enrich(stream: DataFrame, dim: DataFrame, on, how: str = "left") -> D
     return stream.join(dim, on, how)
 
 
+def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that a stream has begun to write, or no rows."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def quality_gate(spark: SparkSession, stream: DataFrame, name: str, not_null: Sequence[str] = (), rules: dict[str, str] | None = None,
+                 soft_rules: dict[str, str] | None = None, refs: Sequence[tuple] = (), unique: Sequence[str] = (), order: Sequence[str] = (),
+                 sink: str | None = None, checkpoint: str | None = None) -> tuple[str, str]:
+    """W7 + W8 with all four kinds of flags: (clean folder, quarantine folder), both written from one read of each batch.
+
+    ``refs`` = [(reference, {column: reference column}, name, hard)]: the distinct reference keys are joined to the batch
+    (:func:`strata.operators.dq.flag_missing_ref`). ``unique``: a row whose keys came before is flagged ``DQ_hard_duplicate``: in an
+    earlier batch, by the table of keys seen, or earlier in its own batch by ``order``. Rows with a NULL key are
+    no duplicates. Every batch writes folders of its own id, so a retried batch replaces itself and does not meet its own keys."""
+    sink = sink or scratch_path(spark, f"{name}-gate")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    clean, quarantine, seen = (f"{sink}/{x}" for x in ("clean", "quarantine", "seen"))
+    keys = list(unique)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        df = flag_stream(batch, not_null, rules or {}, soft_rules)
+        for ref, keymap, ref_name, hard in refs:
+            df = DQ.flag_missing_ref(df, ref, keymap, ref_name, hard)
+        if keys:
+            whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+            schema = T.StructType([*[batch.schema[k] for k in keys], T.StructField("batch", T.LongType())])
+            known = _read_or_empty(spark, seen, schema).where(F.col("batch") < batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) if order else F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+            df = df.withColumn("__n", first).join(known.withColumn("__hit", F.lit(1)), [F.col(k) == F.col(f"__{k}") for k in keys], "left")
+            again = whole & ((F.col("__n") > 1) | F.col("__hit").isNotNull())
+            df = df.withColumn("DQ_hard_duplicate", again.cast("int")).drop("__n", "__hit", *[f"__{k}" for k in keys])
+        held = df.persist()
+        try:
+            bad, good = DQ.quarantine_split(held)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            good.write.mode("overwrite").parquet(f"{clean}/batch={batch_id}")
+            if keys:
+                held.select(*keys).dropna().distinct().write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+        finally:
+            held.unpersist()
+
+    q = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return clean, quarantine
+
+
 def scd2_stream(spark: SparkSession, changes: DataFrame, name: str, keys: Sequence[str], seq: str, tracked: Sequence[str],
                 untracked: Sequence[str] = (), tiebreak: Sequence[str] = (), sink: str | None = None,
-                checkpoint: str | None = None) -> str:
-    """SCD2 apply-changes over a change stream; returns the folder of change batches.
-
-    A micro-batch appends its changes under its batch id (a retry replaces them); the versions are
-    a function of all changes landed so far, whatever their order of arrival, so late changes
-    re-open history correctly. Read them with :func:`scd2_versions`."""
-    cols = [*keys, seq, *tracked, *untracked, *[c for c in tiebreak if c != seq]]
-    return run_available_now(spark, changes.select(*dict.fromkeys(cols)), name, foreach_batch=lambda batch, batch_id: None,
-                             sink=sink, checkpoint=checkpoint)
-
-
-def scd2_versions(spark: SparkSession, sink: str, keys: Sequence[str], seq: str, tracked: Sequence[str],
-                  untracked: Sequence[str] = (), tiebreak: Sequence[str] = (), **options) -> DataFrame:
-    """The SCD2 table of the changes that :func:`scd2_stream` has landed."""
-    from strata.operators.scd2 import scd2_apply_changes
-    return scd2_apply_changes(spark.read.parquet(sink).drop("batch"), keys, seq, tracked, untracked, tiebreak=tiebreak, **options)
+                checkpoint: str | None = None, buckets: int = 64, **options) -> str:
+    """An SCD2 table kept up by a change stream; returns its folder, read by :func:`scd2_versions`.
+
+    Changes are logged by bucket of their keys and batch. A batch rebuilds the versions of the keys it touches from their own
+    changes (so late ones re-open history) and rewrites their buckets as a new edition; of other buckets it reads nothing,
+    of the touched ones only the touched keys' changes and the last edition. With more ``buckets`` a batch reads less. A
+    retried batch replaces its own log and editions."""
+    cols = list(dict.fromkeys([*keys, seq, *tracked, *untracked, *tiebreak]))
+    sink = sink or scratch_path(spark, f"{name}-scd2")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    log, table = f"{sink}/changes", f"{sink}/versions"
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets)).alias("bucket")
+
+    def rebuilt(rows: DataFrame) -> DataFrame:
+        from strata.operators.scd2 import scd2_apply_changes
+        return scd2_apply_changes(rows, keys, seq, tracked, untracked, tiebreak=tiebreak, **options)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        def write(df: DataFrame, path: str) -> None:  # one file a bucket
+            (df.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket", "batch").parquet(path))
+
+        held = batch.select(*cols, bucket, F.lit(batch_id).cast("long").alias("batch")).persist()
+        try:
+            write(held, log)
+            touched = [r["bucket"] for r in held.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+            if not touched:
+                return
+            own = held.select(*keys).distinct()
+            history = spark.read.schema(held.schema).parquet(log).where(F.col("bucket").isin(touched) & (F.col("batch") <= batch_id))
+            same = [F.col(f"_a.{k}").eqNullSafe(F.col(f"_b.{k}")) for k in keys]
+            fresh = rebuilt(history.alias("_a").join(own.alias("_b"), same, "left_semi").select(*cols))
+            schema = T.StructType([*fresh.schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())])
+            before = _read_or_empty(spark, table, schema).where(F.col("bucket").isin(touched) & (F.col("batch") < batch_id))
+            last = before.groupBy("bucket").agg(F.max("batch").alias("batch"))
+            kept = before.join(last, ["bucket", "batch"], "left_semi").alias("_a").join(own.alias("_b"), same, "left_anti")
+            edition = kept.select(*fresh.columns, "bucket").unionByName(fresh.withColumn("bucket", bucket))
+            write(edition.withColumn("batch", F.lit(batch_id).cast("long")), table)
+        finally:
+            held.unpersist()
+
+    q = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return sink
+
+
+def scd2_versions(spark: SparkSession, sink: str, *_spec, **_options) -> DataFrame:
+    """The SCD2 table that :func:`scd2_stream` keeps: the last edition of every bucket. (The stream's specification may be
+    named again; the table is already built by it.)"""
+    rows = spark.read.parquet(f"{sink}/versions")
+    last = rows.groupBy("bucket").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["bucket", "batch"], "left_semi").drop("bucket", "batch")
