@@ -23,11 +23,18 @@ WS = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 20
 
 
+#: Rows of an Arrow batch of documents: Spark's 10,000 are tens of megabytes of text in every task, twice.
+BATCH_ROWS = "2000"
+
+
 def ship(spark: SparkSession) -> None:
     """Make this library importable in the Python workers, once per application, by adding its
     sources to those that Spark hands to every executor. (A cluster that has it installed, or a
-    job submitted with it, reads the same code.)"""
+    job submitted with it, reads the same code.) Arrow batches are made smaller unless the session says otherwise."""
     sc = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
     if getattr(sc, "_strata_shipped", False):
         return
     root = Path(strata.__file__).parent

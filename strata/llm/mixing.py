@@ -154,22 +154,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat: int
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
-    """(id, source, size, source_size, target, taken) per document: what the plan takes of it."""
+    """(id, source, size, source_size, target, taken, first_slot, last_slot) per document: what the plan takes of it, and
+    the first and last slot of the mix that holds words of it (NULL where it takes none)."""
     sized, targets, plan = mix(docs, **options)
     # a document is named by (id, source, size): rows equal in all three share their words evenly
     key = ["id", "source", "size"]
-    got = plan.groupBy(*key).agg(F.sum("piece").alias("words"))
+    got = plan.groupBy(*key).agg(F.sum("piece").alias("words"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
     rows = sized.groupBy(*key).agg(F.count("*").alias("rows"))
-    per = (rows.join(got.select(*[F.col(k).alias(f"g_{k}") for k in key], "words"),
+    per = (rows.join(got.select(*[F.col(k).alias(f"g_{k}") for k in key], "words", "first_slot", "last_slot"),
                      F.col("id").eqNullSafe(F.col("g_id")) & F.col("source").eqNullSafe(F.col("g_source"))
                      & (F.col("size") == F.col("g_size")), "left")
-           .select(*key, "rows", F.coalesce("words", F.lit(0)).alias("words")))
+           .select(*key, "rows", F.coalesce("words", F.lit(0)).alias("words"), "first_slot", "last_slot"))
     per = per.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     extra = F.when(F.col("copy") <= F.col("words") % F.col("rows"), 1).otherwise(0)
     taken = (F.floor(F.col("words") / F.col("rows")) + extra).cast("long")
     t = targets.select(F.col("source").alias("o"), "source_size", "target")
     return (per.join(t, F.col("source").eqNullSafe(F.col("o")))
-            .select("id", "source", "size", "source_size", "target", taken.alias("taken")))
+            .select("id", "source", "size", "source_size", "target", taken.alias("taken"), "first_slot", "last_slot"))
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -184,7 +185,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                                                      F.col("__size").alias("z")).agg(F.count("*").alias("rows")))
     copies = (rows.join(got, F.col("k").eqNullSafe(F.col("id")) & F.col("s").eqNullSafe(F.col("source")) & (F.col("z") == F.col("size")))
               .select("k", "s", "z", F.ceil(F.col("words") / (F.col("rows") * F.col("z"))).cast("int").alias("__copies")))
-    return (sized.join(copies, F.col(id_col).eqNullSafe(F.col("k")) & F.col(source_col).eqNullSafe(F.col("s"))
-                       & (F.col("__size") == F.col("z")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    d, c = sized.alias("__d"), copies.alias("__c")  # qualified: the input may have columns of these names
+    same = (F.col(f"__d.`{id_col}`").eqNullSafe(F.col("__c.k")) & F.col(f"__d.`{source_col}`").eqNullSafe(F.col("__c.s"))
+            & (F.col("__d.__size") == F.col("__c.z")))
+    return (d.join(c, same).select(*[F.col(f"__d.`{x}`") for x in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__c.__copies"))).alias("__copy"))
+            .drop("__copy"))

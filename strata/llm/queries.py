@@ -67,12 +67,37 @@ place AS (
   SELECT d.*, g.source_size::BIGINT AS source_size, g.target,
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-       CAST(sum(greatest(0, least(start + size + lap * source_size, floor(target)) - (start + lap * source_size)))
-            AS BIGINT) AS taken
-FROM place, (VALUES (0), (1), (2)) laps(lap)
-GROUP BY doc_id, h, source, size, source_size, target, start
+  FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
+-- the golden-ratio schedule: which slot takes which block of 64 words of which source
+shares AS (
+  SELECT source, source_size, floor(target) AS words, ceil(floor(target) / 64) AS blocks,
+         coalesce(sum(target) OVER (ORDER BY encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(target) OVER () AS lo,
+         sum(target) OVER (ORDER BY encode(source) NULLS LAST ROWS UNBOUNDED PRECEDING) / sum(target) OVER () AS hi FROM goal),
+size_of AS (SELECT CAST(coalesce(sum(blocks), 0) AS BIGINT) AS slots FROM shares WHERE words > 0),
+points AS (SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS u FROM size_of, range(slots) r(slot)),
+hits AS (SELECT source, blocks, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block
+         FROM points JOIN shares ON words > 0 AND u >= lo AND u < hi),
+had AS (SELECT source, count(*) AS n FROM hits GROUP BY source),
+slots AS (
+  SELECT source, block, slot FROM hits WHERE block < blocks
+  UNION ALL
+  SELECT source, block, slots + block FROM (
+    SELECT s.source, unnest(range(CAST(coalesce(h.n, 0) AS BIGINT), CAST(s.blocks AS BIGINT))) AS block FROM shares s LEFT JOIN had h ON h.source IS NOT DISTINCT FROM s.source
+    WHERE s.words > 0), size_of),
+laps AS (
+  SELECT p.source, p.doc_id, p.start, start + lap * p.source_size AS a, least(start + lap * p.source_size + size, floor(target)) AS z
+  FROM place p, (VALUES (0), (1), (2)) l(lap) WHERE size > 0 AND start + lap * p.source_size < floor(target)),
+held AS (
+  SELECT l.source, l.doc_id, l.start, min(s.slot) AS first_slot, max(s.slot) AS last_slot
+  FROM (SELECT *, unnest(range(CAST(floor(a / 64) AS BIGINT), CAST(floor((z - 1) / 64) AS BIGINT) + 1)) AS block FROM laps) l
+  JOIN slots s ON s.source IS NOT DISTINCT FROM l.source AND s.block = l.block GROUP BY 1, 2, 3),
+taken AS (
+  SELECT doc_id, source, size, source_size, target, start,
+         CAST(sum(greatest(0, least(start + size + lap * source_size, floor(target)) - (start + lap * source_size))) AS BIGINT) AS taken
+  FROM place, (VALUES (0), (1), (2)) laps(lap)
+  GROUP BY doc_id, h, source, size, source_size, target, start)
+SELECT t.doc_id, size, source_size, round(target, 6) AS target, taken, first_slot, last_slot
+FROM taken t LEFT JOIN held h ON h.doc_id IS NOT DISTINCT FROM t.doc_id AND h.source IS NOT DISTINCT FROM t.source AND h.start = t.start
 """
 
 
@@ -82,7 +107,8 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     mixed = taken_words(docs, weights=(5, 2, 1), max_repeat=3, block_tokens=64)
-    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken",
+                        "first_slot", "last_slot")
 
 
 # ------------------------------------------------------------------ 3 language ID
@@ -250,9 +276,9 @@ cut AS (
 best AS (
   SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inside AS (
-  SELECT lang, array_to_string(w[at:at + s - 1], ' ') AS phrase, max(f) AS longer
-  FROM cand, (VALUES (2), (3)) v(s), (VALUES (1), (2), (3)) u(at)
-  WHERE s < words AND at + s - 1 <= words GROUP BY ALL),
+  SELECT lang, array_to_string(w[o:o + s - 1], ' ') AS phrase, max(f) AS longer
+  FROM cand, (VALUES (2), (3)) v(s), (VALUES (1), (2), (3)) u(o)
+  WHERE s < words AND o + s - 1 <= words GROUP BY ALL),
 kept AS (
   SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
   FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase
