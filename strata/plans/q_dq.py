@@ -368,6 +368,24 @@ def d14_check_fk_nulls_fail(spark, d):
     return C.findings(C.evaluate(B.lineitem_dq(spark, d), [check]), LI_PK)
 
 
+@query("d10_check_unique_nulls_distinct", f"WITH {LI} " + finding_sql(
+    LI_PK, "l_suppkey_l_shipdate_is_unique", "is_unique", "Value of l_suppkey, l_shipdate is not unique", "l_suppkey,l_shipdate", "ERROR",
+    "(SELECT *, count(*) OVER (PARTITION BY l_suppkey, l_shipdate) AS n FROM li_dq)", "n > 1 AND l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL"))
+def d10_check_unique_nulls_distinct(spark, d):
+    check = C.check_unique(["l_suppkey", "l_shipdate"], nulls_distinct=True)
+    return C.findings(C.evaluate(B.lineitem_dq(spark, d), [check]), LI_PK)
+
+
+@query("d16_check_scd2_overlap_strict", f"WITH {EDGE_SCD_CTES} " + finding_sql(
+    EDGE_PK, "scd2_no_overlap", "scd2_no_overlap", "Version overlaps the previous version", "child_id,parent_id,active_from,active_to", "ERROR",
+    "(SELECT *, lag(active_to) OVER w AS pe, lag(1) OVER w AS had FROM (SELECT * REPLACE (CASE WHEN event_id % 31 = 0 THEN NULL ELSE active_to END AS active_to) FROM edges_scd) "
+    "WINDOW w AS (PARTITION BY child_id, parent_id ORDER BY active_from))", "pe > active_from OR (had = 1 AND pe IS NULL)"))
+def d16_check_scd2_overlap_strict(spark, d):
+    """Every 31st version left open: strict counts an earlier open version as an overlap."""
+    e = B.edges_scd(spark, d).withColumn("active_to", F.when(F.col("event_id") % 31 != 0, F.col("active_to")))
+    return C.findings(C.evaluate(e, [C.check_scd2_overlap(["child_id", "parent_id"], "active_from", "active_to", strict=True)]), EDGE_PK)
+
+
 # -- D20 with roles: defaults of all tables merged with a table's own checks --------------------
 ROLE_DEFAULTS = {
     "roles": {"system_keys": ["child_id", "parent_id"], "start": "active_from", "end": "active_to", "audit": ["loaded_by"]},

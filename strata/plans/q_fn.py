@@ -9,6 +9,7 @@ from strata.functions import text as X
 from strata.operators.recon import similarity
 from strata.plans import aum_models as AM
 from strata.plans.registry import query
+from strata.sources import ingest as I
 from strata.sources.tables import Tables
 
 
@@ -133,6 +134,38 @@ def fn_json_hash(spark, d):
                     F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(":"), F.col("event_type")), 256).alias("h"))
 
 
+@query("fn_array_sets", """
+WITH g AS (SELECT l_orderkey, list_sort(list_distinct(list(l_returnflag))) AS f, list_sort(list_distinct(list(l_linestatus))) AS s, list(l_linenumber ORDER BY l_linenumber) AS n,
+                  list(l_quantity ORDER BY l_linenumber, l_quantity) AS q FROM lineitem GROUP BY 1)
+SELECT l_orderkey, array_to_string(list_sort(list_distinct(list_concat(f, s))), ',') AS both,
+       array_to_string(list_transform(range(1, len(n) + 1), lambda i: CAST(n[i] AS VARCHAR) || ':' || CAST(CAST(q[i] AS BIGINT) AS VARCHAR)), ',') AS zipped FROM g""")
+def fn_array_sets(spark, d):
+    g = Tables(spark, d).lineitem.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_set("l_returnflag")).alias("f"), F.array_sort(F.collect_set("l_linestatus")).alias("s"),
+        F.array_sort(F.collect_list("l_linenumber")).alias("n"),
+        F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))), lambda x: x["l_quantity"]).alias("q"))
+    pair = F.transform(F.arrays_zip("n", "q"), lambda x: F.concat(x["n"].cast("string"), F.lit(":"), x["q"].cast("bigint").cast("string")))
+    return g.select("l_orderkey", F.array_join(F.array_sort(F.array_union("f", "s")), ",").alias("both"), F.array_join(pair, ",").alias("zipped"))
+
+
+@query("fn_bounded_ts", """
+SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-05' OR ts > TIMESTAMP '2024-01-25' THEN NULL ELSE ts END AS bounded FROM events""")
+def fn_bounded_ts(spark, d):
+    e = Tables(spark, d).events
+    return e.select("event_id", X.bounded_ts(F.col("ts").cast("timestamp"), "2024-01-05", "2024-01-25").alias("bounded"))
+
+
+@query("fn_try_cast", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(38, 18)) END AS amount,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day FROM orders""")
+def fn_try_cast(spark, d):
+    """Bad values become NULL: every 7th amount is a word, every 5th date has another format."""
+    o = Tables(spark, d).orders
+    raw = o.select(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+                   F.when(F.col("o_orderkey") % 5 == 0, F.date_format("o_orderdate", "yyyy/MM/dd")).otherwise(F.date_format("o_orderdate", "dd-MM-yyyy")).alias("day"))
+    return I.cast_to_schema(raw, {"o_orderkey": "BIGINT", "amount": "DECIMAL(38,18)", "day": "DATE"}, date_formats={"day": "dd-MM-yyyy"}, on_error="null")
+
+
 @query("j14_convert_at_month_end", """
 WITH seen AS (SELECT DISTINCT c_nationkey AS n_nationkey, CAST(last_day(o_orderdate) AS DATE) AS ref_date FROM orders JOIN customer ON o_custkey = c_custkey),
 fx AS (

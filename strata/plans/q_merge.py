@@ -130,6 +130,16 @@ def s20_insert_by_date(spark, d):
     return MG.insert_by_date(tgt, o, ["o_orderkey"], "d", F.lit("2001-02-01").cast("date"), mode="multi_day")
 
 
+@query("s20_insert_single_day", """
+WITH tgt AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT * FROM tgt UNION ALL
+SELECT o_orderkey, CAST(o_orderdate AS DATE), o_totalprice FROM orders s
+WHERE CAST(o_orderdate AS DATE) = DATE '1998-08-02' AND NOT EXISTS (SELECT 1 FROM tgt t WHERE t.o_orderkey = s.o_orderkey)""")
+def s20_insert_single_day(spark, d):
+    o = Tables(spark, d).orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice")
+    return MG.insert_by_date(o.where(F.col("o_orderkey") % 3 != 0), o, ["o_orderkey"], "d", F.lit("1998-08-02").cast("date"))
+
+
 @query("s21_insert_missing", """
 WITH tgt AS (SELECT * FROM customer WHERE c_custkey % 10 <> 0)
 SELECT * FROM tgt UNION ALL
@@ -178,6 +188,13 @@ def s23_row_hash(spark, d):
     return MG.row_hash(customer_versions(spark, d))
 
 
+@query("s23_row_hash_null_token", f"""
+WITH {CUST_CTE}
+SELECT *, sha256(concat_ws('||', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), COALESCE(c_mktsegment, '~'))) AS row_hash FROM cust""")
+def s23_row_hash_null_token(spark, d):
+    return MG.row_hash(customer_versions(spark, d), null_token="~")
+
+
 NOW = "2024-06-01 00:00:00"
 
 
