@@ -1,4 +1,4 @@
-"""Training-data operators: ten numbered operators and the queries that apply them.
+"""Training-data operators: thirteen numbered operators and the queries that apply them.
 
 Nothing outside this package imports it; ``__spark_entry__.py`` adds its queries only
 when it is present.
