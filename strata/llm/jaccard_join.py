@@ -3,19 +3,20 @@
 A document's set are its distinct word n-grams, hashed to 63 bits and globally ordered (rare
 tokens by hash, then frequent ones by rising count). Two sets link when their Jaccard likeness reaches the threshold.
 
-1. Equal sets are collapsed into classes; the smallest id represents a class. Only
-   representatives go on; their texts are written once, compressed and bucketed by id, so that
-   later steps join narrow rows to them in place.
+1. One pass reads sets' sizes, digests, min-hashes and compressed texts, and sums up frequent tokens. Equal
+   sets are collapsed into classes; the smallest id represents a class. Only representatives go on;
+   their texts are bucketed by id, so that later steps join narrow rows to them in place.
 2. Sets that share a min-hash are compared with one of their number, which ties most groups of
    near copies together into components.
 3. The first branching of the tree is dealt over the cluster: every set is filed under the
    tokens of its prefix (two sets that link share one). Under a token, sets that are alone in
    their component are paired; a set and a larger component are named together once, however many
    members of it stand there. A candidate goes on only if the tokens shared in the prefixes
-   plus what remains behind them could reach the required overlap.
+   plus what remains behind them could reach the required overlap. Tokens of ``CROWD`` documents or
+   more are paired by joins, which no task holds; so a token of one component gives nothing.
 4. Below, a task holds a prefix tree of about ``TREE_SETS`` sets (partners of a probe, or a part of a
-   component) and walks it with each probe: overlaps of shared paths are counted once, and subtrees
-   are left when the overlap so far plus the lengths remaining cannot reach what is required.
+   component) and walks it with each probe: overlaps of shared paths are counted once, and a subtree
+   is passed in one step when the overlap so far plus the lengths remaining below cannot reach what is required.
    This is exact; of a component one link is enough.
 
 No pair inside a component is ever written out, and no set is paired with each member of one.
@@ -24,12 +25,13 @@ any choice of them gives the same links, only at a different cost.
 
 Cases: texts without words (null, empty, white space) have no set and stand alone; fewer than
 ``n`` words make one n-gram; repeated rows and rows with one id are one document (linked to all
-that any of their texts links to); rows with a null id take no part and have a null component;
+that any of their texts links to, rows of it without words included); rows with a null id take no part and have a null component;
 an empty table gives an empty table; texts are read whole; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -47,6 +49,8 @@ from strata.session import scratch_path
 SUMMARY, FREQUENT = 1 << 20, 1 << 18
 #: Least count (documents) of a frequent token.
 FREQUENT_LEAST = 32
+#: Count (documents) from which a token's rows are joined instead of held by one task.
+CROWD = 4096
 #: Min-hashes per set for the first round.
 SEEDS = mix64(np.arange(1, 5, dtype=np.uint64))
 #: Sets in one prefix tree, probes that walk it in one task, tokens between two bound checks on a path.
@@ -96,39 +100,55 @@ def prefix_length(n, percent: int):
     return n - (-(-percent * n // 100)) + 1
 
 
-def frequent_tokens(docs: DataFrame, n: int) -> np.ndarray:
-    """Tokens that stand in many documents, rarest first: a summary of SUMMARY counters per task
-    (counters below the cut are dropped and the cut subtracted, so summaries stay mergeable),
-    added up by token; at most FREQUENT tokens come to the driver."""
+class Summary:
+    """Counts of a task's tokens: beyond SUMMARY counters those below the cut are dropped and the cut
+    subtracted, so summaries stay mergeable by addition."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                token, _ = shingle_sets(texts_of(batch, "text"), n)
-                new, n_new = np.unique(token, return_counts=True)
-                keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
-                counts = np.bincount(inverse, weights=np.concatenate([counts, n_new])).astype(np.int64)
-                if len(keys) > SUMMARY:
-                    counts = counts - np.partition(counts, -SUMMARY - 1)[-SUMMARY - 1]
-                    keys, counts = keys[counts > 0], counts[counts > 0]
-        often = counts > 1
-        for at in range(0, int(often.sum()), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[often][at:at + 100_000].view(np.int64)),
-                                              pa.array(counts[often][at:at + 100_000])], ["token", "n"])
-
-    top = (docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-           .where(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toArrow())
-    return top["token"].to_numpy().view(np.uint64)[::-1].copy()
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.room = SUMMARY
+
+    def add(self, token: np.ndarray) -> None:
+        self.waiting.append(token)
+        self.room -= len(token)
+        if self.room <= 0:
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.waiting:
+            return
+        new, many = np.unique(np.concatenate(self.waiting), return_counts=True)
+        self.waiting, self.room = [], SUMMARY
+        self.keys, inverse = np.unique(np.concatenate([self.keys, new]), return_inverse=True)
+        self.counts = np.bincount(inverse, weights=np.concatenate([self.counts, many])).astype(np.int64)
+        if len(self.keys) > SUMMARY:
+            self.counts = self.counts - np.partition(self.counts, -SUMMARY - 1)[-SUMMARY - 1]
+            self.keys, self.counts = self.keys[self.counts > 0], self.counts[self.counts > 0]
+
+    def often(self) -> tuple[np.ndarray, np.ndarray]:
+        self.merge()
+        return self.keys[self.counts > 1], self.counts[self.counts > 1]
 
 
 def profiles(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, mins): size, 128-bit digest and min-hashes of every set."""
+    """All that is read off the texts, in one pass. Rows of documents: (doc_id, n_shingles, s1, s2, mins,
+    body), size, 128-bit digest, min-hashes and compressed text of every set. Rows of tokens: (token,
+    documents), each task's summary of frequent tokens."""
+    names = ["doc_id", "n_shingles", "s1", "s2", "mins", "body", "token", "documents"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int64()]
+
+    def rows(**given) -> pa.RecordBatch:
+        many = len(next(iter(given.values())))
+        return pa.RecordBatch.from_arrays([given.get(c, pa.nulls(many, t)) for c, t in zip(names, types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_, summary = zstandard.ZstdCompressor(3).compress, Summary()
         for whole in batches:
             for batch in slices(whole, "text"):
-                token, offs = shingle_sets(texts_of(batch, "text"), n)
+                texts = texts_of(batch, "text")
+                token, offs = shingle_sets(texts, n)
+                summary.add(token)
                 size = np.diff(offs)
                 has, first = size > 0, offs[:-1][size > 0]
                 s1, s2 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
@@ -138,78 +158,102 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
                     s2[has] = np.bitwise_xor.reduceat(mix64(token + SEEDS[0]), first)
                     for k, seed in enumerate(SEEDS):
                         mins[has, k] = np.minimum.reduceat(mix64(token ^ seed), first)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(size), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                     pa.ListArray.from_arrays(np.arange(0, mins.size + 1, len(SEEDS), dtype=np.int32), pa.array(mins.view(np.int64).ravel()))],
-                    ["doc_id", "n_shingles", "s1", "s2", "mins"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, mins array<long>")
+                body = [zip_(t.encode()) if full else None for t, full in zip(texts.to_pylist(), has)]
+                yield rows(doc_id=batch.column(0), n_shingles=pa.array(size), s1=pa.array(s1.view(np.int64)),
+                           s2=pa.array(s2.view(np.int64)), body=pa.array(body, pa.binary()),
+                           mins=pa.ListArray.from_arrays(np.arange(0, mins.size + 1, len(SEEDS), dtype=np.int32),
+                                                         pa.array(mins.view(np.int64).ravel())))
+        token, count = summary.often()
+        for at in range(0, len(token), 100_000):
+            yield rows(token=pa.array(token[at:at + 100_000].view(np.int64)), documents=pa.array(count[at:at + 100_000]))
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, mins array<long>, body binary, token long, documents long")
+
+
+def frequent_tokens(summary: DataFrame, least: int) -> np.ndarray:
+    """Tokens that stand in at least ``least`` documents by the tasks' summaries (token, documents), rarest first; at
+    most FREQUENT tokens come to the driver."""
+    top = (summary.groupBy("token").agg(F.sum("documents").alias("n")).where(F.col("n") >= least)
+           .orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toArrow())
+    return top["token"].to_numpy().view(np.uint64)[::-1].copy()
 
 
 # ------------------------------------------------------------------ the prefix tree
 
 class PrefixTree:
-    """Sets in lexicographic order of their ordered tokens. A set's path shares the first
-    ``shared`` tokens with the path before it, so the walk in this order is a depth-first walk of
-    the tree in which only the unshared tail of a path is new."""
+    """A compressed trie of ordered token sets, its nodes in preorder. Node k stands for the sets
+    ``first`` to ``last`` (in lexicographic order), which share their tokens up to ``end``; ``start`` is
+    where its parent ends. It carries the least and the greatest length below it and ``past``, the next
+    node that is not below it, so that a pruned subtree is passed in one step."""
 
     def __init__(self, names: list, sets: list[np.ndarray]):
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
         self.names, self.sets = [names[i] for i in order], [sets[i] for i in order]
-        self.shared = [0]
+        shared = [0]
         for a, b in zip(self.sets, self.sets[1:]):
             m = min(len(a), len(b))
             differ = np.flatnonzero(a[:m] != b[:m])
-            self.shared.append(int(differ[0]) if len(differ) else m)
+            shared.append(int(differ[0]) if len(differ) else m)
+        length = [len(s) for s in self.sets]
+        self.nodes: list[list[int]] = []  # level, first, last, start, end, least, most, past
+        todo = [(0, 0, len(sets), 0)] if sets else []
+        while todo:
+            level, first, last, start = todo.pop()
+            end = min(shared[first + 1:last], default=length[first])
+            self.nodes.append([level, first, last, start, end, min(length[first:last]), max(length[first:last]), 0])
+            child = first
+            while child < last and length[child] == end:  # sets that end here
+                child += 1
+            cuts = [j for j in range(child + 1, last) if shared[j] == end]
+            below = [(level + 1, a, b, end) for a, b in zip([child, *cuts], [*cuts, last]) if a < b]
+            todo.extend(reversed(below))
+        for k in reversed(range(len(self.nodes))):
+            past = k + 1
+            while past < len(self.nodes) and self.nodes[past][0] > self.nodes[k][0]:
+                past = self.nodes[past][7]
+            self.nodes[k][7] = past
 
     def linked(self, probe: np.ndarray, percent: int) -> Iterator[tuple]:
         """(name, overlap) of the sets that link to ``probe``."""
-        path: list[tuple[int, int, int]] = [(0, 0, 0)]  # (depth, overlap, probe tokens passed) down the path
-        for name, own, shared in zip(self.names, self.sets, self.shared):
-            while path[-1][0] > shared:
-                path.pop()
-            need, overlap = required(len(probe), len(own), percent), -1
+        path = [(0, 0)]  # by level: overlap and probe tokens passed above the nodes of that level
+        k = 0
+        while k < len(self.nodes):
+            level, first, last, depth, end, least, most, past = self.nodes[k]
+            overlap, passed = path[level]
             while True:
-                depth, overlap, passed = path[-1]
-                if overlap + min(len(own) - depth, len(probe) - passed) < need:
-                    break  # nor can any set below here with as few tokens left
-                if depth == len(own):
-                    yield name, overlap
+                # of all lengths below, the one that leaves as many tokens as the probe has left comes closest
+                best = min(max(depth + len(probe) - passed, least), most)
+                if overlap + min(best - depth, len(probe) - passed) < required(len(probe), best, percent):
+                    k = past
                     break
-                part = own[depth:depth + STRIDE]
-                at = np.searchsorted(probe[passed:], part) + passed
-                hit = probe[np.minimum(at, len(probe) - 1)] == part
-                last = int(at[-1]) + int(hit[-1])
-                path.append((depth + len(part), overlap + int(hit.sum()), last))
+                if depth < end:
+                    part = self.sets[first][depth:min(depth + STRIDE, end)]
+                    at = np.searchsorted(probe[passed:], part) + passed
+                    hit = probe[np.minimum(at, len(probe) - 1)] == part
+                    overlap, passed, depth = overlap + int(hit.sum()), int(at[-1]) + int(hit[-1]), depth + len(part)
+                    continue
+                for i in range(first, last):
+                    if len(self.sets[i]) > end:
+                        break
+                    if overlap >= required(len(probe), end, percent):
+                        yield self.names[i], overlap
+                path[level + 1:] = [(overlap, passed)]
+                k += 1
+                break
 
 
 # ------------------------------------------------------------------ candidate pairs
 
-def class_bodies(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """(rep, body): compressed text of every representative, bucketed by id: joins of
+def class_bodies(named: DataFrame, reps: DataFrame, name: str) -> DataFrame:
+    """(rep, body): compressed text of every representative, bucketed by id in the table ``name``: joins of
     narrow rows with it on ``rep`` leave it in place. Of rows that share id and set, one stays."""
-    spark = docs.sparkSession
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zip_ = zstandard.ZstdCompressor(3).compress
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                texts = texts_of(batch, "text")
-                token, offs = shingle_sets(texts, n)
-                full = np.flatnonzero(np.diff(offs))
-                s1 = np.add.reduceat(mix64(token), offs[full]) if len(full) else np.zeros(0, np.uint64)
-                rows = pa.array(full)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), pa.array(s1.view(np.int64)),
-                     pa.array([zip_(t.encode()) for t in texts.take(rows).to_pylist()], pa.binary())], ["rep", "s1", "body"])
-
-    packed = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(pack, "rep long, s1 long, body binary")
+    spark = named.sparkSession
+    packed = named.select(F.col("doc_id").alias("rep"), "s1", "body")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = reps.select(F.col("rep").alias("r"), F.col("s1").alias("r1"))
     # equality as an xor: the join is by ``rep`` alone, and what it deals out is the buckets
     kept = (packed.repartition(buckets, "rep").join(r, F.col("rep") == F.col("r"))
             .where(F.col("s1").bitwiseXOR(F.col("r1")) == 0).groupBy("rep", "s1").agg(F.min("body").alias("body")))
-    name = f"llm_bodies_{uuid.uuid4().hex}"
     (kept.select("rep", "body").write.bucketBy(buckets, "rep")
      .option("path", scratch_path(spark, "jaccard-bodies")).saveAsTable(name))
     return spark.table(name)
@@ -222,10 +266,39 @@ def hub_pairs(reps: DataFrame) -> DataFrame:
     return keys.join(hubs, ["k", "m"]).where("a < b").select("a", "b").distinct()
 
 
-def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
+def crowded_candidates(filed: DataFrame, percent: int) -> DataFrame:
+    """What ``filed_candidates`` pairs under one token, for tokens whose rows no task should hold: joins whose
+    groups Spark streams and splits. A component is one row under a token before anything meets it, so a
+    token under which all sets are of one component gives nothing; sets alone in theirs meet by
+    (token, length class), neighbouring classes only."""
+    many = (filed.where("members > 1").groupBy(F.col("token").alias("t"), F.col("component").alias("other"))
+            .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("members").alias("m")))
+    smaller = (F.col("members") < F.col("m")) | ((F.col("members") == F.col("m")) & (F.col("component") < F.col("other")))
+    fits = (100 * F.col("n") >= percent * F.col("lo")) & (100 * F.col("hi") >= percent * F.col("n"))
+    against = (filed.join(many, (F.col("token") == F.col("t")) & smaller & fits)
+               .select(F.col("rep").alias("z"), "other", F.col("n").alias("nz"), "lo", "hi", F.lit(True).alias("whole")))
+    # a little wider than the ratio of linked lengths: no pair is two classes apart by rounding
+    step = 1.001 * max(math.log(100 / percent), 0.01)
+    one = filed.where("members = 1").select("token", "n", "rep", F.floor(F.log("n") / step).alias("c"))
+    small = one.select(F.col("token").alias("t"), F.col("n").alias("n1"), F.col("rep").alias("r1"),
+                       F.explode(F.array("c", F.col("c") + 1)).alias("c1"))
+    before = (F.col("n1") < F.col("n")) | ((F.col("n1") == F.col("n")) & (F.col("r1") < F.col("rep")))
+    first = F.col("r1") < F.col("rep")
+    alone = (one.join(small, (F.col("token") == F.col("t")) & (F.col("c") == F.col("c1")) & before
+                      & (100 * F.col("n1") >= percent * F.col("n")) & (F.col("r1") != F.col("rep")))
+             .select(F.least("r1", "rep").alias("z"), F.greatest("r1", "rep").alias("other"),
+                     F.when(first, F.col("n1")).otherwise(F.col("n")).alias("nz"),
+                     F.when(first, F.col("n")).otherwise(F.col("n1")).alias("lo")).withColumn("hi", F.col("lo"))
+             .withColumn("whole", F.lit(False)))
+    return against.unionByName(alone)
+
+
+def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int, frequent: np.ndarray,
+                     crowded: int) -> DataFrame:
     """(z, other, whole, shared): what could link by the tokens shared in the prefixes. ``other`` is a
     set when it and ``z`` are alone in their components (``whole`` false), else the larger of their
-    components (size, then id). ``member`` is (rep, component, members)."""
+    components (size, then id). ``member`` is (rep, component, members). The last ``crowded`` of the
+    ``frequent`` tokens go by joins, all others by task."""
     spark = bodies.sparkSession
     heavy = spark.sparkContext.broadcast(frequent)  # FREQUENT tokens at most
 
@@ -308,10 +381,13 @@ def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int,
         if held and len(held[0]):
             yield from give(held)
 
-    filed = (bodies.join(member, "rep").select("rep", "component", "members", "body")
-             .mapInArrow(file, "token long, n long, rep long, component long, members long"))
-    found = (filed.repartition("token").sortWithinPartitions("token", "n")
-             .mapInArrow(pair, "z long, other long, nz long, lo long, hi long, whole boolean"))
+    filed = written(bodies.join(member, "rep").select("rep", "component", "members", "body")
+                    .mapInArrow(file, "token long, n long, rep long, component long, members long"), "jaccard-filed")
+    # ranks stand behind the sign bit: read as longs, frequent tokens are negative and rise with their count
+    crowd = (F.col("token") < 0) & (F.col("token") >= max(0, len(frequent) - crowded) - (1 << 63))
+    found = (filed.where(~crowd).repartition("token").sortWithinPartitions("token", "n")
+             .mapInArrow(pair, "z long, other long, nz long, lo long, hi long, whole boolean")
+             .unionByName(crowded_candidates(filed.where(crowd), percent)))
 
     def short_of(n_other) -> F.Column:
         """Tokens that the prefixes must share, given what remains behind the longer one."""
@@ -406,12 +482,16 @@ def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
     n_shingles, copies). ``links``: (u, v) between class representatives, enough to connect every
     component (pairs inside a component are not compared once it is connected)."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    prof = written(profiles(docs, n), "jaccard-profiles")
+    read = written(profiles(docs, n), "jaccard-profiles")
+    prof = read.where(F.col("documents").isNull()).select("doc_id", "n_shingles", "s1", "s2", "mins", "body")
     named = prof.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     reps = written(named.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
                                                                 F.min("mins").alias("mins")), "jaccard-classes")
-    frequent = frequent_tokens(docs, n)
-    bodies = class_bodies(docs, reps, n)
+    summary = read.where(F.col("documents").isNotNull()).select("token", "documents")
+    frequent = frequent_tokens(summary, FREQUENT_LEAST)
+    crowded = len(frequent_tokens(summary, max(CROWD, FREQUENT_LEAST)))
+    table = f"llm_bodies_{uuid.uuid4().hex}"
+    bodies = class_bodies(named, reps, table)
 
     # rows that share an id are one document: its classes are tied together
     ids = named.select("doc_id", "n_shingles", "s1", "s2").join(reps, ["n_shingles", "s1", "s2"]).select("doc_id", "rep")
@@ -423,16 +503,22 @@ def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
     member = written(_member(reps, links), "jaccard-members")
     sizes = member.groupBy("component").agg(F.count("*").alias("members"))
     member = written(member.join(sizes, "component").select("rep", "component", "members"), "jaccard-members")
-    candidates = written(filed_candidates(bodies, member, n, percent, frequent), "jaccard-candidates")
+    candidates = written(filed_candidates(bodies, member, n, percent, frequent, crowded), "jaccard-candidates")
     requests = pair_requests(candidates.where("not whole")).unionByName(component_requests(candidates.where("whole"), member))
     links = links.unionByName(written(verified(requests, bodies, n, percent), "jaccard-links"))
+    docs.sparkSession.sql(f"DROP TABLE {table}")  # from the catalog; its files are scratch like the rest
     member = written(_member(reps, links), "jaccard-members")
 
     classes = reps.select("n_shingles", "s1", "s2", "rep", "copies")
-    joined = (prof.drop("mins").join(classes, ["n_shingles", "s1", "s2"], "left")
-              .join(member, "rep", "left"))
-    documents = joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"),
-                              F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    filled = (named.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["n_shingles", "s1", "s2"]).join(member, "rep")
+              .select("doc_id", "n_shingles", F.col("rep").alias("class_id"), "component"))
+    # rows without words: the component of their id's other rows, if it has any
+    empty = prof.where(F.col("doc_id").isNull() | (F.col("n_shingles") == 0)).select("doc_id", "n_shingles")
+    of_id = (filled.join(empty.select("doc_id").distinct(), "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min("component").alias("component")))
+    bare = (empty.join(of_id, "doc_id", "left")
+            .select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.coalesce("component", "doc_id").alias("component")))
+    documents = filled.unionByName(bare).withColumnRenamed("component", "component_id")
     return documents, classes.select(F.col("rep").alias("class_id"), "n_shingles", "copies"), links
 
 

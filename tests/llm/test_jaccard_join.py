@@ -204,3 +204,59 @@ def test_two_texts_of_one_id_are_bounded_by_their_own_sizes(spark, monkeypatch):
     monkeypatch.setattr(jj, "hub_pairs", lambda reps: whole(reps).where("b <> 9"))
     got = {r["doc_id"]: r["component_id"] for r in jj.join(docs, n=1)[0].collect()}
     assert got == {i: 1 if i < 10 else i for i, _ in rows}
+
+
+@pytest.mark.parametrize("seed", [3, 8])
+def test_crowded_tokens_are_joined(spark, monkeypatch, seed):
+    """Tokens of two documents already go by joins, with and without the first round."""
+    rows = corpus(seed, 200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jj, "CROWD", 2)
+    monkeypatch.setattr(jj, "FREQUENT_LEAST", 2)
+    check(jj.join(docs)[0].collect(), rows)
+    whole = jj.hub_pairs
+    monkeypatch.setattr(jj, "hub_pairs", lambda reps: whole(reps).where("b % 3 = 0"))
+    check(jj.join(docs)[0].collect(), rows)
+
+
+def test_crowded_candidates_name_a_component_once(spark):
+    rows = [(-5, 100, i, 1, 900) for i in range(900)] + [(-5, 100, 2000 + i, 2000 + i, 1) for i in range(3)]
+    rows += [(-4, 100, i, 1, 900) for i in range(900)] + [(-5, 140, 3000, 3000, 1)]
+    filed = spark.createDataFrame(rows, "token long, n long, rep long, component long, members long")
+    got = sorted(tuple(r) for r in jj.crowded_candidates(filed, 75).collect())
+    alone = [(2000, 2001), (2000, 2002), (2001, 2002)]  # 140 is too long for any of them
+    assert got == sorted([(z, o, 100, 100, 100, False) for z, o in alone] + [(2000 + i, 1, 100, 100, 100, True) for i in range(3)])
+
+
+def test_length_classes_lose_no_pair(spark):
+    sizes = [*range(1, 60), 75, 100, 300, 400, 3 ** 9, 4 * 3 ** 8]
+    filed = spark.createDataFrame([(-1, n, 10 * n, 10 * n, 1) for n in sizes], "token long, n long, rep long, component long, members long")
+    got = {(r["z"] // 10, r["other"] // 10) for r in jj.crowded_candidates(filed, 75).collect()}
+    assert got == {(a, b) for a in sizes for b in sizes if a < b and 100 * a >= 75 * b}
+
+
+def test_tree_nodes_and_pruned_subtrees():
+    rng = random.Random(4)
+    for _ in range(30):
+        base = sorted(rng.sample(range(400), 60))
+        sets = [np.array(sorted({*base[:rng.randrange(1, 60)], *rng.sample(range(400), rng.randrange(0, 9))}), np.uint64) for _ in range(40)]
+        sets += [sets[0], sets[1][:1], np.array(base, np.uint64), np.array(base[:30], np.uint64)]
+        tree = jj.PrefixTree(list(range(len(sets))), sets)
+        for level, first, last, start, end, least, most, past in tree.nodes:
+            below = tree.sets[first:last]
+            assert all((s[:end] == below[0][:end]).all() for s in below) and {min(map(len, below)), max(map(len, below))} == {least, most}
+            assert past == len(tree.nodes) or tree.nodes[past][1] == last
+        for percent in (50, 75, 100):
+            for probe in rng.sample(sets, 12):
+                both = [len(np.intersect1d(s, probe)) for s in sets]
+                want = {i: b for i, b in enumerate(both) if 100 * b >= percent * (len(sets[i]) + len(probe) - b)}
+                assert dict(tree.linked(probe, percent)) == want
+
+
+def test_rows_without_words_follow_their_id_and_no_table_stays(spark):
+    t = "one two three four five six seven"
+    docs = spark.createDataFrame([(4, t), (2, t), (4, None), (6, ""), (6, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jj.join(docs)[0].collect())
+    assert got == [(2, 3, 2), (4, 0, 2), (4, 3, 2), (6, 0, 6), (6, 0, 6)]
+    assert sorted(r["doc_id"] for r in jj.keep_one(docs).collect()) == [2, 6]
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("llm_bodies_")]
