@@ -302,7 +302,9 @@ def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int,
     spark = bodies.sparkSession
     heavy = spark.sparkContext.broadcast(frequent)  # FREQUENT tokens at most
 
-    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    crowd = _HEAVY | np.uint64(max(0, len(frequent) - crowded))  # ranks rise with the count
+
+    def file(batches: Iterator[pa.RecordBatch], among_crowded: bool) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -313,9 +315,12 @@ def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int,
                 take = prefix_length(size, percent) * (size > 0)
                 rows = np.repeat(np.arange(len(size)), take)
                 within = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
+                prefix = token[offs[rows] + within]
+                these = (prefix >= crowd) == among_crowded
+                rows, prefix = rows[these], prefix[these]
                 of = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token[offs[rows] + within].view(np.int64)), pa.array(size[rows]), batch.column(0).take(of),
+                    [pa.array(prefix.view(np.int64)), pa.array(size[rows]), batch.column(0).take(of),
                      batch.column(1).take(of), batch.column(2).take(of)], ["token", "n", "rep", "component", "members"])
 
     def alone(token: np.ndarray, size: np.ndarray, rep: np.ndarray) -> Iterator[tuple]:
@@ -381,13 +386,14 @@ def filed_candidates(bodies: DataFrame, member: DataFrame, n: int, percent: int,
         if held and len(held[0]):
             yield from give(held)
 
-    filed = written(bodies.join(member, "rep").select("rep", "component", "members", "body")
-                    .mapInArrow(file, "token long, n long, rep long, component long, members long"), "jaccard-filed")
-    # ranks stand behind the sign bit: read as longs, frequent tokens are negative and rise with their count
-    crowd = (F.col("token") < 0) & (F.col("token") >= max(0, len(frequent) - crowded) - (1 << 63))
-    found = (filed.where(~crowd).repartition("token").sortWithinPartitions("token", "n")
-             .mapInArrow(pair, "z long, other long, nz long, lo long, hi long, whole boolean")
-             .unionByName(crowded_candidates(filed.where(crowd), percent)))
+    sets = bodies.join(member, "rep").select("rep", "component", "members", "body")
+    schema = "token long, n long, rep long, component long, members long"
+    found = (sets.mapInArrow(lambda batches: file(batches, False), schema)
+             .repartition("token").sortWithinPartitions("token", "n")
+             .mapInArrow(pair, "z long, other long, nz long, lo long, hi long, whole boolean"))
+    if crowded:  # few rows: only these are written, all others go straight into the shuffle
+        filed = written(sets.mapInArrow(lambda batches: file(batches, True), schema), "jaccard-crowded")
+        found = found.unionByName(crowded_candidates(filed, percent))
 
     def short_of(n_other) -> F.Column:
         """Tokens that the prefixes must share, given what remains behind the longer one."""
