@@ -480,9 +480,9 @@ rel_ids AS (
 )"""
 
 
-def rel_ids(spark, d):
+def rel_ids(spark, d, starts=None, ends=None):
     n = lambda c: F.concat(F.lit("N"), c.cast("string"))
-    c = chains(spark, d).select("bottom", "top", F.transform(F.reverse("chain"), n).alias("n"), F.element_at("chain", -2).alias("second"))
+    c = chains(spark, d, starts, ends).select("bottom", "top", F.transform(F.reverse("chain"), n).alias("n"), F.element_at("chain", -2).alias("second"))
     r = c.select("n", n(F.col("top")).alias("tp"), n(F.col("bottom")).alias("bt"), pair_ids(F.col("n")).alias("p"),
                  ((F.col("top") * 100003 + F.col("second") * 101 + F.col("bottom")) % 1000).alias("h"))
     joined = lambda x: F.array_join(x, "_")

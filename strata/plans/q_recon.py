@@ -218,8 +218,10 @@ WHERE ultimate_parent_id IN (SELECT concat('N', parent_id) FROM roots)
 def c9_restrict_paths(spark, d):
     e = B.edges(spark, d)
     c = Tables(spark, d).customer
-    roots = c.where(F.col("c_mktsegment") == "BUILDING").select(F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("r"))
+    tops = c.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
     parents = e.select(F.col("parent_id").alias("child_id")).distinct()
-    leaves = e.select("child_id").distinct().join(parents, "child_id", "left_anti").select(
-        F.concat(F.lit("N"), F.col("child_id").cast("string")).alias("l"))
-    return R.restrict_paths(rel_ids(spark, d), roots, leaves, "ultimate_parent_id", "ultimate_child_id", "r", "l")
+    bottoms = e.select("child_id").distinct().join(parents, "child_id", "left_anti")
+    name = lambda x, out: F.concat(F.lit("N"), F.col(x).cast("string")).alias(out)
+    roots, leaves = tops.select(name("c_custkey", "r")), bottoms.select(name("child_id", "l"))
+    # only walks from a leaf to a root are taken: a path with swapped ends has a parent as its child, and no parent is a leaf
+    return R.restrict_paths(rel_ids(spark, d, bottoms, tops), roots, leaves, "ultimate_parent_id", "ultimate_child_id", "r", "l")
