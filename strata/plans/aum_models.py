@@ -124,12 +124,12 @@ def mapped_dimension(source: DataFrame, mapping: DataFrame, system: str, key: st
     return out
 
 
-def fx_rates(spark: SparkSession, d: str) -> DataFrame:
-    """FX binding: one rate per nation currency and month end of the order dates; odd
-    months are quoted inversely (GBP -> currency)."""
+def fx_rates(spark: SparkSession, d: str, every: bool = False) -> DataFrame:
+    """FX binding: one rate per nation currency and month end of the order dates in which its customers ordered
+    (``every``: and each month end of any order); odd months are quoted inversely (GBP -> currency)."""
     t = Tables(spark, d)
-    # one rate per currency and month in which its nation's customers ordered
-    g = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    g = (t.nation.select("n_nationkey").crossJoin(t.orders.select(F.last_day("o_orderdate").alias("ref_date")).distinct()) if every else
+         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
          .select(F.col("c_nationkey").alias("n_nationkey"), F.last_day("o_orderdate").alias("ref_date")).distinct())
     rate = F.lit(1.0) + F.col("n_nationkey") / F.lit(10.0) + F.month("ref_date") / F.lit(100.0)
     ccy = F.concat(F.lit("CUR_"), F.col("n_nationkey").cast("string"))

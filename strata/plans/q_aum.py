@@ -40,12 +40,12 @@ def currency_codes(spark, d):
 
 
 @query("m1_fx_to_base", """
-WITH seen AS (SELECT DISTINCT c_nationkey AS n_nationkey, CAST(last_day(o_orderdate) AS DATE) AS ref_date FROM orders JOIN customer ON o_custkey = c_custkey),
+WITH months AS (SELECT DISTINCT CAST(last_day(o_orderdate) AS DATE) AS ref_date FROM orders),
 fx AS (
   SELECT CASE WHEN month(ref_date) % 2 = 1 THEN 'GBP' ELSE 'CUR_' || n_nationkey END AS source_currency,
          CASE WHEN month(ref_date) % 2 = 1 THEN 'CUR_' || n_nationkey ELSE 'GBP' END AS destination_currency,
          ROUND(1.0 + CAST(n_nationkey AS DOUBLE) / 10.0 + CAST(month(ref_date) AS DOUBLE) / 100.0, 6) AS fx_rate, ref_date
-  FROM seen
+  FROM nation, months
 ),
 codes AS (SELECT 'CUR_' || n_nationkey AS currency, upper(substr(n_name, 1, 3)) || n_nationkey AS currency_code
           FROM nation WHERE n_nationkey % 8 <> 0),
@@ -57,7 +57,7 @@ legs AS (
 )
 SELECT l.*, c.currency_code FROM legs l JOIN codes c USING (currency)""")
 def m1_fx_to_base(spark, d):
-    return AM.fx_to_base(AM.fx_rates(spark, d), currency_codes(spark, d))
+    return AM.fx_to_base(AM.fx_rates(spark, d, every=True), currency_codes(spark, d))
 
 
 # -- M19: snapshot and datapoints side by side, melted, year ends -------------------------------
