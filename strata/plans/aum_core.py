@@ -150,7 +150,7 @@ def portfolio_descriptors(points: DataFrame, history: DataFrame, special: dict[s
     their reporting group: the phase of highest priority ('Business / Developer' with a platform),
     one country or 'Multi-Country', one technology, 'X & Battery storage' or 'Multi-Tech Renewables',
     'Platform' over other types. ``special``: portfolio -> (countries all present, country shown)."""
-    held = as_of_join(points, history, ["fund", "portfolio"], "as_of", "start", "end", how="inner", series=["asset"])
+    held = as_of_join(points, history, ["fund", "portfolio"], "as_of", "start", "end", how="inner", series=["asset"], listed=True)
     sets = {"asset": "names", "asset_type": "types", "lifecycle_phase": "phases", "ownership_phase": "owned", "country": "countries",
             "technology": "techs"}
     g = held.groupBy("fund", "portfolio", "as_of").agg(*[F.array_sort(F.collect_set(c)).alias(a) for c, a in sets.items()])
