@@ -19,17 +19,23 @@ from strata.sources.tables import Tables, scan_stream
 from strata.streaming import jobs as W
 
 
+#: Events of one landed file, about.
+FILE_EVENTS = 500_000
+
+
 def events_stream(spark, d):
-    """The events table landed as files in time order, a quarter of the rows each, read one file a micro-batch (in the order they
-    were written, so watermarks drop nothing)."""
+    """The events table landed in time order, a quarter of the rows at a time, each as the same number of files and read as one
+    micro-batch (in the order they were written, so watermarks drop nothing). A larger table is
+    not read in more batches: every batch loads and commits all partitions of the state."""
     events = Tables(spark, d).events
     path = scratch_path(spark, "events-stream")
-    cuts = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75])).first()[0]
     at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts, n = events.agg(F.percentile_approx(at, [0.25, 0.5, 0.75]), F.count(at)).first()
+    files = -(-n // (4 * FILE_EVENTS))
     for lo, hi in zip([None, *cuts], [*cuts, None]):
         part = events if lo is None else events.where(at > lo)
-        (part if hi is None else part.where(at <= hi)).write.mode("append").parquet(path)
-    s = scan_stream(spark, path, events.schema, max_files_per_trigger=1)
+        (part if hi is None else part.where(at <= hi)).repartition(files).write.mode("append").parquet(path)
+    s = scan_stream(spark, path, events.schema, max_files_per_trigger=files)
     return s.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
                     F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
                      .alias("value"), "props")

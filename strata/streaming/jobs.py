@@ -51,12 +51,14 @@ def uniqueness_counts(stream: DataFrame, individual: Sequence[str] = (), composi
         half = f"{_seconds(stream.sparkSession, window) // 2} seconds"
         src = stream.withWatermark(ts, delay)
         extra = [F.window(ts, window, half).alias("window")]
-    parts = [src.groupBy(*k, *extra).agg(F.count(F.lit(1)).alias("dup_count"))
-                .select(F.lit(label).alias("check_name"),
-                        F.concat_ws("|", *[F.col(c).cast("string") for c in k]).alias("key_value"), "dup_count",
-                        *(["window"] if within else []))
-             for k, label in sets]
-    return reduce(DataFrame.unionByName, parts)
+    # a row meets every key set in one aggregation: keys of other sets are NULL beside the set's name, one state holds all
+    cols = list(dict.fromkeys(c for k, _ in sets for c in k))
+    met = [F.struct(F.lit(label).alias("check_name"), *[F.when(F.lit(c in k), F.col(c)).alias(c) for c in cols]) for k, label in sets]
+    src = src.select(F.explode(F.array(*met)).alias("__k"), *([within[0]] if within else []))
+    counts = src.groupBy(F.col("__k").alias("__k"), *extra).agg(F.count(F.lit(1)).alias("dup_count"))
+    value = F.coalesce(*[F.when(F.col("__k.check_name") == label, F.concat_ws("|", *[F.col(f"__k.`{c}`").cast("string") for c in k]))
+                         for k, label in sets])
+    return counts.select(F.col("__k.check_name").alias("check_name"), value.alias("key_value"), "dup_count", *(["window"] if within else []))
 
 
 def _seconds(spark: SparkSession, interval: str) -> int:
@@ -109,10 +111,12 @@ def run_available_now(spark: SparkSession, df: DataFrame, name: str, mode: str =
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if foreach_batch is not None or mode in ("complete", "update"):
         def sink_batch(batch: DataFrame, batch_id: int) -> None:
-            held = batch.persist()
+            if foreach_batch is None:
+                batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+                return
+            held = batch.persist()  # read twice
             try:
-                if foreach_batch is not None:
-                    foreach_batch(held, batch_id)
+                foreach_batch(held, batch_id)
                 held.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
             finally:
                 held.unpersist()

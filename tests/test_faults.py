@@ -150,6 +150,30 @@ def test_duplicate_five_seconds_later_fails_the_batch(spark):
                                 mode="update", foreach_batch=W.fail_on_duplicates)
 
 
+@pytest.mark.parametrize("file_events, files", [(500_000, 4), (5, 16)])
+def test_a_table_of_many_files_is_streamed_in_four_batches(spark, monkeypatch, file_events, files):
+    from strata.plans import q_stream as Q
+    root, t = scratch_path(spark, "t-root"), dt.datetime(2020, 1, 1)
+    for i in range(3):  # later files hold times of all quarters
+        _events(spark, [(j, t + dt.timedelta(minutes=j), j % 4) for j in range(i, 80, 3)], f"{root}/events.parquet")
+    monkeypatch.setattr(Q, "FILE_EVENTS", file_events)
+    landed = []
+    monkeypatch.setattr(Q, "scan_stream", lambda spark, path, *a, **more: landed.append(path) or scan_stream(spark, path, *a, **more))
+    stream = Q.events_stream(spark, root).select("event_id", "user_id", "ts")
+    sink = W.run_available_now(spark, W.uniqueness_counts(stream, individual=["event_id"], composite=[["user_id", "ts"], ["user_id"]]), "t-w2", mode="update")
+    got = spark.read.parquet(sink)
+    assert got.select("batch").distinct().count() == 4
+    assert len(spark.read.parquet(landed[0]).inputFiles()) == files
+    seen = W.latest_state(spark, sink, ["check_name", "key_value"])
+    assert {r.check_name: (r.n, r.most) for r in seen.groupBy("check_name").agg(F.count("*").alias("n"), F.max("dup_count").alias("most")).collect()} == {
+        "ind__event_id": (80, 1), "cmp__user_id_ts": (80, 1), "cmp__user_id": (4, 20)}
+
+
+def _events(spark, rows, path):
+    more = [(*r, "click", 1.0, "{}") for r in rows]
+    spark.createDataFrame(more, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").coalesce(1).write.mode("append").parquet(path)
+
+
 def test_a_stopped_stream_resumes_without_doubling(spark):
     path, sink, ckpt = (scratch_path(spark, x) for x in ("t-land", "t-sink", "t-ckpt"))
     t = dt.datetime(2020, 1, 1)
